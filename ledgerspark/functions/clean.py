@@ -16,7 +16,8 @@ PARSED_NUMBER = T.DecimalType(38, 12)
 
 
 def is_missing(cell: Column) -> Column:
-    return cell.isNull() | cell.isin(*MISSING_CELLS)
+    # One reference to the cell: it may be an expression that costs something.
+    return F.coalesce(cell, F.lit("")).isin(*MISSING_CELLS)
 
 
 def missing_count(cells: list[Column]) -> Column:
@@ -29,16 +30,24 @@ def missing_allowed(n_columns: int) -> int:
     return min(n_columns // 2, MAX_MISSING_CELLS)
 
 
-def _or_fail(value: Column, cell: Column, what: str) -> Column:
-    message = F.concat(F.lit(f"unreadable {what}: "), cell)
-    return F.when(cell.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+def _checked(value: Column, cell: Column, dash: Column, what: str, strict: bool) -> Column:
+    """``value`` where the cell could be read, ``dash`` for a dash, null for a missing cell.
+
+    Any other cell fails the job, or is null when not ``strict``. The value is evaluated once; the
+    rest only for cells that could not be read.
+    """
+    unread = F.when(cell == DASH, dash)
+    if strict:
+        message = F.concat(F.lit(f"unreadable {what}: "), cell)
+        unread = unread.when(cell.isNotNull(), F.raise_error(message))
+    return F.coalesce(value, unread)
 
 
 def clean_number(cell: Column, strict: bool = True) -> Column:
     """``1.234,56`` as a number, a dash as 0; an unreadable cell fails the job (or is null)."""
-    plain = F.replace(F.replace(cell, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    value = F.when(cell == DASH, F.lit(0).cast(PARSED_NUMBER)).otherwise(plain.try_cast(PARSED_NUMBER))
-    return _or_fail(value, cell, "number") if strict else value
+    # Points are dropped and the comma becomes a point.
+    value = F.translate(cell, ",.", ".").try_cast(PARSED_NUMBER)
+    return _checked(value, cell, F.lit(0).cast(PARSED_NUMBER), "number", strict)
 
 
 def clean_string(cell: Column) -> Column:
@@ -48,8 +57,7 @@ def clean_string(cell: Column) -> Column:
 
 def clean_date(cell: Column, strict: bool = True) -> Column:
     """``DD/MM/YYYY`` as a date, a dash as the far-future date; an impossible date fails the job."""
-    value = F.when(cell == DASH, F.lit(NO_DATE)).otherwise(F.try_to_date(cell, "d/M/yyyy"))
-    return _or_fail(value, cell, "date") if strict else value
+    return _checked(F.try_to_date(cell, "d/M/yyyy"), cell, F.lit(NO_DATE), "date", strict)
 
 
 def cast_cell(value: Column, to: T.DataType) -> Column:

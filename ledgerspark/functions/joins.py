@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
 
 
-def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str], salts: int = SALTS) -> DataFrame:
+def lookup_join(
+    fact: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str], salts: int = SALTS
+) -> DataFrame:
     """Left join of ``fact`` with ``lookup``, each row of a hot key going to one of ``salts`` tasks.
 
     No broadcast is forced: Spark broadcasts the lookup only while its size is under
-    ``spark.sql.autoBroadcastJoinThreshold``. Beyond that both sides are shuffled, and the salt keeps
-    one key from filling one task; runtime skew handling splits groups of identical rows. The salt
-    depends on the row alone, so a recomputed partition sends its rows where they went before.
-    The lookup is repeated once per salt: use this only for lookups far smaller than the fact.
+    ``spark.sql.autoBroadcastJoinThreshold``. Beyond that both sides are shuffled, and the salt, taken
+    from the ``spread_by`` columns, keeps one key from filling one task; runtime skew handling splits
+    groups of equal rows. The salt depends on the row alone, so a recomputed partition sends its rows
+    where they went before. The lookup is repeated once per salt: use this only for lookups far
+    smaller than the fact.
     """
     key = "_salt"
-    salted_fact = fact.withColumn(key, F.pmod(F.xxhash64(*_hashable(fact)), F.lit(salts)).cast("int"))
+    salted_fact = fact.withColumn(key, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_lookup = lookup.withColumn(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_fact.join(salted_lookup, [*on, key], "left").drop(key)
 
 
-def _hashable(df: DataFrame) -> list[Column]:
-    return [F.col(name) for name, kind in df.dtypes if not kind.startswith("map")]
-
+def without_match(rows: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
+    """Rows whose key is not in ``seen``; two null key parts are equal.
 
-def null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
-    """Join condition under which two null key parts are equal."""
-    condition = F.lit(True)
-    for name in on:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+    Only key columns of ``seen`` are read. They get names of their own, so that both sides may come
+    from one table.
+    """
+    other = seen.select(*[F.col(name).alias(f"_seen_{name}") for name in key])
+    same = [F.col(name).eqNullSafe(F.col(f"_seen_{name}")) for name in key]
+    return rows.join(other, reduce(Column.__and__, same), "left_anti")

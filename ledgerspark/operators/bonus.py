@@ -129,7 +129,9 @@ def enrich_bonus(movements: DataFrame, events: DataFrame) -> DataFrame:
     no event is known. Several events in one year give one row each.
     """
     base = events.select("ticker", "ano_ref", F.col("valor_base").cast(PRICE).alias("valor_base"))
-    priced = lookup_join(bonus_movements(movements), base, ["ticker", "ano_ref"])
+    priced = lookup_join(
+        bonus_movements(movements), base, ["ticker", "ano_ref"], ["taxpayer_id", "data_pregao", "quantidade"]
+    )
     return priced.withColumns(
         {
             "preco_unitario": F.col("valor_base"),

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.joins import null_safe
+from ledgerspark.functions.joins import without_match
 from ledgerspark.schemas import TAXPAYER, TableSpec
 
 INGEST_RUN = "ingest_run"
@@ -32,9 +32,7 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[
 
     Repeats go first, so no key is hot in the anti-join, and only key columns of ``existing`` move.
     """
-    candidates = first_per_key(batch, key, order)
-    seen = existing.select(*key)
-    return candidates.join(seen, null_safe(candidates, seen, key), "left_anti")
+    return without_match(first_per_key(batch, key, order), existing, key)
 
 
 def insert_ignore(

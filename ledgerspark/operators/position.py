@@ -83,7 +83,9 @@ def trades_split_adjusted(trades: DataFrame, movements: DataFrame) -> DataFrame:
     shares = splits_per_trade(movements, trades, BUY).select(
         TAXPAYER, F.col("ticker").alias("instrumento"), F.col("qtd_lado").alias("_share")
     )
-    rows = lookup_join(trades_by_instrument(trades), shares, [TAXPAYER, "instrumento"])
+    rows = lookup_join(
+        trades_by_instrument(trades), shares, [TAXPAYER, "instrumento"], ["data_negocio", "quantidade", "preco"]
+    )
     adjusted = F.col("quantidade").cast("double") + F.coalesce("_share", F.lit(0.0))
     return rows.select(*trades.columns, "instrumento", adjusted.alias("quantidade_net"))
 
@@ -261,7 +263,8 @@ def year_end_custody(custody: DataFrame, as_of: date | None = None) -> DataFrame
 
 def year_end_loans(loans: DataFrame, as_of: date | None = None) -> DataFrame:
     """Shares lent per ticker at the taxpayer's newest loan date."""
-    totals = (
+    # Companies are grouped first: a maximum of texts over single rows would sort them all.
+    by_company = (
         loans.filter(_until("data_pregao", as_of))
         .select(
             TAXPAYER,
@@ -270,11 +273,12 @@ def year_end_loans(loans: DataFrame, as_of: date | None = None) -> DataFrame:
             product_company(F.col("produto")).alias("_company"),
             "quantidade",
         )
-        .groupBy(TAXPAYER, "data_pregao", "ticker")
-        .agg(
-            F.max("_company").alias("nome_compania"),
-            F.sum("quantidade").cast(COUNT_SUM).alias("quantidade"),
-        )
+        .groupBy(TAXPAYER, "data_pregao", "ticker", "_company")
+        .agg(F.sum("quantidade").alias("_quantity"))
+    )
+    totals = by_company.groupBy(TAXPAYER, "data_pregao", "ticker").agg(
+        F.max("_company").alias("nome_compania"),
+        F.sum("_quantity").cast(COUNT_SUM).alias("quantidade"),
     )
     return _at_newest_date(totals, loans, as_of)
 

@@ -28,7 +28,7 @@ from ledgerspark.functions.text import (
     without_float_suffix,
 )
 from ledgerspark.operators import bonus, declaration, income, ingest, merge, position, records, report
-from ledgerspark.plans.derived import REGISTRY, Derived
+from ledgerspark.plans.derived import REGISTRY, Derived, once
 from ledgerspark.plans.files import movement_workbooks, write_dumps
 from ledgerspark.plans.oracle import decimal_of, money, query
 from ledgerspark.schemas import MONEY, PRICE, TAXPAYER, table_spec
@@ -633,31 +633,38 @@ def _(d: Derived) -> DataFrame:
 # --- Declaration ------------------------------------------------------------------------------
 
 
+@once
 def _income(d: Derived) -> DataFrame:
     return income.income(d.movements(), d.custody())
 
 
+@once
 def _bonus_income(d: Derived) -> DataFrame:
     return income.bonus_income(d.bonus(), d.custody())
 
 
+@once
 def _active(d: Derived) -> DataFrame:
     return declaration.active_tickers(d.custody(), d.loans())
 
 
+@once
 def _years(d: Derived) -> DataFrame:
     return declaration.declaration_years(_active(d), d.movements(), d.bonus())
 
 
+@once
 def _entries(d: Derived) -> DataFrame:
     return income.declared_entries(_income(d), _bonus_income(d), _active(d))
 
 
+@once
 def _declared(d: Derived) -> DataFrame:
     held = position.position(d.trades(), d.movements(), d.bonus(), d.custody(), d.loans())
     return declaration.declared_positions(held, _active(d), REGISTRY)
 
 
+@once
 def _lines(d: Derived) -> DataFrame:
     return report.report_lines(_declared(d), _entries(d), _years(d), d.taxpayers(), registry=REGISTRY)
 
@@ -844,6 +851,7 @@ def _(d: Derived) -> DataFrame:
     return report.assemble_reports(_lines(d))
 
 
+@once
 def _nested(d: Derived) -> DataFrame:
     return declaration.nested_declaration(_declared(d), _entries(d), _years(d), REGISTRY)
 

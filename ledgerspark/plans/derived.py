@@ -6,7 +6,8 @@ tickers and a key modulo 5 one of five taxpayers; nothing is left out of the sou
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,22 +47,46 @@ MOVEMENT_TYPES = (
 REGISTRY = {"TK0003": "12.345.678/0001-95", "TK0103": "98.765.432/0001-10"}
 
 
+def once(build: Callable[[Derived], DataFrame]) -> Callable[[Derived], DataFrame]:
+    """Build a frame once per set of tables: a plan that uses it twice shares the description."""
+
+    @wraps(build)
+    def cached(tables: Derived) -> DataFrame:
+        if build not in tables.built:
+            tables.built[build] = build(tables)
+        return tables.built[build]
+
+    return cached
+
+
 class Derived:
     """The exchange tables over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._sources: dict[str, DataFrame] = {}
+        self.built: dict[Callable, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A source table; its footer is read once."""
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
+    @once
     def trades(self) -> DataFrame:
         return trades_of(self.source("lineitem"))
 
-    def movements(self, *extra: Column) -> DataFrame:
+    @once
+    def movements(self) -> DataFrame:
+        return movements_of(self.source("orders"))
+
+    def movements_with(self, *extra: Column) -> DataFrame:
+        """Movements with further columns of the orders they come from."""
         return movements_of(self.source("orders"), *extra)
 
+    @once
     def custody(self) -> DataFrame:
         key = F.col("p_partkey")
         tax_id = _text((key % 200) * 1000003 + 191, ".0")
@@ -77,6 +102,7 @@ class Derived:
             _year_end(1995 + F.col("p_size") % 7).alias("data_pregao"),
         )
 
+    @once
     def loans(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.source("customer").select(
@@ -88,7 +114,12 @@ class Derived:
             _year_end(1995 + F.col("c_nationkey") % 7).alias("data_pregao"),
         )
 
-    def received(self, *extra: Column) -> DataFrame:
+    @once
+    def received(self) -> DataFrame:
+        return self.received_with()
+
+    def received_with(self, *extra: Column) -> DataFrame:
+        """Received income with further columns of the orders it comes from."""
         key, status = F.col("o_orderkey"), F.col("o_orderstatus")
         kind = F.when(status == "F", DIVIDEND).when(status == "O", JCP).otherwise(MONETARY_UPDATE)
         return self.source("orders").select(
@@ -101,6 +132,7 @@ class Derived:
             *extra,
         )
 
+    @once
     def reimbursed(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.source("customer").select(
@@ -112,6 +144,7 @@ class Derived:
             _year_end(1995 + F.col("c_nationkey") % 7).alias("data_pregao"),
         )
 
+    @once
     def bonus_events(self) -> DataFrame:
         price = F.col("p_retailprice").cast(MONEY)
         return (
@@ -123,6 +156,7 @@ class Derived:
             .agg(F.max(price).cast(PRICE).alias("valor_base"))
         )
 
+    @once
     def bonus(self) -> DataFrame:
         from ledgerspark.operators.bonus import enrich_bonus
 
@@ -132,7 +166,7 @@ class Derived:
         """Movements as sheet cells ``c0``…``c7``; those with quantity 50 miss cells enough to go."""
         q = F.col("quantidade")
         day = F.date_format("data_pregao", "dd/MM/yyyy")
-        rows = self.movements(*extra)
+        rows = self.movements_with(*extra)
         return rows.select(
             TAXPAYER,
             F.when(q == 50, "-").otherwise(F.col("entrada_saida")).alias("c0"),
@@ -158,6 +192,7 @@ class Derived:
             (day + F.make_interval(secs=key % 1000)).alias("modificationTime"),
         )
 
+    @once
     def bonus_pages(self) -> DataFrame:
         """Company pages with one bonus card per event, one blank value in each card."""
         year = F.col("ano_ref").cast("string")
@@ -175,6 +210,7 @@ class Derived:
         )
         return self.bonus_events().select("ticker", html.alias("html"))
 
+    @once
     def taxpayers(self) -> DataFrame:
         """Taxpayers of all tables with made-up names and tax numbers."""
         found = [t.select(TAXPAYER) for t in (self.movements(), self.custody(), self.loans())]

@@ -85,7 +85,7 @@ def write_dumps(d: Derived) -> str:
     Each dump also has a table that is not imported and a second block of movements.
     """
     number, key = _file_number(), F.col("o_orderkey").alias("line")
-    movements = d.movements(number, key).withColumn("pk_movimentacao", movement_key())
+    movements = d.movements_with(number, key).withColumn("pk_movimentacao", movement_key())
     # A dash stands for a missing broker in the old database.
     broker = F.when(F.col("quantidade") == 3, "-").otherwise(F.col("instituicao"))
     moved = movements.withColumn("instituicao", broker)
@@ -95,7 +95,7 @@ def write_dumps(d: Derived) -> str:
     }
     blocks = [
         _data_lines(moved, columns["movimentacao"], 1),
-        _data_lines(d.received(number, key), columns["proventos_recebidos"], 4),
+        _data_lines(d.received_with(number, key), columns["proventos_recebidos"], 4),
         _frame_lines(movements.select(TAXPAYER, "file_no").distinct(), columns),
     ]
     order = [TAXPAYER, "file_no", "block", "line"]

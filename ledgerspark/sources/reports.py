@@ -9,7 +9,7 @@ from ledgerspark.operators.merge import first_per_key
 from ledgerspark.schemas import ANNUAL, MOVEMENTS, TAXPAYER, TRADES
 from ledgerspark.sources.workbook import workbook_cells
 
-_NAME = rf"([^/]+)-({MOVEMENTS}|{TRADES}|{ANNUAL})-(\d{{4}})[^/]*\.xlsx$"
+_NAME = rf"^(.+)-({MOVEMENTS}|{TRADES}|{ANNUAL})-(\d{{4}}).*\.xlsx\z"
 # Below this many files their names are broadcast; above it they are joined by a shuffle.
 BROADCAST_FILES = 50_000
 
@@ -26,14 +26,17 @@ def binary_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_owner(files: DataFrame) -> DataFrame:
     """Add taxpayer, report and reference year from ``<taxpayer>-<report>-<year>….xlsx``."""
-    path = F.col("path")
-    return files.filter(path.rlike(_NAME)).withColumns(
+    name = F.substring_index("path", "/", -1)
+    parts = files.withColumns(
         {
-            TAXPAYER: F.regexp_extract(path, _NAME, 1),
-            "report": F.regexp_extract(path, _NAME, 2),
-            "ref_year": F.regexp_extract(path, _NAME, 3).cast("int"),
+            TAXPAYER: F.regexp_extract(name, _NAME, 1),
+            "report": F.regexp_extract(name, _NAME, 2),
+            "_year": F.regexp_extract(name, _NAME, 3),
         }
     )
+    # Other files give empty parts.
+    named = parts.filter("_year <> ''")
+    return named.withColumn("ref_year", F.col("_year").cast("int")).drop("_year")
 
 
 def latest_files(files: DataFrame) -> DataFrame:

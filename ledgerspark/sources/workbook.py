@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import io
 import posixpath
-import re
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal
+from functools import cache
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -57,12 +57,13 @@ def _arrow_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
-def _local(tag: str) -> str:
-    return tag.rpartition("}")[2]
+def _children(root: ElementTree.Element, name: str) -> Iterator[ElementTree.Element]:
+    """Elements of a name in any namespace; writers differ in the namespace they use."""
+    return (e for e in root.iter() if e.tag.endswith("}" + name))
 
 
-def _texts(element: ElementTree.Element) -> str:
-    return "".join(t.text or "" for t in element.iter() if _local(t.tag) == "t")
+def _texts(element: ElementTree.Element, space: str) -> str:
+    return "".join([t.text or "" for t in element.iter(space + "t")])
 
 
 def _sheet_rows(content: bytes) -> Iterator[tuple[int, str, int, list[str | None]]]:
@@ -80,45 +81,48 @@ def _sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
         e.get("Id"): e.get("Target") for e in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     }
     parts = []
-    for e in ElementTree.fromstring(book.read("xl/workbook.xml")).iter():
-        if _local(e.tag) == "sheet":
-            link = next(v for k, v in e.attrib.items() if _local(k) == "id" and k.startswith("{"))
-            parts.append((e.get("name"), posixpath.normpath(posixpath.join("/xl", targets[link]))[1:]))
+    for e in _children(ElementTree.fromstring(book.read("xl/workbook.xml")), "sheet"):
+        link = next(v for k, v in e.attrib.items() if k.endswith("}id"))
+        parts.append((e.get("name"), posixpath.normpath(posixpath.join("/xl", targets[link]))[1:]))
     return parts
 
 
 def _shared_texts(book: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
-    return [_texts(si) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+    root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
+    return [_texts(si, si.tag.removesuffix("si")) for si in root]
 
 
 def _part_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[list[str | None]]:
     with book.open(part) as stream:
-        for _, element in ElementTree.iterparse(stream):
-            if _local(element.tag) != "row":
+        for _, row in ElementTree.iterparse(stream):
+            if not row.tag.endswith("}row"):
                 continue
+            space = row.tag.removesuffix("row")
             cells: list[str | None] = []
-            for cell in element:
-                at = _column_number(cell.get("r")) if cell.get("r") else len(cells)
-                cells += [None] * (at - len(cells))
-                cells.append(_cell_text(cell, shared))
+            for cell in row:
+                name = cell.get("r")
+                if name:
+                    cells += [None] * (_column_number(name.rstrip("0123456789")) - len(cells))
+                cells.append(_cell_text(cell, space, shared))
             yield cells
-            element.clear()
+            row.clear()
 
 
-def _column_number(reference: str) -> int:
+@cache
+def _column_number(letters: str) -> int:
     number = 0
-    for letter in re.match("[A-Z]+", reference).group():
+    for letter in letters:
         number = number * 26 + ord(letter) - ord("A") + 1
     return number - 1
 
 
-def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
+def _cell_text(cell: ElementTree.Element, space: str, shared: list[str]) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
-        return _texts(cell)
-    value = next((v.text for v in cell if _local(v.tag) == "v"), None)
+        return _texts(cell, space)
+    value = cell.findtext(space + "v")
     if value is None:
         return None
     if kind == "s":
