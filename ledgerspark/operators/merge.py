@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.joins import without_match
 from ledgerspark.schemas import TAXPAYER, TableSpec
-
-INGEST_RUN = "ingest_run"
+from ledgerspark.sources.tables import BUCKET, INGEST_RUN, bucket_of, stored_rows, write_table
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -42,31 +40,23 @@ def insert_ignore(
     return existing.unionByName(new_rows(batch, existing, key, order))
 
 
-def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None before its first write."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def append_new_rows(
-    batch: DataFrame, path: str, key: list[str], order: list[Column], run: str
+    batch: DataFrame, path: str, key: list[str], order: list[Column], run: str, columns: list[str]
 ) -> None:
-    """Append the unseen rows of ``batch`` to the Parquet table at ``path`` under partition ``run``.
+    """Append the unseen rows of ``batch`` to the stored table at ``path``, marked with ``run``.
 
-    Every row is decided by its key alone: a run that failed half-way can be repeated and adds only
-    what is missing. One writer per table at a time; plain Parquet has no transactions.
+    Only the buckets of the batch's taxpayers are read from the table. Every row is decided by its
+    key alone: a run that failed half-way can be repeated and adds only what is missing. One writer
+    per table at a time; plain Parquet has no transactions.
     """
     existing = stored_rows(batch.sparkSession, path)
-    rows = (
-        first_per_key(batch, key, order)
-        if existing is None
-        else new_rows(batch, existing, key, order)
-    )
-    rows.withColumn(INGEST_RUN, F.lit(run)).write.mode("append").partitionBy(INGEST_RUN).parquet(path)
+    if existing is None:
+        rows = first_per_key(batch, key, order)
+    else:
+        # At most one number per bucket comes to the driver.
+        touched = [r[0] for r in batch.select(bucket_of(F.col(TAXPAYER))).distinct().collect()]
+        rows = new_rows(batch, existing.filter(F.col(BUCKET).isin(touched)), key, order)
+    write_table(rows.select(*columns, F.lit(run).alias(INGEST_RUN)), path, "append")
 
 
 def import_summary(read: DataFrame, inserted: DataFrame) -> DataFrame:
@@ -87,8 +77,3 @@ def import_summary(read: DataFrame, inserted: DataFrame) -> DataFrame:
 def write_summary(summary: DataFrame, path: str) -> None:
     """Import summary as one JSON object per table."""
     summary.coalesce(1).write.mode("overwrite").json(path)
-
-
-def tenant_rows(df: DataFrame, taxpayer: str) -> DataFrame:
-    """Rows of one taxpayer; the filter reaches the Parquet scan."""
-    return df.filter(F.col(TAXPAYER) == taxpayer)

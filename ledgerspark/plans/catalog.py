@@ -28,12 +28,14 @@ from ledgerspark.functions.text import (
     without_float_suffix,
 )
 from ledgerspark.operators import bonus, declaration, income, ingest, merge, position, records, report
-from ledgerspark.plans.derived import REGISTRY, Derived, once
+from ledgerspark.plans.derived import REGISTRY, Derived, movements_of, once
 from ledgerspark.plans.files import movement_workbooks, write_dumps
 from ledgerspark.plans.oracle import decimal_of, money, query
 from ledgerspark.schemas import MONEY, PRICE, TAXPAYER, table_spec
 from ledgerspark.session import scratch_dir
 from ledgerspark.sources import legacy_dump, reports, workbook
+from ledgerspark.sources.tables import read_table
+from ledgerspark.streaming.incremental import import_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -380,29 +382,25 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 @_register(
     "stream_incremental_import",
-    "SELECT taxpayer_id, pk_movimentacao, min(instituicao) AS instituicao, any_value(quantidade) AS quantidade, "
-    "any_value(valor_operacao) AS valor_operacao FROM keyed GROUP BY 1, 2",
+    "SELECT * EXCLUDE (rn, _source) FROM (SELECT *, row_number() OVER (PARTITION BY taxpayer_id, pk_movimentacao "
+    "ORDER BY instituicao) AS rn FROM keyed) WHERE rn = 1",
     keyed=f"SELECT *, {_MOVEMENT_KEY_SQL} AS pk_movimentacao FROM b3_movimentacao",
 )
 def _(d: Derived) -> DataFrame:
-    from ledgerspark.plans.derived import movements_of
-    from ledgerspark.streaming.incremental import import_increment
-
     def prepare(orders: DataFrame) -> DataFrame:
         return movements_of(orders).withColumn("pk_movimentacao", keys.movement_key())
 
     spec, folder = table_spec("b3_movimentacao"), scratch_dir(d.spark, "stream")
+    columns = spec.schema.names
+    order = [F.col("instituicao")]
     # A pattern, because a file stream does not take the path of a single file.
     orders = f"{d.sf_dir}/orders.parquet*"
     # The second import sees every file again and must add nothing.
     for run in ("first", "second"):
         files = d.spark.readStream.schema(d.source("orders").schema).parquet(orders)
         checkpoint = f"{folder}/checkpoint-{run}"
-        import_increment(
-            files, prepare, f"{folder}/table", checkpoint, spec.key, [F.col("instituicao")], run
-        )
-    table = d.spark.read.parquet(f"{folder}/table")
-    return table.select(TAXPAYER, "pk_movimentacao", "instituicao", "quantidade", "valor_operacao")
+        import_increment(files, prepare, f"{folder}/table", checkpoint, spec.key, order, run, columns)
+    return read_table(d.spark, f"{folder}/table", spec)
 
 
 def _owner_of_dump():

@@ -48,18 +48,36 @@ def latest_files(files: DataFrame) -> DataFrame:
     )
 
 
-def latest_contents(spark: SparkSession, folder: str) -> DataFrame:
-    """Contents of the newest files of a folder; a folder without any is an error.
+def of_year(files: DataFrame, year: int) -> DataFrame:
+    """Files an import of ``year`` reads: that year's reports and the annual report before it."""
+    annual = F.col("report") == ANNUAL
+    return files.filter(F.col("ref_year") == F.when(annual, F.lit(year - 1)).otherwise(F.lit(year)))
 
-    The choice is made on file names and times; contents are read afterwards and never shuffled
-    while the list of names is short.
+
+def missing_reports(latest: DataFrame) -> DataFrame:
+    """Taxpayers that lack one of the three reports, with the reports they have."""
+    found = latest.groupBy(TAXPAYER).agg(F.sort_array(F.collect_set("report")).alias("reports"))
+    return found.filter(F.size("reports") < 3)
+
+
+def latest_contents(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
+    """Contents of the newest files of a folder; a report that is missing is an error.
+
+    With a year, every taxpayer needs all three reports of it. The choice is made on file names and
+    times; contents are read afterwards and never shuffled while the list of names is short.
     """
     files = with_owner(binary_files(spark, folder))
-    chosen = latest_files(files.select("path", "modificationTime", TAXPAYER, "report", "ref_year"))
-    chosen = chosen.select("path")
-    n_files = chosen.count()
+    named = files.select("path", "modificationTime", TAXPAYER, "report", "ref_year")
+    latest = latest_files(named if year is None else of_year(named, year))
+    n_files = latest.count()
     if n_files == 0:
         raise FileNotFoundError(f"no report in {folder}")
+    if year is not None:
+        lacking = missing_reports(latest).limit(5).collect()
+        if lacking:
+            have = "; ".join(f"{r[0]} has only {', '.join(r[1])}" for r in lacking)
+            raise FileNotFoundError(f"reports missing in {folder}: {have}")
+    chosen = latest.select("path")
     names = F.broadcast(chosen) if n_files <= BROADCAST_FILES else chosen
     return files.join(names, "path", "left_semi")
 

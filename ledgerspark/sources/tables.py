@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.merge import tenant_rows
-from ledgerspark.schemas import TAXPAYER
+from ledgerspark.schemas import TAXPAYER, TableSpec
 
 BUCKET = "taxpayer_bucket"
 BUCKETS = 64
+INGEST_RUN = "ingest_run"
 
 
-def _bucket(taxpayer):
+def bucket_of(taxpayer: Column) -> Column:
+    """Bucket of a taxpayer; a fixed number of them, however many taxpayers there are."""
     return F.pmod(F.xxhash64(taxpayer), F.lit(BUCKETS)).cast("int")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet table in taxpayer buckets, sorted by taxpayer so that a reader can skip row groups.
 
-    Buckets, not taxpayers, are the partitions: their number does not grow with the taxpayers. The
-    rebalance splits a bucket that one large taxpayer fills over several tasks and files.
+    The rebalance splits a bucket that one large taxpayer fills over several tasks and files, and
+    joins small ones.
     """
     (
-        df.withColumn(BUCKET, _bucket(F.col(TAXPAYER)))
+        df.withColumn(BUCKET, bucket_of(F.col(TAXPAYER)))
         .hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, TAXPAYER)
         .write.mode(mode)
@@ -32,12 +34,31 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def read_table(spark: SparkSession, path: str, taxpayer: str | None = None) -> DataFrame:
-    """A stored table, or one taxpayer's rows of it: one bucket's files and few row groups."""
-    table = spark.read.parquet(path)
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table at ``path`` with its bucket column, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def tenant_rows(df: DataFrame, taxpayer: str) -> DataFrame:
+    """One taxpayer's rows of a stored table: one bucket's files, and few row groups of those."""
+    return df.filter((F.col(BUCKET) == bucket_of(F.lit(taxpayer))) & (F.col(TAXPAYER) == taxpayer))
+
+
+def read_table(
+    spark: SparkSession, path: str, spec: TableSpec, taxpayer: str | None = None
+) -> DataFrame:
+    """Rows of a stored table, of one taxpayer if given; a table never written has none."""
+    table = stored_rows(spark, path)
+    if table is None:
+        return spark.createDataFrame([], spec.schema)
     if taxpayer is not None:
-        table = tenant_rows(table.filter(F.col(BUCKET) == _bucket(F.lit(taxpayer))), taxpayer)
-    return table.drop(BUCKET)
+        table = tenant_rows(table, taxpayer)
+    return table.select(*spec.schema.names)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:

@@ -17,6 +17,7 @@ def import_increment(
     key: list[str],
     order: list[Column],
     run: str,
+    columns: list[str],
 ) -> None:
     """Bring the rows of all new files of a file stream into the table at ``target``, then stop.
 
@@ -25,7 +26,7 @@ def import_increment(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new_rows(prepare(batch), target, key, order, f"{run}-{batch_id}")
+        append_new_rows(prepare(batch), target, key, order, f"{run}-{batch_id}", columns)
 
     query = (
         stream.writeStream.foreachBatch(write_batch)
