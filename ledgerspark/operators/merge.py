@@ -10,7 +10,7 @@ from ledgerspark.schemas import TAXPAYER, TableSpec
 from ledgerspark.sources.tables import BUCKET, INGEST_RUN, bucket_of, stored_rows, write_table
 
 
-def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
     """First row of each key (null key parts are equal) in the given order.
 
     Spark keeps one row per key in every map task before it shuffles (WindowGroupLimit), so a key
@@ -25,7 +25,7 @@ def keep_smallest_id(df: DataFrame, spec: TableSpec) -> DataFrame:
     return first_per_key(df, spec.key, [F.col(spec.id_column).asc_nulls_last()])
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing``, one per key.
 
     Repeats go first, so no key is hot in the anti-join, and only key columns of ``existing`` move.
@@ -34,14 +34,14 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[
 
 
 def insert_ignore(
-    existing: DataFrame, batch: DataFrame, key: list[str], order: list[Column]
+    existing: DataFrame, batch: DataFrame, key: list[str], order: list[Column | str]
 ) -> DataFrame:
     """The table after an insert that ignores rows whose key it already has."""
     return existing.unionByName(new_rows(batch, existing, key, order))
 
 
 def append_new_rows(
-    batch: DataFrame, path: str, key: list[str], order: list[Column], run: str, columns: list[str]
+    batch: DataFrame, path: str, key: list[str], order: list[Column | str], run: str, columns: list[str]
 ) -> None:
     """Append the unseen rows of ``batch`` to the stored table at ``path``, marked with ``run``.
 

@@ -19,7 +19,7 @@ from ledgerspark.sources.tables import INGEST_RUN, write_table
 
 MOVEMENT_TABLE, BONUS_TABLE = "b3_movimentacao", "b3_bonificacao_acoes"
 # Order of arrival: it decides which of several rows with one key stays.
-ARRIVAL = [F.col("path"), F.col("row_idx")]
+ARRIVAL = ["path", "row_idx"]
 
 
 def table_path(tables_dir: str, table: str) -> str:

@@ -15,7 +15,7 @@ def import_increment(
     target: str,
     checkpoint: str,
     key: list[str],
-    order: list[Column],
+    order: list[Column | str],
     run: str,
     columns: list[str],
 ) -> None:
