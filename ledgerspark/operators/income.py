@@ -37,15 +37,8 @@ def latest_position(positions: DataFrame) -> DataFrame:
     )
 
 
-def _income_by_product(
-    events: DataFrame, positions: DataFrame, kind: str, amount: str, year: int | None, drop_zero: bool
-) -> DataFrame:
-    """Amount per taxpayer, year, ticker, tax id, company and type.
-
-    Events are added up before the tax id is joined: it depends on taxpayer and ticker alone, so the
-    groups stay the same, and the join sees one row per group instead of every event.
-    """
-    group = [TAXPAYER, YEAR, "ticker", "nome_compania", "movimentacao"]
+def _totals(events: DataFrame, kind: str, amount: str, year: int | None, drop_zero: bool) -> DataFrame:
+    """Amount per taxpayer, year, ticker, company and type."""
     totals = (
         events.filter(of_year(F.col("data_pregao"), year))
         .select(
@@ -56,11 +49,18 @@ def _income_by_product(
             F.col(kind).alias("movimentacao"),
             F.col(amount).alias("_amount"),
         )
-        .groupBy(*group)
+        .groupBy(TAXPAYER, YEAR, "ticker", "nome_compania", "movimentacao")
         .agg(F.sum("_amount").cast(MONEY_SUM).alias("valor_operacao"))
     )
-    if drop_zero:
-        totals = totals.filter(F.col("valor_operacao") != 0)
+    return totals.filter(F.col("valor_operacao") != 0) if drop_zero else totals
+
+
+def _with_tax_ids(totals: DataFrame, positions: DataFrame) -> DataFrame:
+    """Totals with the tax id of the taxpayer's newest position in the ticker.
+
+    The tax id depends on taxpayer and ticker alone, so joining it after adding up leaves the groups
+    as they are, and the join sees one row per group instead of every event.
+    """
     tax_ids = latest_position(positions).select(TAXPAYER, "ticker", "cnpj")
     return totals.join(tax_ids, [TAXPAYER, "ticker"], "left").select(
         TAXPAYER,
@@ -73,17 +73,32 @@ def _income_by_product(
     )
 
 
+def _bonus_totals(bonus: DataFrame, year: int | None) -> DataFrame:
+    rows = bonus.filter(F.col("movimentacao") == BONUS)
+    return _totals(rows, "movimentacao", "valor_operacao", year, drop_zero=False)
+
+
+def _income_totals(movements: DataFrame, year: int | None) -> DataFrame:
+    rows = movements.filter(F.col("movimentacao").isin(*INCOME_TYPES))
+    return _totals(rows, "movimentacao", "valor_operacao", year, drop_zero=True)
+
+
 def bonus_income(bonus: DataFrame, positions: DataFrame, year: int | None = None) -> DataFrame:
     """Bonus value per taxpayer, year, ticker, tax id and company."""
-    rows = bonus.filter(F.col("movimentacao") == BONUS)
-    out = _income_by_product(rows, positions, "movimentacao", "valor_operacao", year, drop_zero=False)
-    return out.drop("movimentacao")
+    return _with_tax_ids(_bonus_totals(bonus, year), positions).drop("movimentacao")
 
 
 def income(movements: DataFrame, positions: DataFrame, year: int | None = None) -> DataFrame:
     """Income per taxpayer, year, ticker, tax id, company and movement type; zero totals left out."""
-    rows = movements.filter(F.col("movimentacao").isin(*INCOME_TYPES))
-    return _income_by_product(rows, positions, "movimentacao", "valor_operacao", year, drop_zero=True)
+    return _with_tax_ids(_income_totals(movements, year), positions)
+
+
+def income_and_bonus(
+    movements: DataFrame, bonus: DataFrame, positions: DataFrame, year: int | None = None
+) -> DataFrame:
+    """Income and bonus rows together, bonuses under their movement type, tax ids joined once."""
+    totals = _income_totals(movements, year).unionByName(_bonus_totals(bonus, year))
+    return _with_tax_ids(totals, positions)
 
 
 def income_from_annual(
@@ -91,10 +106,9 @@ def income_from_annual(
 ) -> DataFrame:
     """Earlier form of the income view, from the annual report's two event tables."""
     parts = [
-        _income_by_product(t, positions, "tipo_evento", "valor_liquido", year, drop_zero=True)
-        for t in (received, reimbursed)
+        _totals(t, "tipo_evento", "valor_liquido", year, drop_zero=True) for t in (received, reimbursed)
     ]
-    return parts[0].unionByName(parts[1])
+    return _with_tax_ids(parts[0].unionByName(parts[1]), positions)
 
 
 def view_income(movements: DataFrame, positions: DataFrame) -> DataFrame:
@@ -113,25 +127,30 @@ def income_of_types(income_rows: DataFrame, types: list[str], year: int | None =
     return rows if year is None else rows.filter(F.col(YEAR) == year)
 
 
-def by_category(income_rows: DataFrame) -> DataFrame:
-    """Income per taxpayer, year, ticker and tax category.
+def _category() -> Column:
+    return F.try_element_at(config_map(CATEGORY_OF_TYPE), F.col("movimentacao"))
+
+
+def _summed(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Plain and transferred payments added up.
 
-    Plain and transferred payments of one category are added up. The label is the smallest type,
-    which is the plain one where both occur; the company is the smallest spelling.
+    The label is the smallest type, which is the plain one where both occur; the company is the
+    smallest spelling.
     """
-    category = F.try_element_at(config_map(CATEGORY_OF_TYPE), F.col("movimentacao"))
-    return (
-        income_rows.withColumn("category", category)
-        .groupBy(TAXPAYER, YEAR, "ticker", "category")
-        .agg(
-            F.min("cnpj").alias("cnpj"),
-            F.min("nome_compania").alias("nome_compania"),
-            F.min("movimentacao").alias("movimentacao"),
-            F.sum("valor_operacao").cast(MONEY_SUM).alias("valor_operacao"),
-        )
+    return rows.groupBy(*key).agg(
+        F.min("cnpj").alias("cnpj"),
+        F.min("nome_compania").alias("nome_compania"),
+        F.min("movimentacao").alias("movimentacao"),
+        F.sum("valor_operacao").cast(MONEY_SUM).alias("valor_operacao"),
     )
 
 
+def by_category(income_rows: DataFrame) -> DataFrame:
+    """Income per taxpayer, year, ticker and tax category."""
+    rows = income_rows.withColumn("category", _category())
+    return _summed(rows, [TAXPAYER, YEAR, "ticker", "category"])
+
+
 def of_active_tickers(rows: DataFrame, active: DataFrame) -> DataFrame:
     """Rows of tickers that the taxpayer held or lent in that year."""
     return rows.join(active, [TAXPAYER, YEAR, "ticker"], "left_semi")
@@ -165,31 +184,42 @@ def section_total(income_rows: DataFrame, years: DataFrame, kind: str) -> DataFr
     )
 
 
-def declared_entries(income_rows: DataFrame, bonus_rows: DataFrame, active: DataFrame) -> DataFrame:
+def declared_entries(rows: DataFrame, active: DataFrame, years: DataFrame | None = None) -> DataFrame:
     """All declared amounts in one pass: per active ticker, and one row per scalar category.
 
-    Scalar categories have an empty ticker and take every ticker's income.
+    ``rows`` are income and bonus rows. Scalar categories have an empty ticker and take every
+    ticker's income; with ``years`` they have a row, of 0 if need be, in each of those.
     """
-    rows = by_category(income_rows.unionByName(bonus_rows.withColumn("movimentacao", F.lit(BONUS))))
-    flagged = rows.join(
+    scalar = F.col("category").isin(*SCALAR_CATEGORIES)
+    flagged = rows.withColumn("category", _category()).join(
         active.withColumn("_active", F.lit(True)), [TAXPAYER, YEAR, "ticker"], "left"
     )
-    scalar = F.col("category").isin(*SCALAR_CATEGORIES)
-    blank = F.lit("")
-    return (
-        flagged.filter(scalar | F.col("_active"))
-        .withColumns(
-            {
-                "ticker": F.when(scalar, blank).otherwise(F.col("ticker")),
-                "cnpj": F.when(scalar, blank).otherwise(F.col("cnpj")),
-                "nome_compania": F.when(scalar, blank).otherwise(F.col("nome_compania")),
-            }
-        )
-        .groupBy(TAXPAYER, YEAR, "category", "ticker")
-        .agg(
-            F.min("cnpj").alias("cnpj"),
-            F.min("nome_compania").alias("nome_compania"),
-            F.min("movimentacao").alias("movimentacao"),
-            F.sum("valor_operacao").cast(MONEY_SUM).alias("valor_operacao"),
-        )
+
+    def of_ticker(column: str) -> Column:
+        return F.when(scalar, F.lit("")).otherwise(F.col(column)).alias(column)
+
+    kept = flagged.filter(scalar | F.col("_active")).select(
+        TAXPAYER,
+        YEAR,
+        "category",
+        of_ticker("ticker"),
+        of_ticker("cnpj"),
+        of_ticker("nome_compania"),
+        "movimentacao",
+        "valor_operacao",
+    )
+    if years is not None:
+        kept = kept.unionByName(_zero_totals(years))
+    return _summed(kept, [TAXPAYER, YEAR, "category", "ticker"])
+
+
+def _zero_totals(years: DataFrame) -> DataFrame:
+    categories = F.explode(F.array(*[F.lit(c) for c in SCALAR_CATEGORIES])).alias("category")
+    return years.select(TAXPAYER, YEAR, categories).select(
+        "*",
+        F.lit("").alias("ticker"),
+        F.lit("").alias("cnpj"),
+        F.lit("").alias("nome_compania"),
+        F.lit(None).cast("string").alias("movimentacao"),
+        F.lit(0).cast(MONEY_SUM).alias("valor_operacao"),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from ledgerspark.fixed_values import (
     ReportText,
 )
 from ledgerspark.functions.text import exact_decimal, format_amount, resolve_tax_id
-from ledgerspark.operators.declaration import DECLARATION_KEY, SCALARS
+from ledgerspark.operators.declaration import DECLARATION_KEY
 from ledgerspark.operators.income import YEAR
 from ledgerspark.schemas import TAXPAYER
 
@@ -105,23 +103,6 @@ def entry_lines(entries: DataFrame, words: ReportText, registry: dict[str, str])
     )
 
 
-def scalar_entries(entries: DataFrame, years: DataFrame) -> DataFrame:
-    """Both scalar categories for every taxpayer and year, 0 where nothing was received."""
-    totals = entries.filter(F.col("category").isin(*SCALARS)).select(
-        *DECLARATION_KEY, "category", "valor_operacao"
-    )
-    every = years.withColumn("category", F.explode(F.array(*[F.lit(c) for c in SCALARS])))
-    return every.join(totals, [*DECLARATION_KEY, "category"], "left").select(
-        *DECLARATION_KEY,
-        "category",
-        F.lit("").alias("ticker"),
-        F.lit("").alias("cnpj"),
-        F.lit("").alias("nome_compania"),
-        F.lit(None).cast("string").alias("movimentacao"),
-        F.coalesce("valor_operacao", F.lit(0)).alias("valor_operacao"),
-    )
-
-
 def _contributor_text(words: ReportText) -> Column:
     name, cpf = (F.coalesce(c, F.lit("")) for c in ("full_name", "cpf"))
     return _text(words.full_name_label, name, "\n", words.cpf_label, cpf, "\n\n")
@@ -162,18 +143,16 @@ def report_lines(
 ) -> DataFrame:
     """All parts of all reports as rows; ``LINE_ORDER`` is their order within a report.
 
-    ``years`` names the reports; positions and entries must be of those years.
+    ``years`` names the reports; positions and entries must be of those years, and the entries must
+    have both scalar categories in each.
     """
     words = words or ReportText()
     registry = DELISTED_TAX_IDS if registry is None else registry
-    per_ticker = entries.filter(~F.col("category").isin(*SCALARS))
-    all_entries = per_ticker.unionByName(scalar_entries(entries, years))
-    parts = [
-        frame_lines(years, taxpayers, words),
-        position_lines(positions, words),
-        entry_lines(all_entries, words, registry),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return (
+        frame_lines(years, taxpayers, words)
+        .unionByName(position_lines(positions, words))
+        .unionByName(entry_lines(entries, words, registry))
+    )
 
 
 def assemble_reports(lines: DataFrame) -> DataFrame:

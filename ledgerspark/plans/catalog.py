@@ -653,7 +653,8 @@ def _years(d: Derived) -> DataFrame:
 
 @once
 def _entries(d: Derived) -> DataFrame:
-    return income.declared_entries(_income(d), _bonus_income(d), _active(d))
+    rows = income.income_and_bonus(d.movements(), d.bonus(), d.custody())
+    return income.declared_entries(rows, _active(d), _years(d))
 
 
 @once

@@ -15,7 +15,7 @@ from ledgerspark.operators.declaration import (
     nested_declaration,
     requested_year,
 )
-from ledgerspark.operators.income import bonus_income, declared_entries, income
+from ledgerspark.operators.income import declared_entries, income_and_bonus
 from ledgerspark.operators.position import position
 from ledgerspark.operators.report import report_lines, write_reports
 from ledgerspark.plans.import_run import table_path
@@ -68,9 +68,8 @@ class Declaration:
         return active_tickers(self.custody, self.loans, self.year)
 
     def entries(self) -> DataFrame:
-        earned = income(self.movements, self.custody, self.year)
-        extra = bonus_income(self.bonus, self.custody, self.year)
-        return self._requested(declared_entries(earned, extra, self.active()))
+        rows = income_and_bonus(self.movements, self.bonus, self.custody, self.year)
+        return self._requested(declared_entries(rows, self.active(), self.years))
 
     def lines(self, words: ReportText | None = None) -> DataFrame:
         return report_lines(

@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g",
+        # Plans are compared as text: do not shorten what scans push down.
+        "spark.sql.maxMetadataStringLength": "10000",
     }
     session = build_session("tests", "local[4]", **conf)
     session.sparkContext.setLogLevel("OFF")

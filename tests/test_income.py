@@ -83,13 +83,20 @@ def test_sections_need_an_active_ticker_but_totals_do_not(table, frame):
     )
     active = frame([("tp", 2024, "A3")], "taxpayer_id string, ano_base int, ticker string")
     rows = income.income(moves, table("b3_posicao_acoes"))
-    none = income.bonus_income(table("b3_bonificacao_acoes"), table("b3_posicao_acoes"))
-    entries = income.declared_entries(rows, none, active)
+    both = income.income_and_bonus(moves, table("b3_bonificacao_acoes"), table("b3_posicao_acoes"))
+    entries = income.declared_entries(both, active)
     assert rows_of(entries, "category", "ticker", "valor_operacao") == [
         ("exempt_dividend", "A3", Decimal(10)),
         ("taxable_lending", "", Decimal(12)),
     ]
     years = frame([("tp", 2024), ("tp", 2020)], "taxpayer_id string, ano_base int")
+    with_zeros = income.declared_entries(both, active, years).filter("ticker = ''")
+    assert rows_of(with_zeros, "ano_base", "category", "valor_operacao") == [
+        (2020, "exempt_reimbursement", Decimal(0)),
+        (2020, "taxable_lending", Decimal(0)),
+        (2024, "exempt_reimbursement", Decimal(0)),
+        (2024, "taxable_lending", Decimal(12)),
+    ]
     totals = income.section_total(rows, years, "Empréstimo")
     assert rows_of(totals, "ano_base", "valor_operacao") == [(2020, Decimal(0)), (2024, Decimal(12))]
 

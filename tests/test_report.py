@@ -22,6 +22,9 @@ def parts(frame):
             ("tp", 2024, "exempt_bonus_shares", "KLBN11", "", "KLABIN", "Bonificação", None),
             ("tp", 2024, "taxable_monetary_update", "BBAS3", "191", "BANCO", "Rendimento", Decimal("3.00")),
             ("tp", 2024, "taxable_lending", "", "", "", "Empréstimo", Decimal("50.00")),
+            ("tp", 2024, "exempt_reimbursement", "", "", "", None, Decimal(0)),
+            ("empty", 2024, "taxable_lending", "", "", "", None, Decimal(0)),
+            ("empty", 2024, "exempt_reimbursement", "", "", "", None, Decimal(0)),
         ],
         ENTRY,
     )

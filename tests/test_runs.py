@@ -142,7 +142,8 @@ def test_income_of_the_year_goes_to_active_tickers(spark, imported):
     entries = Declaration(spark, tables, people, 2024).entries()
     # No annual report of 2024 yet: no active ticker, but lending income counts.
     assert rows_of(entries.select("taxpayer_id", "category", F.col("valor_operacao").cast("double"))) == [
-        ("ana", "taxable_lending", 1002.0)
+        ("ana", "exempt_reimbursement", 0.0),
+        ("ana", "taxable_lending", 1002.0),
     ]
 
 
