@@ -246,11 +246,7 @@ def trades_of(lineitem: DataFrame) -> DataFrame:
 def movements_of(orders: DataFrame, *extra: Column) -> DataFrame:
     """Movements from orders, twelve types in turn."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    kind = reduce(
-        lambda chain, it: chain.when(key % 12 == it[0], it[1]),
-        list(enumerate(MOVEMENT_TYPES))[1:-1],
-        F.when(key % 12 == 0, MOVEMENT_TYPES[0]),
-    ).otherwise(MOVEMENT_TYPES[-1])
+    kind = F.element_at(F.array(*[F.lit(t) for t in MOVEMENT_TYPES]), (key % 12 + 1).cast("int"))
     value = F.col("o_totalprice").cast(MONEY)
     return orders.select(
         _taxpayer(key),

@@ -33,10 +33,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     Only a local session without the setting gets a temporary folder of its own.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="ledgerspark-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -72,6 +72,9 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, str, int, list[str | None
         for sheet_no, (sheet, part) in enumerate(_sheet_parts(book)):
             width = 0
             for row_idx, found in enumerate(_part_rows(book, part, shared)):
+                # Formatted but empty cells at the end of a row are not columns.
+                while len(found) > width and found[-1] is None:
+                    found.pop()
                 width = width or len(found)
                 yield sheet_no, sheet, row_idx, found + [None] * (width - len(found))
 
@@ -123,7 +126,7 @@ def _cell_text(cell: ElementTree.Element, space: str, shared: list[str]) -> str
     if kind == "inlineStr":
         return _texts(cell, space)
     value = cell.findtext(space + "v")
-    if value is None:
+    if value is None or kind == "e":
         return None
     if kind == "s":
         return shared[int(value)]

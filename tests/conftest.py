@@ -9,13 +9,13 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from ledgerspark.schemas import TABLES  # noqa: E402
-from ledgerspark.session import CHECKPOINT_DIR, build_session  # noqa: E402
+from ledgerspark.session import build_session  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     conf = {
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
@@ -26,8 +26,6 @@ def spark(tmp_path_factory):
     }
     session = build_session("tests", "local[4]", **conf)
     session.sparkContext.setLogLevel("OFF")
-    if not session.conf.get(CHECKPOINT_DIR, None):
-        session.conf.set(CHECKPOINT_DIR, str(tmp_path_factory.mktemp("scratch")))
     return session
 
 

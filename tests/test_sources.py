@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerspark.operators.bonus import page_cards, typed_cards
 from ledgerspark.plans.files import workbook_bytes
 from ledgerspark.schemas import TABLES
+from ledgerspark.session import scratch_dir
 from ledgerspark.sources import legacy_dump, reports, tables
 from ledgerspark.sources.workbook import workbook_cells
 
@@ -50,11 +51,12 @@ def test_workbook_with_shared_texts(spark):
         book.writestr(
             "xl/worksheets/sheet1.xml",
             f'<worksheet xmlns="{ns}"><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="AB1" t="s"><v>1</v></c></row>'
-            "</sheetData></worksheet>",
+            '<row><c r="A2" t="e"><v>#N/A</v></c><c r="B2"/><c r="AD2" s="3"/></row></sheetData></worksheet>',
         )
     files = spark.createDataFrame([("p", bytearray(changed.getvalue()))], "path string, content binary")
-    (row,) = workbook_cells(files).collect()
-    assert row.cells == ["a"] + [None] * 26 + ["bc"]
+    first, second = workbook_cells(files).collect()
+    assert first.cells == ["a"] + [None] * 26 + ["bc"]
+    assert second.cells == [None] * 28
 
 
 def test_newest_report_per_taxpayer_and_year(spark, tmp_path):
@@ -193,3 +195,30 @@ def test_one_tenant_is_read_from_its_bucket(spark, table, tmp_path):
     assert "EqualTo(taxpayer_id,tp7)" in plan
     assert tables.read_table(spark, path, spec).count() == 30
     assert tables.read_table(spark, str(tmp_path / "none"), spec).count() == 0
+
+
+class _Session:
+    """What ``scratch_dir`` asks of a session."""
+
+    def __init__(self, master: str, setting: str | None):
+        self.conf, self.sparkContext, self.master, self.setting = self, self, master, setting
+
+    def get(self, key, default):
+        return self.setting if key == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return self.own
+
+    def setCheckpointDir(self, path):
+        self.own = path
+
+    own = None
+
+
+def test_scratch_folder_is_the_clusters():
+    assert scratch_dir(_Session("spark://x", "hdfs://shared/"), "a").startswith("hdfs://shared/a-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session("spark://x", None), "a")
+    local = _Session("local[2]", None)
+    first, second = scratch_dir(local, "a"), scratch_dir(local, "a")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == local.own
