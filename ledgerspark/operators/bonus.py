@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerspark.fixed_values import BONUS, CARD_CLASS, CARD_FIELDS, CARD_TITLE_WORD, CARD_VALUE_CLASS
 from ledgerspark.functions.clean import clean_number
@@ -139,16 +138,3 @@ def enrich_bonus(movements: DataFrame, events: DataFrame) -> DataFrame:
         }
     ).select(*movements.columns)
 
-
-def events_schema() -> T.StructType:
-    """Schema of parsed bonus events."""
-    dates = [T.StructField(c, T.DateType()) for c in CARD_FIELDS[:4]]
-    return T.StructType(
-        [
-            T.StructField("ticker", T.StringType()),
-            *dates,
-            T.StructField("valor_base", PRICE),
-            T.StructField("proporcao", T.DoubleType()),
-            T.StructField("ano_ref", T.IntegerType()),
-        ]
-    )

@@ -41,22 +41,33 @@ def insert_ignore(
 
 
 def append_new_rows(
-    batch: DataFrame, path: str, key: list[str], order: list[Column | str], run: str, columns: list[str]
+    batch: DataFrame, path: str, spec: TableSpec, order: list[Column | str], run: str
 ) -> None:
     """Append the unseen rows of ``batch`` to the stored table at ``path``, marked with ``run``.
 
-    Only the buckets of the batch's taxpayers are read from the table. Every row is decided by its
-    key alone: a run that failed half-way can be repeated and adds only what is missing. One writer
-    per table at a time; plain Parquet has no transactions.
+    Every row is decided by its key alone: a run that failed half-way can be repeated and adds only
+    what is missing. One writer per table at a time; plain Parquet has no transactions.
     """
     existing = stored_rows(batch.sparkSession, path)
     if existing is None:
-        rows = first_per_key(batch, key, order)
+        rows = first_per_key(batch, spec.key, order)
     else:
-        # At most one number per bucket comes to the driver.
-        touched = [r[0] for r in batch.select(bucket_of(F.col(TAXPAYER))).distinct().collect()]
-        rows = new_rows(batch, existing.filter(F.col(BUCKET).isin(touched)), key, order)
-    write_table(rows.select(*columns, F.lit(run).alias(INGEST_RUN)), path, "append")
+        rows = new_rows(batch, _within_reach(existing, batch, spec.date_column), spec.key, order)
+    marked = rows.select(*spec.schema.names, F.lit(run).alias(INGEST_RUN))
+    write_table(marked, path, "append")
+
+
+def _within_reach(existing: DataFrame, batch: DataFrame, date_column: str) -> DataFrame:
+    """Stored rows that can have a key of the batch: its taxpayers' buckets, its range of dates.
+
+    Both limits reach the scan. One row comes to the driver, with at most one number per bucket.
+    """
+    day = F.col(date_column)
+    buckets, first, last, n_undated = batch.agg(
+        F.collect_set(bucket_of(F.col(TAXPAYER))), F.min(day), F.max(day), F.count_if(day.isNull())
+    ).first()
+    dated = F.lit(False) if first is None else day.between(F.lit(first), F.lit(last))
+    return existing.filter(F.col(BUCKET).isin(buckets) & (dated | day.isNull() if n_undated else dated))
 
 
 def import_summary(read: DataFrame, inserted: DataFrame) -> DataFrame:

@@ -391,15 +391,13 @@ def _(d: Derived) -> DataFrame:
         return movements_of(orders).withColumn("pk_movimentacao", keys.movement_key())
 
     spec, folder = table_spec("b3_movimentacao"), scratch_dir(d.spark, "stream")
-    columns = spec.schema.names
-    order = [F.col("instituicao")]
     # A pattern, because a file stream does not take the path of a single file.
     orders = f"{d.sf_dir}/orders.parquet*"
     # The second import sees every file again and must add nothing.
     for run in ("first", "second"):
         files = d.spark.readStream.schema(d.source("orders").schema).parquet(orders)
         checkpoint = f"{folder}/checkpoint-{run}"
-        import_increment(files, prepare, f"{folder}/table", checkpoint, spec.key, order, run, columns)
+        import_increment(files, prepare, f"{folder}/table", checkpoint, spec, ["instituicao"], run)
     return read_table(d.spark, f"{folder}/table", spec)
 
 

@@ -52,7 +52,7 @@ def run_import(
         rows.write.parquet(f"{scratch}/{name}")
         typed = spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
         target = table_path(tables_dir, name)
-        append_new_rows(typed, target, spec.key, ARRIVAL, run, spec.schema.names)
+        append_new_rows(typed, target, spec, ARRIVAL, run)
         label = F.lit(name).alias("table_name")
         read.append(typed.select(label))
         added.append(spark.read.parquet(target).filter(F.col(INGEST_RUN) == run).select(label))

@@ -36,6 +36,11 @@ class TableSpec:
     def annual(self) -> bool:
         return self.report == ANNUAL
 
+    @property
+    def date_column(self) -> str:
+        """The date that is part of every row's key."""
+        return "data_negocio" if self.report == TRADES else "data_pregao"
+
     @property
     def column_names(self) -> list[str]:
         return [name for name, _ in self.columns]

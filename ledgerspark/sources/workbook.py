@@ -11,7 +11,6 @@ import posixpath
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal
-from functools import cache
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -113,7 +112,6 @@ def _part_rows(book: zipfile.ZipFile, part: str, shared: list[str]) -> Iterator[
             row.clear()
 
 
-@cache
 def _column_number(letters: str) -> int:
     number = 0
     for letter in letters:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 
 from ledgerspark.operators.merge import append_new_rows
+from ledgerspark.schemas import TableSpec
 
 
 def import_increment(
@@ -14,10 +15,9 @@ def import_increment(
     prepare: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
-    key: list[str],
+    spec: TableSpec,
     order: list[Column | str],
     run: str,
-    columns: list[str],
 ) -> None:
     """Bring the rows of all new files of a file stream into the table at ``target``, then stop.
 
@@ -26,7 +26,7 @@ def import_increment(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new_rows(prepare(batch), target, key, order, f"{run}-{batch_id}", columns)
+        append_new_rows(prepare(batch), target, spec, order, f"{run}-{batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(write_batch)

@@ -46,13 +46,26 @@ def test_taxpayers_do_not_share_keys(table):
 
 
 def test_append_is_idempotent(spark, table, tmp_path):
-    path, columns = str(tmp_path / "t"), RECEIVED.schema.names
-    first = received(table, ("a", "P", 1, DAY), ("b", "P", 2, DAY))
-    more = received(table, ("a", "P", 1, DAY), ("c", "R", 2, DAY))
-    for run, batch in (("1", first), ("2", first), ("3", more), ("4", more)):
-        merge.append_new_rows(batch, path, RECEIVED.key, [F.col("id")], run, columns)
+    path = str(tmp_path / "t")
+    first = received(table, ("a", "P", 1, DAY), ("b", "P", 2, DAY), ("n", None, 1, None))
+    later = received(table, ("l", "P", 1, date(2025, 12, 31)))
+    more = received(table, ("a", "P", 1, DAY), ("c", "R", 2, DAY), ("m", None, 3, None))
+    none = first.filter("false")
+    undated = first.filter("id = 'n'")
+    for run, batch in enumerate((first, first, later, more, more, none, undated)):
+        merge.append_new_rows(batch, path, RECEIVED, ["id"], str(run))
     stored = tables.stored_rows(spark, path)
-    assert rows_of(stored, "id", "ingest_run") == [("a", "1"), ("c", "3")]
+    assert rows_of(stored, "id", "ingest_run") == [("a", "0"), ("c", "3"), ("l", "2"), ("n", "0")]
+
+
+def test_append_reads_only_what_the_batch_can_meet(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    rows = received(table, ("a", "P", 1, DAY))
+    merge.append_new_rows(rows, path, RECEIVED, ["id"], "1")
+    near = merge._within_reach(tables.stored_rows(spark, path), rows, "data_pregao")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(data_pregao,2024-12-31)" in plan
+    assert "PartitionFilters: [isnotnull(taxpayer_bucket" in plan
 
 
 def test_summary_counts_read_and_added_rows(spark, frame, tmp_path):
