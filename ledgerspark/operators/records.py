@@ -11,23 +11,29 @@ ADD, UPDATE = "add", "update"
 def upsert(records: DataFrame, changes: DataFrame) -> DataFrame:
     """Records after a batch of changes applied in ``seq`` order.
 
-    ``records`` has ``id`` and ``data``, ``changes`` has ``op``, ``id``, ``data`` and ``seq``. An add
-    without an id gets one from its data; an update of an unknown id changes nothing. The last change
-    of a known or added id wins. One aggregate per id, combined before the shuffle.
+    ``records`` has a unique ``id`` and ``data``, ``changes`` has ``op``, ``id``, ``data`` and
+    ``seq``. An add without an id gets one from its data; an update of an unknown id changes nothing.
+    The last change of a known or added id wins.
+
+    Only records with a change are merged. The others pass an anti-join, which Spark does without a
+    shuffle while the changed ids are few.
     """
-    old = records.select("id", "data", F.lit(-1).cast("long").alias("seq"), F.lit(True).alias("_known"))
     made = F.when(F.col("op") == ADD, F.sha2("data", 256))
     new = changes.select(
         F.coalesce("id", made).alias("id"), "data", "seq", (F.col("op") == ADD).alias("_known")
+    ).filter("id is not null")
+    changed = new.select("id").distinct()
+    old = records.join(changed, "id", "left_semi").select(
+        "id", "data", F.lit(-1).cast("long").alias("seq"), F.lit(True).alias("_known")
     )
-    return (
+    merged = (
         old.unionByName(new)
-        .filter("id is not null")
         .groupBy("id")
         .agg(F.max_by("data", "seq").alias("data"), F.max("_known").alias("_known"))
         .filter("_known")
         .select("id", "data")
     )
+    return delete(records, changed).select("id", "data").unionByName(merged)
 
 
 def payload(data: str = "data"):
@@ -35,10 +41,15 @@ def payload(data: str = "data"):
     return F.coalesce(data, F.to_json(F.struct("id")))
 
 
+def _hits(records: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Records with one of the ids, found without shuffling them while the ids are few."""
+    return records.join(wanted, "id", "left_semi")
+
+
 def lookup(records: DataFrame, ids: DataFrame) -> DataFrame:
     """Each distinct requested id with its record's JSON, null when there is no such record."""
     wanted = ids.select("id").distinct()
-    found = records.select("id", payload().alias("data"), F.lit(True).alias("_found"))
+    found = _hits(records, wanted).select("id", payload().alias("data"), F.lit(True).alias("_found"))
     return wanted.join(found, "id", "left").select(
         "id", "data", F.coalesce("_found", F.lit(False)).alias("found")
     )
@@ -51,8 +62,9 @@ def delete(records: DataFrame, ids: DataFrame) -> DataFrame:
 
 def deletion_results(records: DataFrame, ids: DataFrame) -> DataFrame:
     """Each distinct id to delete with whether there was such a record."""
-    known = records.select("id", F.lit(True).alias("_known"))
-    return ids.select("id").distinct().join(known, "id", "left").select(
+    wanted = ids.select("id").distinct()
+    known = _hits(records, wanted).select("id", F.lit(True).alias("_known"))
+    return wanted.join(known, "id", "left").select(
         "id", F.coalesce("_known", F.lit(False)).alias("deleted")
     )
 
