@@ -18,6 +18,8 @@ def build_session(app: str = "ledgerspark", master: str | None = None, **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Plans have hundreds of expressions; recording a Python call site for each takes seconds.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
