@@ -105,3 +105,50 @@ def test_record_lookup_delete_and_decode(frame):
     assert rows_of(records.delete(old, ids), "id") == [("1",)]
     assert rows_of(records.deletion_results(old, ids)) == [("2", True), ("3", False)]
     assert rows_of(records.decode(old, "k int")) == [("1", 1), ("2", None)]
+
+
+def test_random_merges_against_brute_force(spark, frame):
+    """Insert-or-ignore and record changes on random rows with many repeats and null key parts."""
+    import random
+
+    rng = random.Random(7)
+
+    def some(n, first_id):
+        return [
+            (rng.choice(["t", "u", None]), rng.choice(["a", "b", "c", None]), rng.randrange(5), first_id + i)
+            for i in range(n)
+        ]
+
+    schema = "taxpayer_id string, k string, n int, id int"
+    old = list({r[:3]: r for r in reversed(some(30, 0))}.values())
+    batch = some(200, 100)
+    expected = {r[:3]: r for r in reversed(batch)} | {r[:3]: r for r in old}
+    merged = merge.insert_ignore(frame(old, schema), frame(batch, schema), ["taxpayer_id", "k", "n"], ["id"])
+    assert rows_of(merged) == sorted(expected.values(), key=repr)
+
+    stored = {str(i): f"old{i}" for i in range(0, 40, 2)}
+    changes = [
+        (rng.choice(["add", "update"]), str(rng.randrange(60)), f"new{i}", i) for i in range(150)
+    ]
+    state = dict(stored)
+    for op, key, data, _ in changes:
+        if op == "add" or key in state:
+            state[key] = data
+    rng.shuffle(changes)
+    after = records.upsert(
+        frame(list(stored.items()), "id string, data string"),
+        frame(changes, "op string, id string, data string, seq long"),
+    )
+    assert rows_of(after) == sorted(state.items(), key=repr)
+
+
+def test_stored_side_of_a_merge_is_not_shuffled_for_a_small_batch(spark, table, tmp_path):
+    tables.write_table(received(table, ("a", "P", 1, DAY)), str(tmp_path / "t"))
+    received(table, ("a", "P", 1, DAY), ("b", "Q", 1, DAY)).write.parquet(str(tmp_path / "batch"))
+    stored, batch = tables.stored_rows(spark, str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "batch"))
+    rows = merge.new_rows(batch, stored, RECEIVED.key, ["id"])
+    assert rows_of(rows, "id") == [("b",)]
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("BroadcastHashJoin") == 2 and "hashpartitioning(_seen_" not in final
