@@ -48,7 +48,7 @@ def matching_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
 
 def link_hosts(html: Column) -> Column:
     """Hosts that absolute and protocol-relative ``href`` values name, A-Z lower-cased."""
-    pattern = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
+    pattern = r"""\b[hH][rR][eE][fF][\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?[\x20\x09-\x0D]*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"'\x20\x09-\x0D>]+)"""
     found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(pattern), F.lit(1))
     return F.transform(found, lambda h: F.translate(h, _UPPER, _LOWER))
 
