@@ -1,4 +1,4 @@
-"""Join of a large table with a small lookup whose keys may be very unevenly used."""
+"""Rows without a match in a much larger table."""
 
 from __future__ import annotations
 
@@ -7,27 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-
-
-def lookup_join(
-    fact: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str], salts: int = SALTS
-) -> DataFrame:
-    """Left join of ``fact`` with ``lookup``, each row of a hot key going to one of ``salts`` tasks.
-
-    No broadcast is forced: Spark broadcasts the lookup only while its size is under
-    ``spark.sql.autoBroadcastJoinThreshold``. Beyond that both sides are shuffled, and the salt, taken
-    from the ``spread_by`` columns, keeps one key from filling one task; runtime skew handling splits
-    groups of equal rows. The salt depends on the row alone, so a recomputed partition sends its rows
-    where they went before. The lookup is repeated once per salt: use this only for lookups far
-    smaller than the fact.
-    """
-    key = "_salt"
-    salted_fact = fact.withColumn(key, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_fact.join(salted_lookup, [*on, key], "left").drop(key)
-
-
 def without_match(rows: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
     """Rows, unique by ``key``, whose key is not in ``seen``; two null key parts are equal.
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerspark.fixed_values import BONUS, CARD_CLASS, CARD_FIELDS, CARD_TITLE_WORD, CARD_VALUE_CLASS
 from ledgerspark.functions.clean import clean_number
-from ledgerspark.functions.joins import lookup_join
 from ledgerspark.functions.text import strip
 from ledgerspark.schemas import MONEY, PRICE
 
@@ -125,16 +124,17 @@ def enrich_bonus(movements: DataFrame, events: DataFrame) -> DataFrame:
     """Bonus movements priced with the base value of their ticker and year.
 
     The base value becomes the unit price and quantity × base value the amount; both are null when
-    no event is known. Several events in one year give one row each.
+    no event is known. Several events in one year give one row each, told apart by ``card_no``, the
+    event's place on its page.
+
+    A plain join: Spark broadcasts the events by their true size, or else splits a ticker that many
+    movements share at run time.
     """
-    base = events.select("ticker", "ano_ref", F.col("valor_base").cast(PRICE).alias("valor_base"))
-    priced = lookup_join(
-        bonus_movements(movements), base, ["ticker", "ano_ref"], ["taxpayer_id", "data_pregao", "quantidade"]
-    )
+    base = events.select("ticker", "ano_ref", "card_no", F.col("valor_base").cast(PRICE).alias("valor_base"))
+    priced = bonus_movements(movements).join(base, ["ticker", "ano_ref"], "left")
     return priced.withColumns(
         {
             "preco_unitario": F.col("valor_base"),
             "valor_operacao": (F.col("quantidade") * F.col("valor_base")).cast(MONEY),
         }
-    ).select(*movements.columns)
-
+    ).select(*movements.columns, "card_no")

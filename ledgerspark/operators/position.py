@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.fixed_values import BONUS, BUY, CREDIT, SELL, SPLIT
-from ledgerspark.functions.joins import lookup_join
 from ledgerspark.functions.text import product_company, product_ticker, without_fraction_mark
 from ledgerspark.operators.income import latest_position
 from ledgerspark.schemas import COUNT_SUM, MONEY_SUM, QUANTITY_SUM, TAXPAYER
@@ -83,9 +82,8 @@ def trades_split_adjusted(trades: DataFrame, movements: DataFrame) -> DataFrame:
     shares = splits_per_trade(movements, trades, BUY).select(
         TAXPAYER, F.col("ticker").alias("instrumento"), F.col("qtd_lado").alias("_share")
     )
-    rows = lookup_join(
-        trades_by_instrument(trades), shares, [TAXPAYER, "instrumento"], ["data_negocio", "quantidade", "preco"]
-    )
+    # Spark broadcasts the shares by their true size, or else splits a ticker with many trades at run time.
+    rows = trades_by_instrument(trades).join(shares, [TAXPAYER, "instrumento"], "left")
     adjusted = F.col("quantidade").cast("double") + F.coalesce("_share", F.lit(0.0))
     return rows.select(*trades.columns, "instrumento", adjusted.alias("quantidade_net"))
 
@@ -233,54 +231,51 @@ def _newest_date(rows: DataFrame, as_of: date | None) -> DataFrame:
     return rows.filter(_until("data_pregao", as_of)).groupBy(TAXPAYER).agg(F.max("data_pregao").alias("dt"))
 
 
-def _at_newest_date(totals: DataFrame, rows: DataFrame, as_of: date | None) -> DataFrame:
-    """Totals at each taxpayer's newest date.
+def _at_newest_date(rows: DataFrame, as_of: date | None) -> DataFrame:
+    """Rows of each taxpayer's newest date.
 
-    Totals are per date already, so the join moves one row per ticker and date, not every custody
-    row of a large taxpayer.
+    There is one date per taxpayer, so the history goes before anything is added up: while the dates are
+    few they are broadcast and the rows are not shuffled.
     """
+    bounded = rows.filter(_until("data_pregao", as_of))
     newest = _newest_date(rows, as_of).withColumnRenamed("dt", "data_pregao")
-    return totals.join(newest, [TAXPAYER, "data_pregao"]).drop("data_pregao")
+    return bounded.join(newest, [TAXPAYER, "data_pregao"], "left_semi")
 
 
 def year_end_custody(custody: DataFrame, as_of: date | None = None) -> DataFrame:
     """Shares in custody per ticker, tax id and company at the taxpayer's newest date."""
-    totals = (
-        custody.filter(_until("data_pregao", as_of))
+    return (
+        _at_newest_date(custody, as_of)
         .select(
             TAXPAYER,
-            "data_pregao",
             F.col("codigo_negociacao").alias("ticker"),
             "cnpj",
             product_company(F.col("produto")).alias("nome_compania"),
             "quantidade",
         )
-        .groupBy(TAXPAYER, "data_pregao", "ticker", "cnpj", "nome_compania")
+        .groupBy(TAXPAYER, "ticker", "cnpj", "nome_compania")
         .agg(F.sum("quantidade").cast(COUNT_SUM).alias("quantidade"))
     )
-    return _at_newest_date(totals, custody, as_of)
 
 
 def year_end_loans(loans: DataFrame, as_of: date | None = None) -> DataFrame:
     """Shares lent per ticker at the taxpayer's newest loan date."""
     # Companies are grouped first: a maximum of texts over single rows would sort them all.
     by_company = (
-        loans.filter(_until("data_pregao", as_of))
+        _at_newest_date(loans, as_of)
         .select(
             TAXPAYER,
-            "data_pregao",
             product_ticker(F.col("produto")).alias("ticker"),
             product_company(F.col("produto")).alias("_company"),
             "quantidade",
         )
-        .groupBy(TAXPAYER, "data_pregao", "ticker", "_company")
+        .groupBy(TAXPAYER, "ticker", "_company")
         .agg(F.sum("quantidade").alias("_quantity"))
     )
-    totals = by_company.groupBy(TAXPAYER, "data_pregao", "ticker").agg(
+    return by_company.groupBy(TAXPAYER, "ticker").agg(
         F.max("_company").alias("nome_compania"),
         F.sum("_quantity").cast(COUNT_SUM).alias("quantidade"),
     )
-    return _at_newest_date(totals, loans, as_of)
 
 
 def year_end_position(custody: DataFrame, loans: DataFrame, as_of: date | None = None) -> DataFrame:

@@ -2,38 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ADD, UPDATE = "add", "update"
 
 
-def upsert(records: DataFrame, changes: DataFrame) -> DataFrame:
+def _numbered(changes: DataFrame, batch: str) -> DataFrame:
+    """Changes with an id each: an add without one gets it from its batch and number.
+
+    The same batch gives the same ids when it is repeated; equal payloads stay apart.
+    """
+    made = F.sha2(F.concat_ws(":", F.lit(batch), F.col("seq").cast("string")), 256)
+    new = F.when(F.col("op") == ADD, F.coalesce("id", made)).otherwise(F.col("id"))
+    return changes.select("op", new.alias("id"), "data", "seq").filter("id is not null")
+
+
+def upsert(records: DataFrame, changes: DataFrame, batch: str, at: Column | None = None) -> DataFrame:
     """Records after a batch of changes applied in ``seq`` order.
 
-    ``records`` has a unique ``id`` and ``data``, ``changes`` has ``op``, ``id``, ``data`` and
-    ``seq``. An add without an id gets one from its data; an update of an unknown id changes nothing.
-    The last change of a known or added id wins.
+    ``records`` has a unique ``id`` and ``data``, ``changes`` has ``op``, ``id``, ``data`` and a unique
+    ``seq``. Every add makes a record or replaces that of its id; one without an id gets an id of its own.
+    An update of an id that is not known changes nothing. With ``at``, the time of the batch, records
+    also have ``created_at`` and ``updated_at``.
 
     Only records with a change are merged. The others pass an anti-join, which Spark does without a
     shuffle while the changed ids are few.
     """
-    made = F.when(F.col("op") == ADD, F.sha2("data", 256))
-    new = changes.select(
-        F.coalesce("id", made).alias("id"), "data", "seq", (F.col("op") == ADD).alias("_known")
-    ).filter("id is not null")
+    times = [] if at is None else ["created_at", "updated_at"]
+    new = _numbered(changes, batch)
     changed = new.select("id").distinct()
-    old = records.join(changed, "id", "left_semi").select(
-        "id", "data", F.lit(-1).cast("long").alias("seq"), F.lit(True).alias("_known")
-    )
+    old = records.join(changed, "id", "left_semi").select("id", "data", *times)
+    # An id is known from the stored record or its first add on; an update before that misses.
+    known = new.filter(F.col("op") == ADD).groupBy("id").agg(F.min("seq").alias("_from"))
+    last = new.groupBy("id").agg(F.max_by("data", "seq").alias("_data"), F.max("seq").alias("_last"))
     merged = (
-        old.unionByName(new)
-        .groupBy("id")
-        .agg(F.max_by("data", "seq").alias("data"), F.max("_known").alias("_known"))
-        .filter("_known")
-        .select("id", "data")
+        last.join(known, "id", "left")
+        .join(old.withColumn("_stored", F.lit(True)), "id", "left")
+        .filter("_stored or _last >= _from")
     )
-    return delete(records, changed).select("id", "data").unionByName(merged)
+    columns = {"id": F.col("id"), "data": F.col("_data")}
+    if at is not None:
+        columns |= {"created_at": F.coalesce("created_at", at), "updated_at": at}
+    merged = merged.select(*[c.alias(n) for n, c in columns.items()])
+    return delete(records, changed).select("id", "data", *times).unionByName(merged)
+
+
+def upsert_results(records: DataFrame, changes: DataFrame, batch: str) -> DataFrame:
+    """Every change with the id it is about and whether it found or made a record: ``seq, op, id, hit``."""
+    new = _numbered(changes, batch).drop("data")
+    known = new.filter(F.col("op") == ADD).groupBy("id").agg(F.min("seq").alias("_from"))
+    stored = _hits(records, new.select("id").distinct()).select("id", F.lit(True).alias("_stored"))
+    found = new.join(known, "id", "left").join(stored, "id", "left")
+    hit = (F.col("op") == ADD) | F.col("_stored") | (F.col("_from") < F.col("seq"))
+    return found.select("seq", "op", "id", F.coalesce(hit, F.lit(False)).alias("hit"))
 
 
 def payload(data: str = "data"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ CUSTODY = table_spec("b3_posicao_acoes")
 LOANS = table_spec("b3_posicao_emprestimos")
 RECEIVED = table_spec("b3_proventos_recebidos")
 REIMBURSED = table_spec("b3_reembolso_emprestimos")
+BONUS_TABLE = table_spec("b3_bonificacao_acoes")
 
 
 def _register(name: str, sql: str | None = None, **ctes: str):
@@ -69,7 +71,7 @@ def _(d: Derived) -> DataFrame:
 
 @_register(
     "src_tenant_from_path",
-    "SELECT path, owner AS taxpayer_id, report, file_year AS ref_year FROM report_files",
+    "SELECT path, owner AS taxpayer_id, report, file_year AS ref_year FROM report_files WHERE named",
 )
 def _(d: Derived) -> DataFrame:
     return reports.with_owner(d.report_files()).drop("modificationTime")
@@ -78,7 +80,7 @@ def _(d: Derived) -> DataFrame:
 @_register(
     "src_latest_file",
     "SELECT path, owner AS taxpayer_id, report, file_year AS ref_year FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY owner, report, file_year ORDER BY saved DESC, path) AS rn FROM report_files) WHERE rn = 1",
+    "(PARTITION BY owner, report, file_year ORDER BY saved DESC, path) AS rn FROM report_files WHERE named) WHERE rn = 1",
 )
 def _(d: Derived) -> DataFrame:
     return reports.latest_files(reports.with_owner(d.report_files())).drop("modificationTime")
@@ -270,7 +272,7 @@ def _(d: Derived) -> DataFrame:
     return bonus.bonus_movements(d.movements())
 
 
-_CARD_SQL = """SELECT ticker, cast(0 AS int) AS card_no, concat('01/02/', y) AS data_anuncio, concat('02/02/', y) AS data_com,
+_CARD_SQL = """SELECT ticker, card_no, concat('01/02/', y) AS data_anuncio, concat('02/02/', y) AS data_com,
     concat('03/02/', y) AS data_ex, CASE WHEN y = '1996' THEN '-' ELSE concat('04/02/', y) END AS data_incorporacao,
     concat('R$ ', replace(cast(cast(valor_base AS decimal(18,2)) AS string), '.', ',')) AS valor_base, '10,00%' AS proporcao
     FROM (SELECT *, cast(ano_ref AS string) AS y FROM bonus_events)"""
@@ -283,7 +285,7 @@ def _(d: Derived) -> DataFrame:
 
 @_register(
     "bonus_page_typed",
-    """SELECT ticker, cast(0 AS int) AS card_no, make_date(ano_ref, 2, 1) AS data_anuncio, make_date(ano_ref, 2, 2) AS data_com,
+    """SELECT ticker, card_no, make_date(ano_ref, 2, 1) AS data_anuncio, make_date(ano_ref, 2, 2) AS data_com,
     make_date(ano_ref, 2, 3) AS data_ex, CASE WHEN ano_ref <> 1996 THEN make_date(ano_ref, 2, 4) END AS data_incorporacao,
     cast(valor_base AS decimal(18,6)) AS valor_base, cast(0.1 AS double) AS proporcao, cast(ano_ref AS int) AS ano_ref FROM bonus_events""",
 )
@@ -300,12 +302,27 @@ def _(d: Derived) -> DataFrame:
     return bonus.pages_to_read(d.bonus_pages(), d.movements())
 
 
-@_register("bonus_enriched", "SELECT * FROM b3_bonificacao_acoes")
+@_register("bonus_enriched", "SELECT * EXCLUDE (_source) FROM b3_bonificacao_acoes")
 def _(d: Derived) -> DataFrame:
     events = bonus.typed_cards(bonus.page_cards(d.bonus_pages()))
     return bonus.enrich_bonus(d.movements(), events)
 
 
+@_register(
+    "merge_bonus_events",
+    "SELECT * EXCLUDE (rn, _source, card_no) FROM (SELECT *, row_number() OVER (PARTITION BY taxpayer_id, pk_movimentacao "
+    "ORDER BY _source, card_no) AS rn FROM keyed) WHERE rn = 1",
+    keyed="SELECT * FROM b3_bonificacao_acoes JOIN (SELECT _source, "
+    f"{_MOVEMENT_KEY_SQL} AS pk_movimentacao FROM b3_movimentacao) USING (_source)",
+)
+def _(d: Derived) -> DataFrame:
+    moved = d.movements_with(F.col("o_orderkey").alias("line")).withColumn("pk_movimentacao", keys.movement_key())
+    priced = bonus.enrich_bonus(moved, d.bonus_events())
+    order = ["line", "card_no"]
+    existing = merge.first_per_key(priced.filter("data_pregao < date'1997-06-30'"), BONUS_TABLE.key, order)
+    return merge.insert_ignore(existing, priced, BONUS_TABLE.key, order).drop(*order)
+
+
 # --- Repeats, merge, imports ------------------------------------------------------------------
 
 
@@ -888,32 +905,71 @@ def _records(d: Derived) -> DataFrame:
 _RECORDS = "SELECT cast(event_id AS string) AS id, CASE WHEN event_type <> 'error' THEN props END AS data, event_type FROM events"
 
 
+# Changes in the order of their number: click updates, view adds with ids, purchase adds without, error updates nothing.
+# Every tenth view is updated before it is added, and again afterwards.
+_CHANGES = """SELECT seq, op, id, data FROM (
+    SELECT cast(id AS bigint) * 10 + 1 AS seq, 'update' AS op, id, concat('{"k": "u', id, '"}') AS data FROM recs WHERE event_type = 'click'
+    UNION ALL SELECT cast(id AS bigint) * 10 + 2, 'add', concat('n', id), concat('{"k": "a', id, '"}') FROM recs WHERE event_type = 'view'
+    UNION ALL SELECT cast(id AS bigint) * 10 + k, 'update', concat('n', id), concat('{"k": "v', id, '"}') FROM recs,
+        (VALUES (1), (3)) t(k) WHERE event_type = 'view' AND cast(id AS bigint) % 10 = 0
+    UNION ALL SELECT cast(id AS bigint) * 10 + 4, 'add', NULL, data FROM recs WHERE event_type = 'purchase'
+    UNION ALL SELECT cast(id AS bigint) * 10 + 5, 'update', concat('unknown', id), concat('{"k": "u', id, '"}') FROM recs WHERE event_type = 'error')"""
+_NEW_ID = "sha256(concat('batch:', cast(seq AS string)))"
+
+
+def _changes(d: Derived) -> DataFrame:
+    rows, event, number = _records(d), F.col("event_type"), F.col("id").cast("long") * 10
+
+    def change(op: str, kind: str, id_prefix: str | None, mark: str | None, step: int) -> DataFrame:
+        key = F.lit(None).cast("string") if id_prefix is None else F.concat(F.lit(id_prefix), F.col("id"))
+        data = F.col("data") if mark is None else F.concat(F.lit('{"k": "' + mark), F.col("id"), F.lit('"}'))
+        return rows.filter(event == kind).select(
+            F.lit(op).alias("op"), key.alias("id"), data.alias("data"), (number + step).alias("seq")
+        )
+
+    again = [
+        change(records.UPDATE, "view", "n", "v", step).filter(F.floor(F.col("seq") / 10) % 10 == 0) for step in (1, 3)
+    ]
+    parts = [
+        change(records.UPDATE, "click", "", "u", 1),
+        change(records.ADD, "view", "n", "a", 2),
+        *again,
+        change(records.ADD, "purchase", None, None, 4),
+        change(records.UPDATE, "error", "unknown", "u", 5),
+    ]
+    return _union(parts)
+
+
+_BATCH_TIME = datetime(2000, 1, 2, 3, 4, 5)
+
+
 @_register(
     "records_upsert",
-    """SELECT id, CASE WHEN event_type = 'click' THEN concat('{"k": "u', id, '"}') ELSE data END AS data FROM recs
-    UNION ALL SELECT concat('n', id), concat('{"k": "a', id, '"}') FROM recs WHERE event_type = 'view'
-    UNION ALL SELECT DISTINCT sha256(data), data FROM recs WHERE event_type = 'purchase'""",
+    f"""SELECT id, CASE WHEN event_type = 'click' THEN concat('{{"k": "u', id, '"}}') ELSE data END AS data,
+        TIMESTAMP '1999-01-01' AS created_at,
+        CASE WHEN event_type = 'click' THEN TIMESTAMP '2000-01-02 03:04:05' ELSE TIMESTAMP '1999-01-01' END AS updated_at FROM recs
+    UNION ALL SELECT concat('n', id), concat(CASE WHEN cast(id AS bigint) % 10 = 0 THEN '{{"k": "v' ELSE '{{"k": "a' END, id, '"}}'),
+        TIMESTAMP '2000-01-02 03:04:05', TIMESTAMP '2000-01-02 03:04:05' FROM recs WHERE event_type = 'view'
+    UNION ALL SELECT {_NEW_ID}, data, TIMESTAMP '2000-01-02 03:04:05', TIMESTAMP '2000-01-02 03:04:05'
+        FROM changes WHERE op = 'add' AND id IS NULL""",
     recs=_RECORDS,
+    changes=_CHANGES,
 )
 def _(d: Derived) -> DataFrame:
-    rows, event = _records(d), F.col("event_type")
+    long_ago = F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz")
+    old = _records(d).withColumns({"created_at": long_ago, "updated_at": long_ago})
+    return records.upsert(old, _changes(d), "batch", F.lit(_BATCH_TIME).cast("timestamp_ntz"))
 
-    def change(op: str, kind: str, id_prefix: str | None, data) -> DataFrame:
-        key = F.lit(None).cast("string") if id_prefix is None else F.concat(F.lit(id_prefix), F.col("id"))
-        return rows.filter(event == kind).select(
-            F.lit(op).alias("op"), key.alias("id"), data.alias("data"), F.lit(1).cast("long").alias("seq")
-        )
 
-    def text(mark: str):
-        return F.concat(F.lit('{"k": "' + mark), F.col("id"), F.lit('"}'))
-
-    changes = (
-        change(records.UPDATE, "click", "", text("u"))
-        .unionByName(change(records.ADD, "view", "n", text("a")))
-        .unionByName(change(records.ADD, "purchase", None, F.col("data")))
-        .unionByName(change(records.UPDATE, "error", "unknown", text("u")))
-    )
-    return records.upsert(rows, changes)
+@_register(
+    "records_upsert_results",
+    f"""SELECT seq, op, coalesce(id, {_NEW_ID}) AS id, op = 'add' OR EXISTS (SELECT 1 FROM recs r WHERE r.id = c.id)
+        OR EXISTS (SELECT 1 FROM changes a WHERE a.op = 'add' AND a.id = c.id AND a.seq < c.seq) AS hit FROM changes c""",
+    recs=_RECORDS,
+    changes=_CHANGES,
+)
+def _(d: Derived) -> DataFrame:
+    return records.upsert_results(_records(d), _changes(d), "batch")
 
 
 _WANTED = (

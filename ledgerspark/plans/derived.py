@@ -154,13 +154,21 @@ class Derived:
                 (1995 + F.col("p_size") % 7).alias("ano_ref"),
             )
             .agg(F.max(price).cast(PRICE).alias("valor_base"))
+            # Every ticker has a second event in 1997, of twice the value.
+            .select(
+                "ticker",
+                "ano_ref",
+                "valor_base",
+                F.explode(F.sequence(F.lit(0), (F.col("ano_ref") == 1997).cast("int"))).alias("card_no"),
+            )
+            .withColumn("valor_base", (F.col("valor_base") * (F.col("card_no") + 1)).cast(PRICE))
         )
 
     @once
     def bonus(self) -> DataFrame:
         from ledgerspark.operators.bonus import enrich_bonus
 
-        return enrich_bonus(self.movements(), self.bonus_events())
+        return enrich_bonus(self.movements(), self.bonus_events()).drop("card_no")
 
     def raw_movements(self, *extra: Column) -> DataFrame:
         """Movements as sheet cells ``c0``…``c7``; those with quantity 50 miss cells enough to go."""
@@ -181,24 +189,28 @@ class Derived:
         )
 
     def report_files(self) -> DataFrame:
-        """Names and times of report files, one per order, as a binary file scan lists them."""
+        """Names and times of report files, one per order, as a binary file scan lists them.
+
+        Some annual reports have more than the year in their name and are not to be read.
+        """
         key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
         report = F.when(key % 3 == 0, "movimentacao").when(key % 3 == 1, "negociacao")
+        more = F.when((key % 3 == 2) & (key % 7 != 0), "").otherwise(_text("-", _padded(key, 9)))
         return self.source("orders").select(
             _text(
-                "file:/reports/", _taxpayer(key), "-", report.otherwise("relatorio-consolidado-anual"),
-                "-", F.year("o_orderdate"), "-", _padded(key, 9), ".xlsx",
+                "file:/reports/", _padded(key, 9), "/", _taxpayer(key), "-",
+                report.otherwise("relatorio-consolidado-anual"), "-", F.year("o_orderdate"), more, ".xlsx",
             ).alias("path"),
             (day + F.make_interval(secs=key % 1000)).alias("modificationTime"),
         )
 
     @once
     def bonus_pages(self) -> DataFrame:
-        """Company pages with one bonus card per event, one blank value in each card."""
+        """Company pages with one bonus card per event, one blank value in each card; a page per year."""
         year = F.col("ano_ref").cast("string")
         value = '<strong class="d-block lh-3 fs-3 fw-700">'
         last_date = F.when(F.col("ano_ref") == 1996, F.lit("-")).otherwise(_text("04/02/", year))
-        html = _text(
+        card = _text(
             '<div class="card p-2 p-xs-3"><h3 class="t">Bonificação</h3>',
             value, "01/02/", year, "</strong>",
             value, " </strong>",
@@ -208,7 +220,9 @@ class Derived:
             value, "R$ ", _comma(F.col("valor_base").cast(MONEY)), "</strong>",
             value, "10,00%</strong></div>",
         )
-        return self.bonus_events().select("ticker", html.alias("html"))
+        cards = F.array_sort(F.collect_list(F.struct("card_no", card.alias("card"))))
+        html = F.array_join(F.transform(cards, lambda c: c["card"]), "")
+        return self.bonus_events().groupBy("ticker", "ano_ref").agg(html.alias("html")).select("ticker", "html")
 
     @once
     def taxpayers(self) -> DataFrame:

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.bonus import enrich_bonus, page_cards, pages_to_read, typed_cards
 from ledgerspark.operators.ingest import route_sheets, table_rows
-from ledgerspark.operators.merge import append_new_rows, import_summary
-from ledgerspark.schemas import TABLES, TableSpec, table_spec
-from ledgerspark.session import scratch_dir
-from ledgerspark.sources.legacy_dump import dump_rows, legacy_table
+from ledgerspark.operators.merge import append_new_rows
+from ledgerspark.schemas import TABLES, TAXPAYER, TableSpec, table_spec
+from ledgerspark.session import remove_dir, scratch_dir
+from ledgerspark.sources.legacy_dump import dump_files, dump_rows, legacy_table
 from ledgerspark.sources.reports import latest_contents, report_cells
-from ledgerspark.sources.tables import INGEST_RUN, write_table
+from ledgerspark.sources.tables import INGEST_RUN, replace_taxpayers
 
 MOVEMENT_TABLE, BONUS_TABLE = "b3_movimentacao", "b3_bonificacao_acoes"
 # Order of arrival: it decides which of several rows with one key stays.
@@ -26,6 +25,9 @@ def table_path(tables_dir: str, table: str) -> str:
     return f"{tables_dir.rstrip('/')}/{table}"
 
 
+SUMMARY = "table_name string, rows_processed long, rows_inserted long, status string"
+
+
 def run_import(
     spark: SparkSession,
     folder: str,
@@ -37,28 +39,40 @@ def run_import(
 ) -> DataFrame:
     """Import the newest reports of ``folder``; returns rows read and added per table.
 
+    ``pages`` are stored company pages ``(ticker, html)`` for the base values of bonus shares.
+    """
+    return import_contents(spark, latest_contents(spark, folder, year), tables_dir, run, pages, tables)
+
+
+def import_contents(
+    spark: SparkSession,
+    contents: DataFrame,
+    tables_dir: str,
+    run: str,
+    pages: DataFrame,
+    tables: Iterable[str] = tuple(TABLES),
+) -> DataFrame:
+    """Import report files given with their contents.
+
     Workbooks are opened once and their cells kept in a scratch table that every job reads. Each job
-    is one plan to typed rows, kept likewise, and one append of the unseen ones. ``pages`` are stored
-    company pages ``(ticker, html)`` for the base values of bonus shares.
+    is one plan to typed rows, kept likewise, and one append of the unseen ones. Rows are counted by the
+    file footers of the scratch tables, which go when all is done.
     """
     scratch = scratch_dir(spark, "import")
-    cells = route_sheets(report_cells(latest_contents(spark, folder, year)))
+    cells = route_sheets(report_cells(contents))
     cells.write.partitionBy("table_name").parquet(f"{scratch}/cells")
     staged = spark.read.schema(cells.schema).parquet(f"{scratch}/cells")
-    read, added = [], []
+    summary = []
     for name in tables:
         spec = table_spec(name)
         rows = _job_rows(staged, spec, pages)
         rows.write.parquet(f"{scratch}/{name}")
         typed = spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
-        target = table_path(tables_dir, name)
-        append_new_rows(typed, target, spec, ARRIVAL, run)
-        label = F.lit(name).alias("table_name")
-        read.append(typed.select(label))
-        added.append(spark.read.parquet(target).filter(F.col(INGEST_RUN) == run).select(label))
-    if not read:
-        return spark.createDataFrame([], "table_name string, rows_processed long, rows_inserted long, status string")
-    return import_summary(reduce(DataFrame.union, read), reduce(DataFrame.union, added))
+        order = [*ARRIVAL, "card_no"] if name == BONUS_TABLE else ARRIVAL
+        added = append_new_rows(typed, table_path(tables_dir, name), spec, order, run)
+        summary.append((name, typed.count(), added, "ok"))
+    remove_dir(spark, scratch)
+    return spark.createDataFrame(summary, SUMMARY)
 
 
 def _job_rows(staged: DataFrame, spec: TableSpec, pages: DataFrame) -> DataFrame:
@@ -70,14 +84,17 @@ def _job_rows(staged: DataFrame, spec: TableSpec, pages: DataFrame) -> DataFrame
 
 
 def run_legacy_load(spark: SparkSession, dumps: str, tables_dir: str, taxpayer: Column) -> None:
-    """Replace all tables by the first blocks of the dumps; a table without a block is emptied.
+    """Replace the rows of the dumps' taxpayers by the first blocks of their dumps.
 
-    ``taxpayer`` says whose dump a row is from, as a literal or from its ``path``.
+    ``taxpayer`` says whose dump a row is from, as a literal or from its ``path``. A table without a block is
+    emptied for these taxpayers; rows of all others stay.
     """
-    scratch = f"{scratch_dir(spark, 'legacy')}/rows"
+    scratch = scratch_dir(spark, "legacy")
     rows = dump_rows(spark, dumps)
-    rows.write.partitionBy("table_name").parquet(scratch)
-    staged = spark.read.schema(rows.schema).parquet(scratch)
+    rows.write.partitionBy("table_name").parquet(f"{scratch}/rows")
+    staged = spark.read.schema(rows.schema).parquet(f"{scratch}/rows")
+    owners = dump_files(spark, dumps).select(taxpayer.alias(TAXPAYER)).distinct()
     for spec in TABLES.values():
         table = legacy_table(staged, spec, taxpayer).withColumn(INGEST_RUN, F.lit("legacy"))
-        write_table(table, table_path(tables_dir, spec.name))
+        replace_taxpayers(spark, table, owners, table_path(tables_dir, spec.name), spec)
+    remove_dir(spark, scratch)

@@ -42,3 +42,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever file system its path names; nothing happens if there is none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

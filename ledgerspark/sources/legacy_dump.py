@@ -1,27 +1,36 @@
 r"""Rows of text dumps made of ``COPY <table> (<columns>) FROM stdin;`` blocks that end with ``\.``.
 
-A dump is read line by line in parallel, so a block may be larger than any task. Which block a line
-belongs to follows from the last block mark before it: within a file split by a window over that
-split, across splits by carrying each split's last mark forward. Splits are bounded by
-``spark.sql.files.maxPartitionBytes``; the carry has one row per split.
+A dump is read line by line in parallel, so a block may be larger than any task. A first scan finds the
+block marks, a few lines of each dump; from these follow the places where the first blocks begin and end. A
+second scan keeps the lines between. Lines are numbered by file split and place, and are in no exchange.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.fixed_values import DASH, LEGACY_TABLES
 from ledgerspark.functions.text import config_map
+from ledgerspark.operators.merge import first_per_key
 from ledgerspark.schemas import TAXPAYER, TableSpec
 
 _HEADER = r"(?U)^COPY (?:public\.)?(\w+) "
 _COLUMNS = r"^COPY [^(]*\(([^)]*)\)"
 _END = "\\."
-_SPLIT = ["path", "split"]
+# Dumps whose blocks are broadcast together.
+SLICE_FILES = 10_000
+
+
+def dump_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of the dumps at ``path``, also of empty ones; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.filter("not startswith(substring_index(path, '/', -1), '_')").select("path")
 
 
-def dump_lines(spark: SparkSession, path: str) -> DataFrame:
+def dump_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of the dumps at ``path`` with their file, file split and order within the split."""
     return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"),
@@ -40,64 +49,54 @@ def _table_name(header: Column) -> Column:
     return F.try_element_at(config_map(LEGACY_TABLES), F.regexp_extract(header, _HEADER, 1))
 
 
-def first_blocks(lines: DataFrame) -> DataFrame:
-    """First block of every known table in each dump: its split and its number within the split."""
-    in_split = Window.partitionBy(*_SPLIT).orderBy("line")
-    headers = lines.filter(_is_header()).select(
-        *_SPLIT, _table_name(F.col("value")).alias("table_name"), F.row_number().over(in_split).alias("block_no")
+def _block_marks(lines: DataFrame) -> DataFrame:
+    """Every block header of each dump with its number and the place of the mark after it."""
+    marks = lines.filter(_is_header() | (F.col("value") == _END)).select(
+        "path", F.struct("split", "line").alias("begin"), F.when(_is_header(), F.col("value")).alias("header")
     )
+    in_dump = Window.partitionBy("path").orderBy("begin")
     return (
-        headers.filter("table_name is not null")
-        .groupBy("path", "table_name")
-        .agg(F.min(F.struct("split", "block_no")).alias("_first"))
-        .select("path", "table_name", "_first.*")
+        marks.withColumns(
+            {"end": F.lead("begin").over(in_dump), "block_no": F.count("header").over(in_dump).cast("int")}
+        )
+        .filter("header is not null")
+        .withColumn("table_name", _table_name(F.col("header")))
     )
 
 
-def _split_states(lines: DataFrame) -> DataFrame:
-    """Per split: the block it starts in, whether that is a first block, and its own first blocks."""
-    marks = lines.filter(_is_header() | (F.col("value") == _END))
-    last = marks.groupBy(*_SPLIT).agg(
-        F.max_by(F.when(_is_header(), F.col("value")).otherwise(""), "line").alias("_header"),
-        F.count_if(_is_header()).cast("int").alias("_n_headers"),
-    )
-    # At most one entry per known table and dump.
-    kept = first_blocks(lines).groupBy(*_SPLIT).agg(F.collect_set("block_no").alias("kept"))
-    states = lines.select(*_SPLIT).distinct().join(last, _SPLIT, "left").join(kept, _SPLIT, "left")
-    ends_in = F.when(
-        F.col("_header").isNotNull(),
-        F.struct(
-            F.col("_header").alias("header"),
-            F.coalesce(F.array_contains("kept", F.col("_n_headers")), F.lit(False)).alias("kept"),
-        ),
-    )
-    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    carry = F.last(ends_in, ignorenulls=True).over(before)
-    return states.select(*_SPLIT, "kept", carry.alias("carry"))
+def first_blocks(lines: DataFrame) -> DataFrame:
+    """First block of every known table in each dump: its number within the dump, its header and its marks."""
+    known = _block_marks(lines).filter("table_name is not null")
+    return first_per_key(known, ["path", "table_name"], ["begin"])
 
 
-def first_block_lines(lines: DataFrame) -> DataFrame:
+def first_block_lines(spark: SparkSession, path: str, slice_files: int = SLICE_FILES) -> DataFrame:
     """Data lines of first blocks with their block's header.
 
-    Lines are shuffled once, by file split; the state of the splits joins in that partitioning.
+    The blocks of at most ``slice_files`` dumps are broadcast at a time, no more than one per known table and
+    dump, so their size is bounded and lines stay where they are read.
     """
-    so_far = Window.partitionBy(*_SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    mark = F.when(_is_header(), F.col("value")).when(F.col("value") == _END, F.lit(""))
-    followed = lines.select(
-        *_SPLIT,
-        "value",
-        F.last(mark, ignorenulls=True).over(so_far).alias("_header"),
-        F.count_if(_is_header()).over(so_far).cast("int").alias("_block_no"),
-    )
-    inside = F.col("_header").isNotNull()
-    rows = followed.join(_split_states(lines), _SPLIT, "left").select(
-        "path",
-        "value",
-        F.when(inside, F.col("_header")).otherwise(F.col("carry.header")).alias("header"),
-        F.when(inside, F.array_contains("kept", F.col("_block_no"))).otherwise(F.col("carry.kept")).alias("_kept"),
-    )
+    scans, names = [], []
+    exact = F.regexp_replace("path", r"([\\\[\]{}*?])", r"\\$1")
+    for row in dump_files(spark, path).select(exact).toLocalIterator():
+        names.append(row[0])
+        if len(names) == slice_files:
+            scans.append(_lines_of_first_blocks(spark, names))
+            names = []
+    if names or not scans:
+        scans.append(_lines_of_first_blocks(spark, names or [path]))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _lines_of_first_blocks(spark: SparkSession, names: list[str]) -> DataFrame:
+    lines = dump_lines(spark, names)
+    blocks = F.broadcast(first_blocks(lines).select(F.col("path").alias("_path"), "begin", "end", "header"))
+    place = F.struct("split", "line")
+    inside = (F.col("path") == F.col("_path")) & (place > F.col("begin"))
+    inside = inside & (F.col("end").isNull() | (place < F.col("end")))
+    rows = lines.join(blocks, inside).select("path", "value", "header")
     # A line that starts like a header is never data, also when it names no table.
-    return rows.filter("_kept and header <> '' and not startswith(value, 'COPY ')").drop("_kept")
+    return rows.filter("not startswith(value, 'COPY ')")
 
 
 def unescaped(cell: Column) -> Column:
@@ -117,7 +116,7 @@ def dump_rows(spark: SparkSession, path: str) -> DataFrame:
     """Cells and column names of the first block of every known table in each dump."""
     names = F.split(F.regexp_extract("header", _COLUMNS, 1), r",\s*")
     raw = F.transform(F.split("value", "\t"), unescaped)
-    return first_block_lines(dump_lines(spark, path)).select(
+    return first_block_lines(spark, path).select(
         "path",
         _table_name(F.col("header")).alias("table_name"),
         F.transform(names, lambda n: F.trim(F.replace(n, F.lit('"'), F.lit("")))).alias("columns"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,10 @@ from ledgerspark.operators.merge import first_per_key
 from ledgerspark.schemas import ANNUAL, MOVEMENTS, TAXPAYER, TRADES
 from ledgerspark.sources.workbook import workbook_cells
 
-_NAME = rf"^(.+)-({MOVEMENTS}|{TRADES}|{ANNUAL})-(\d{{4}}).*\.xlsx\z"
-# Below this many files their names are broadcast; above it they are joined by a shuffle.
-BROADCAST_FILES = 50_000
+# Annual reports have exactly this name, the others may go on after the year.
+_NAME = rf"^(.+)-(?:({MOVEMENTS}|{TRADES})-(\d{{4}}).*|({ANNUAL})-(\d{{4}}))\.xlsx\z"
+# Names that one scan is given; with more files there are more scans of the same kind.
+SLICE_FILES = 20_000
 
 
 def binary_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,8 +33,9 @@ def with_owner(files: DataFrame) -> DataFrame:
     parts = files.withColumns(
         {
             TAXPAYER: F.regexp_extract(name, _NAME, 1),
-            "report": F.regexp_extract(name, _NAME, 2),
-            "_year": F.regexp_extract(name, _NAME, 3),
+            # One of the two forms of a name matches, the groups of the other are empty.
+            "report": F.concat(F.regexp_extract(name, _NAME, 2), F.regexp_extract(name, _NAME, 4)),
+            "_year": F.concat(F.regexp_extract(name, _NAME, 3), F.regexp_extract(name, _NAME, 5)),
         }
     )
     # Other files give empty parts.
@@ -60,26 +64,39 @@ def missing_reports(latest: DataFrame) -> DataFrame:
     return found.filter(F.size("reports") < 3)
 
 
-def latest_contents(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
+def latest_contents(
+    spark: SparkSession, folder: str, year: int | None = None, slice_files: int = SLICE_FILES
+) -> DataFrame:
     """Contents of the newest files of a folder; a report that is missing is an error.
 
     With a year, every taxpayer needs all three reports of it. The choice is made on file names and
-    times; contents are read afterwards and never shuffled while the list of names is short.
+    times. Then exactly the chosen files are opened, by scans that get at most ``slice_files`` names
+    each, so contents are read once and are in no exchange, however many files there are.
     """
-    files = with_owner(binary_files(spark, folder))
-    named = files.select("path", "modificationTime", TAXPAYER, "report", "ref_year")
+    named = with_owner(binary_files(spark, folder).select("path", "modificationTime"))
     latest = latest_files(named if year is None else of_year(named, year))
-    n_files = latest.count()
-    if n_files == 0:
-        raise FileNotFoundError(f"no report in {folder}")
     if year is not None:
         lacking = missing_reports(latest).limit(5).collect()
         if lacking:
             have = "; ".join(f"{r[0]} has only {', '.join(r[1])}" for r in lacking)
             raise FileNotFoundError(f"reports missing in {folder}: {have}")
-    chosen = latest.select("path")
-    names = F.broadcast(chosen) if n_files <= BROADCAST_FILES else chosen
-    return files.join(names, "path", "left_semi")
+    # A name may hold what a path pattern would read as a sign.
+    exact = F.regexp_replace("path", r"([\\\[\]{}*?])", r"\\$1")
+    scans, names = [], []
+    for row in latest.select(exact).toLocalIterator():
+        names.append(row[0])
+        if len(names) == slice_files:
+            scans.append(_contents(spark, names))
+            names = []
+    if names:
+        scans.append(_contents(spark, names))
+    if not scans:
+        raise FileNotFoundError(f"no report in {folder}")
+    return with_owner(reduce(DataFrame.unionByName, scans))
+
+
+def _contents(spark: SparkSession, names: list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(names)
 
 
 def report_cells(contents: DataFrame) -> DataFrame:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerspark.operators.merge import append_new_rows
+from ledgerspark.plans.import_run import import_contents
 from ledgerspark.schemas import TableSpec
+from ledgerspark.session import remove_dir, scratch_dir
+from ledgerspark.sources.reports import with_owner
 
 
 def import_increment(
@@ -22,12 +25,34 @@ def import_increment(
     """Bring the rows of all new files of a file stream into the table at ``target``, then stop.
 
     The checkpoint skips files already seen; rows of a new file that the table has are ignored by
-    key. A batch that is repeated after a failure therefore adds nothing twice.
+    key. A batch that is repeated after a failure therefore adds nothing twice. A batch is prepared once,
+    into a scratch table that goes after its append.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_new_rows(prepare(batch), target, spec, order, f"{run}-{batch_id}")
+        spark = batch.sparkSession
+        scratch, rows = scratch_dir(spark, "batch"), prepare(batch)
+        rows.write.parquet(scratch)
+        append_new_rows(spark.read.schema(rows.schema).parquet(scratch), target, spec, order, f"{run}-{batch_id}")
+        remove_dir(spark, scratch)
 
+    _drain(stream, write_batch, checkpoint)
+
+
+def import_new_reports(
+    spark: SparkSession, folder: str, tables_dir: str, checkpoint: str, run: str, pages: DataFrame
+) -> None:
+    """Import all report workbooks of ``folder`` that the checkpoint has not seen, then stop."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.xlsx")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        import_contents(batch.sparkSession, with_owner(batch), tables_dir, f"{run}-{batch_id}", pages)
+
+    _drain(files.option("recursiveFileLookup", "true").load(folder), write_batch, checkpoint)
+
+
+def _drain(stream: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)

@@ -123,7 +123,8 @@ def test_bonus_rows_take_the_base_value_of_their_year(table, spark):
         movement("Dividendo", 1),
     )
     events = spark.createDataFrame(
-        [("A3", 2024, 2.5), ("A3", 2024, 3.0), ("A3", 2023, 9.0)], "ticker string, ano_ref int, valor_base double"
+        [("A3", 2024, 2.5, 0), ("A3", 2024, 3.0, 1), ("A3", 2023, 9.0, 2)],
+        "ticker string, ano_ref int, valor_base double, card_no int",
     )
     found = rows_of(bonus.enrich_bonus(moves, events), "produto", "preco_unitario", "valor_operacao")
     assert found == [

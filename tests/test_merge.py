@@ -54,7 +54,7 @@ def test_append_is_idempotent(spark, table, tmp_path):
     undated = first.filter("id = 'n'")
     for run, batch in enumerate((first, first, later, more, more, none, undated)):
         merge.append_new_rows(batch, path, RECEIVED, ["id"], str(run))
-    stored = tables.stored_rows(spark, path)
+    stored = tables.stored_rows(spark, path, RECEIVED)
     assert rows_of(stored, "id", "ingest_run") == [("a", "0"), ("c", "3"), ("l", "2"), ("n", "0")]
 
 
@@ -62,7 +62,7 @@ def test_append_reads_only_what_the_batch_can_meet(spark, table, tmp_path):
     path = str(tmp_path / "t")
     rows = received(table, ("a", "P", 1, DAY))
     merge.append_new_rows(rows, path, RECEIVED, ["id"], "1")
-    near = merge._within_reach(tables.stored_rows(spark, path), rows, "data_pregao")
+    near = merge._within_reach(tables.stored_rows(spark, path, RECEIVED), rows, "data_pregao")
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(data_pregao,2024-12-31)" in plan
     assert "PartitionFilters: [isnotnull(taxpayer_bucket" in plan
@@ -89,13 +89,30 @@ def test_record_changes(frame):
             ("update", "5", '{"k":6}', 5),
             ("add", None, '{"k":7}', 6),
             ("update", None, '{"k":8}', 7),
+            ("add", None, '{"k":7}', 8),
+            ("add", None, None, 9),
+            ("update", "7", '{"k":1}', 10),
+            ("add", "7", '{"k":70}', 11),
         ],
         "op string, id string, data string, seq long",
     )
-    after = {r.id: r.data for r in records.upsert(old, changes).collect()}
-    made = [i for i in after if len(i) == 64]
-    assert len(made) == 1 and after.pop(made[0]) == '{"k":7}'
-    assert after == {"1": '{"k":3}', "2": None, "5": '{"k":6}'}
+    after = {r.id: r.data for r in records.upsert(old, changes, "b").collect()}
+    made = sorted(str(after.pop(i)) for i in list(after) if len(i) == 64)
+    assert made == ["None", '{"k":7}', '{"k":7}']
+    assert after == {"1": '{"k":3}', "2": None, "5": '{"k":6}', "7": '{"k":70}'}
+    hits = {r.seq: r.hit for r in records.upsert_results(old, changes, "b").collect()}
+    assert hits == {1: True, 2: True, 3: False, 4: True, 5: True, 6: True, 8: True, 9: True, 10: False, 11: True}
+
+
+def test_record_times(frame):
+    from datetime import datetime
+
+    then, now = datetime(2020, 1, 1), datetime(2024, 1, 1)
+    schema = "id string, data string, created_at timestamp_ntz, updated_at timestamp_ntz"
+    old = frame([("1", "a", then, then), ("2", "b", then, then)], schema)
+    changes = frame([("update", "1", "c", 1), ("add", "3", "d", 2)], "op string, id string, data string, seq long")
+    after = records.upsert(old, changes, "b", F.lit(now).cast("timestamp_ntz"))
+    assert rows_of(after) == [("1", "c", then, now), ("2", "b", then, then), ("3", "d", now, now)]
 
 
 def test_record_lookup_delete_and_decode(frame):
@@ -138,14 +155,15 @@ def test_random_merges_against_brute_force(spark, frame):
     after = records.upsert(
         frame(list(stored.items()), "id string, data string"),
         frame(changes, "op string, id string, data string, seq long"),
+        "b",
     )
     assert rows_of(after) == sorted(state.items(), key=repr)
 
 
 def test_stored_side_of_a_merge_is_not_shuffled_for_a_small_batch(spark, table, tmp_path):
-    tables.write_table(received(table, ("a", "P", 1, DAY)), str(tmp_path / "t"))
+    tables.write_table(received(table, ("a", "P", 1, DAY)), str(tmp_path / "t"), RECEIVED)
     received(table, ("a", "P", 1, DAY), ("b", "Q", 1, DAY)).write.parquet(str(tmp_path / "batch"))
-    stored, batch = tables.stored_rows(spark, str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "batch"))
+    stored, batch = tables.stored_rows(spark, str(tmp_path / "t"), RECEIVED), spark.read.parquet(str(tmp_path / "batch"))
     rows = merge.new_rows(batch, stored, RECEIVED.key, ["id"])
     assert rows_of(rows, "id") == [("b",)]
     rows.collect()

@@ -4,8 +4,8 @@ import re
 
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from ledgerspark.operators import declaration, income, merge, position, report
 from ledgerspark.plans import catalog
 from ledgerspark.plans.derived import Derived
@@ -20,9 +20,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES_FIRST))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - WRITES_FIRST))
 def test_no_pairwise_join_and_no_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(catalog.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "SinglePartition" not in plan
     if name not in PYTHON:
@@ -99,22 +99,71 @@ def test_written_reports_keep_their_order_on_more_data(spark, tmp_path):
         assert file.read_text() == row.report
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """A ticker with all trades is joined in several partitions when nothing is broadcast."""
-    from pyspark.sql import functions as F
+def test_hot_key_is_spread_over_tasks(spark, table, tmp_path):
+    """A ticker with all trades is split at run time, into more tasks than there are partitions."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.files.maxPartitionBytes": "16k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    trades = spark.range(40_000).select(
+        F.lit("tp").alias("taxpayer_id"), F.lit("A3").alias("ticker"), F.lit("Compra").alias("tipo_movimentacao"),
+        F.hash("id").alias("quantidade"),
+    )
+    trades.repartition(40).write.parquet(str(tmp_path / "t"))
+    moved = table(
+        "b3_movimentacao", {"movimentacao": "Desdobro", "entrada_saida": "Credito", "quantidade": 5, "produto": "A3 - A"}
+    )
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = position.trades_split_adjusted(spark.read.parquet(str(tmp_path / "t")), moved)
+        tasks = rows.select(F.spark_partition_id().alias("task"), "quantidade_net").groupBy("task").count().collect()
+        assert sum(r["count"] for r in tasks) == 40_000
+        assert len(tasks) > 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
-    from ledgerspark.functions.joins import lookup_join
 
+def test_large_lookup_is_not_broadcast(spark, table):
+    """The lookup of a row-level join is broadcast by its true size only."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set(coalesce, "false")
+    trades = spark.range(1000).select(
+        F.lit("tp").alias("taxpayer_id"), F.concat(F.lit("A"), "id").alias("ticker"), F.lit("Compra").alias("tipo_movimentacao"),
+        F.lit(1).alias("quantidade"),
+    )
+    moves = [
+        {"movimentacao": "Desdobro", "entrada_saida": "Credito", "quantidade": 5, "produto": f"A{i} - A"} for i in range(1000)
+    ]
     try:
-        fact = spark.range(1000).select(F.lit("A3").alias("ticker"), F.col("id").alias("quantidade"))
-        lookup = spark.createDataFrame([("A3", 1.0)], "ticker string, share double")
-        joined = lookup_join(fact, lookup, ["ticker"], ["quantidade"]).withColumn("task", F.spark_partition_id())
-        assert joined.filter("share = 1.0").count() == 1000
-        assert joined.select("task").distinct().count() == 4
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+        rows = position.trades_split_adjusted(trades, table("b3_movimentacao", *moves))
+        assert rows.filter("quantidade_net = 6").count() == 1000
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan[: plan.index("Initial Plan")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set(coalesce, "true")
+
+
+def test_contents_and_dump_lines_are_in_no_exchange(spark, tmp_path):
+    """Workbooks and dump lines stay where they are read, in one slice or in many."""
+    from ledgerspark.sources import legacy_dump, reports
+
+    for n in range(5):
+        (tmp_path / f"t{n}-movimentacao-2024-[x].xlsx").write_bytes(b"%d" % n)
+        (tmp_path / f"t{n}.sql").write_text(f"COPY public.movimentacao (a) FROM stdin;\nrow{n}\n\\.\n")
+    for size in (2, 100):
+        contents = reports.latest_contents(spark, str(tmp_path), slice_files=size)
+        assert sorted(bytes(r.content) for r in contents.collect()) == [b"0", b"1", b"2", b"3", b"4"]
+        assert "Exchange" not in contents._jdf.queryExecution().executedPlan().toString()
+        lines = legacy_dump.first_block_lines(spark, f"{tmp_path}/*.sql", slice_files=size)
+        assert sorted(r.value for r in lines.collect()) == [f"row{n}" for n in range(5)]
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.index("Initial Plan") :]
+        assert "SortMergeJoin" not in plan and plan.count("Scan text") == 2 * (3 if size == 2 else 1)

@@ -147,15 +147,57 @@ def test_income_of_the_year_goes_to_active_tickers(spark, imported):
     ]
 
 
-def test_legacy_load_replaces_the_tables(spark, table, tmp_path):
-    from ledgerspark.sources.tables import write_table
+def test_legacy_load_replaces_its_taxpayers_only(spark, table, tmp_path):
+    from ledgerspark.sources.tables import BUCKET, bucket_of, write_table
 
     spec, other = TABLES["b3_proventos_recebidos"], TABLES["b3_reembolso_emprestimos"]
+    people = ["ana", "tp", *[f"p{i}" for i in range(200)]]
+    buckets = dict(rows_of(spark.createDataFrame([(p,) for p in people], "p string").select("p", bucket_of(F.col("p")))))
+    mate = next(p for p in people[2:] if buckets[p] == buckets["ana"])
+    lone = next(p for p in people if list(buckets.values()).count(buckets[p]) == 1 or p == "tp")
     for s in (spec, other):
-        write_table(table(s.name, {"id": "old"}), str(tmp_path / "t" / s.name))
+        rows = [{"taxpayer_id": p, "id": f"old-{p}"} for p in dict.fromkeys(("ana", mate, lone)) for _ in "xy"]
+        write_table(table(s.name, *rows), str(tmp_path / "t" / s.name), s)
+    far = tmp_path / "t" / spec.name / f"{BUCKET}={buckets[lone]}"
+    before = sorted(f.name for f in far.iterdir())
     text = "COPY public.proventos_recebidos (id, produto, data_pregao) FROM stdin;\nnew\t-\t01/02/2024\n\\.\n"
     (tmp_path / "d.sql").write_text(text)
     run_legacy_load(spark, str(tmp_path / "d.sql"), str(tmp_path / "t"), F.lit("ana"))
+    kept = [(p, f"old-{p}") for p in (mate, lone) for _ in "xy"]
     loaded = read_table(spark, str(tmp_path / "t" / spec.name), spec)
-    assert rows_of(loaded, "taxpayer_id", "id", "produto", "data_pregao") == [("ana", "new", None, date(2024, 2, 1))]
-    assert read_table(spark, str(tmp_path / "t" / other.name), other).count() == 0
+    assert rows_of(loaded, "taxpayer_id", "id") == sorted([("ana", "new"), *kept], key=repr)
+    assert rows_of(loaded.filter("id = 'new'"), "produto", "data_pregao") == [(None, date(2024, 2, 1))]
+    assert rows_of(read_table(spark, str(tmp_path / "t" / other.name), other), "taxpayer_id", "id") == sorted(kept, key=repr)
+    # Buckets without a loaded taxpayer are not written.
+    assert sorted(f.name for f in far.iterdir()) == before
+    # A taxpayer who is alone in a bucket goes when the dump has nothing.
+    (tmp_path / "e.sql").write_text("SELECT 1;\n")
+    run_legacy_load(spark, str(tmp_path / "e.sql"), str(tmp_path / "t"), F.lit(lone))
+    assert rows_of(read_table(spark, str(tmp_path / "t" / other.name), other), "taxpayer_id") == [(mate,), (mate,)]
+
+
+def test_two_bonus_events_of_a_year_import_alike(spark, tmp_path):
+    two = PAGE + PAGE.replace("12,50", "99,00")
+    folder, pages = tmp_path / "in", spark.createDataFrame([("ACME3", two)], "ticker string, html string")
+    folder.mkdir()
+    (folder / "ana-movimentacao-2024.xlsx").write_bytes(movement_book(MOVES))
+    names = ["b3_bonificacao_acoes"]
+    summary = run_import(spark, str(folder), str(tmp_path / "t"), "x", pages, tables=names).collect()
+    assert [tuple(r) for r in summary] == [("b3_bonificacao_acoes", 2, 1, "ok")]
+    spec = TABLES["b3_bonificacao_acoes"]
+    assert [float(r[0]) for r in rows_of(read_table(spark, str(tmp_path / "t" / spec.name), spec), "preco_unitario")] == [12.5]
+
+
+def test_new_reports_of_a_folder_are_imported_as_a_stream(spark, tmp_path):
+    from ledgerspark.streaming.incremental import import_new_reports
+
+    folder, pages = tmp_path / "in", spark.createDataFrame([], "ticker string, html string")
+    folder.mkdir()
+    spec = TABLES["b3_movimentacao"]
+    where = (str(folder), str(tmp_path / "t"), str(tmp_path / "c"))
+    counts = []
+    for n, rows in enumerate((MOVES, [*MOVES, ["Credito", "09/03/2024", "Rendimento", "ACME3 - A", "B", "-", "-", 7]])):
+        (folder / f"ana-movimentacao-2024-{n}.xlsx").write_bytes(movement_book(rows))
+        import_new_reports(spark, *where, f"run{n}", pages)
+        counts.append(read_table(spark, f"{where[1]}/{spec.name}", spec).count())
+    assert counts == [4, 5]

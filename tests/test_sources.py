@@ -187,7 +187,7 @@ def test_one_tenant_is_read_from_its_bucket(spark, table, tmp_path):
     spec = TABLES["b3_proventos_recebidos"]
     rows = [{"taxpayer_id": f"tp{i}", "id": str(i), "produto": "A"} for i in range(30)]
     path = str(tmp_path / "t")
-    tables.write_table(table(spec.name, *rows), path)
+    tables.write_table(table(spec.name, *rows), path, spec)
     mine = tables.read_table(spark, path, spec, "tp7")
     assert rows_of(mine, "taxpayer_id", "id") == [("tp7", "7")]
     plan = mine._jdf.queryExecution().executedPlan().toString()
