@@ -60,9 +60,10 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     # Compared as whole numbers: cap / weight < rest_size / rest_weight. The first source that fits ends it.
     stops = F.col("cap") * F.col("rest_weight") < F.col("rest_size") * F.col("weight")
     ranked = ranked.withColumn("stops", stops)
-    fits = ranked.where("not stops").agg(F.max("rest_size").alias("share_size"), F.max("rest_weight").alias("share_weight"))
+    for name in ("size", "weight"):
+        ranked = ranked.withColumn(f"share_{name}", F.max(F.when(~F.col("stops"), F.col(f"rest_{name}"))).over(every))
     shared = F.col("weight").cast("double") * F.col("share_size").cast("double") / F.col("share_weight").cast("double")
-    return ranked.crossJoin(F.broadcast(fits)).select(
+    return ranked.select(
         "source",
         "source_size",
         F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(shared).alias("target"),
