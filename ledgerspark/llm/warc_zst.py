@@ -185,7 +185,7 @@ def write_archives(pages: DataFrame, folder: str, a: Archive = Archive()) -> Dat
         (F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))).alias("revisit"),
     )
     made = joined.mapInArrow(partial(_write, folder=folder, dictionary=dictionary, a=a), "archive string, records bigint")
-    manifest = folder.rstrip("/") + "-manifest"
+    manifest = folder.rstrip("/") + "/_manifest"
     made.write.parquet(manifest)
     return spark.read.schema("archive string, records bigint").parquet(manifest)
 
