@@ -152,25 +152,26 @@ def nested_declaration(
 
 
 def flat_declaration(nested: DataFrame) -> DataFrame:
-    """The nested record as one row per list element, with the name of its list."""
-    key = [F.col(c) for c in DECLARATION_KEY]
-    held = nested.select(*key, F.explode("positions").alias("e")).select(
-        *DECLARATION_KEY,
-        F.lit("positions").alias("list_name"),
-        "e.ticker",
-        "e.cnpj",
-        "e.nome_compania",
-        F.lit("").alias("event_type"),
-        F.col("e.quantidade").cast(MONEY_SUM).alias("amount"),
-    )
-    named = F.array(
-        *[F.struct(F.lit(n).alias("list_name"), F.col(n).alias("events")) for n in EVENT_LISTS.values()]
-    )
-    events = (
-        nested.select(*key, F.explode(named).alias("l"))
-        .select(*DECLARATION_KEY, "l.list_name", F.explode("l.events").alias("e"))
-        .select(
-            *DECLARATION_KEY, "list_name", "e.ticker", "e.cnpj", "e.nome_compania", "e.event_type", "e.amount"
+    """The nested record as one row per list element, and one for every empty list and every total."""
+    event = "array<struct<ticker:string,cnpj:string,nome_compania:string,event_type:string,amount:decimal(28,2),price:double,value:double>>"
+    held = F.transform(
+        "positions",
+        lambda e: F.struct(
+            e["ticker"], e["cnpj"], e["nome_compania"], F.lit("").alias("event_type"),
+            e["quantidade"].cast(MONEY_SUM).alias("amount"), e["preco_medio_compra"], e["posicao_fin"],
+        ),
+    )
+    none = [F.lit(None).cast("double") for _ in range(2)]
+    lists = {"positions": held}
+    for name in EVENT_LISTS.values():
+        lists[name] = F.transform(
+            name, lambda e: F.struct(e["ticker"], e["cnpj"], e["nome_compania"], e["event_type"], e["amount"], *none)
         )
+    for name in SCALARS.values():
+        blank = [F.lit(None).cast("string") for _ in range(4)]
+        lists[name] = F.array(F.struct(*blank, F.col(name), *none))
+    named = F.array(*[F.struct(F.lit(n).alias("list_name"), e.cast(event).alias("events")) for n, e in lists.items()])
+    rows = nested.select(*DECLARATION_KEY, F.explode(named).alias("l"))
+    return rows.select(*DECLARATION_KEY, "l.list_name", F.explode_outer("l.events").alias("e")).select(
+        *DECLARATION_KEY, "list_name", "e.*"
     )
-    return held.unionByName(events)

@@ -12,13 +12,17 @@ from ledgerspark.fixed_values import (
     BUY,
     DIVIDEND,
     DIVIDEND_TRANSFERRED,
+    EXEMPT_REIMBURSEMENT,
     FRACTION_AUCTION,
     JCP,
     JCP_TRANSFERRED,
     LENDING,
     MONETARY_UPDATE,
     REIMBURSEMENT,
+    SECTION_OF_CATEGORY,
     SELL,
+    TAXABLE_LENDING,
+    ReportText,
 )
 from ledgerspark.functions import clean, keys
 from ledgerspark.functions.text import (
@@ -495,16 +499,16 @@ def _(d: Derived) -> DataFrame:
     return position.trades_by_instrument(d.trades())
 
 
-@_register("net_splits", "SELECT * FROM splits")
+@_register("net_splits", "SELECT taxpayer_id, ticker, split_shares AS qtd_lado FROM extras WHERE n_splits > 0")
 def _(d: Derived) -> DataFrame:
     return position.net_splits(d.movements())
 
 
 def _splits_sql(side: str) -> str:
-    return f"""SELECT s.taxpayer_id, s.ticker, cast(s.qtd_lado AS double) / nullif(count(n.instrumento), 0) AS qtd_lado,
-    s.qtd_lado AS qtd_lado_orig FROM splits s LEFT JOIN neg n
-    ON s.taxpayer_id = n.taxpayer_id AND s.ticker = n.instrumento AND n.tipo_movimentacao = '{side}'
-    GROUP BY s.taxpayer_id, s.ticker, s.qtd_lado"""
+    """Split shares of a ticker over the number of its trades of a side, if it has any."""
+    return f"""SELECT taxpayer_id, ticker, (SELECT cast(x.split_shares AS double) / nullif(count(*), 0) FROM neg n
+    WHERE n.taxpayer_id = x.taxpayer_id AND n.instrumento = x.ticker AND n.tipo_movimentacao = '{side}') AS qtd_lado,
+    split_shares AS qtd_lado_orig FROM extras x WHERE n_splits > 0"""
 
 
 @_register("splits_per_buy", _splits_sql(BUY))
@@ -527,7 +531,10 @@ def _(d: Derived) -> DataFrame:
     return position.trades_split_adjusted(d.trades(), d.movements())
 
 
-@_register("bonus_totals", "SELECT * FROM bon_agg")
+@_register(
+    "bonus_totals",
+    "SELECT taxpayer_id, ticker, bonus_shares AS quantidade, bonus_value AS valor_operacao FROM extras WHERE n_bonus > 0",
+)
 def _(d: Derived) -> DataFrame:
     return position.bonus_totals(d.bonus()).drop("n_bonus")
 
@@ -544,24 +551,49 @@ def _(d: Derived) -> DataFrame:
 
 @_register(
     "bonus_per_buy",
-    """SELECT a.taxpayer_id, a.ticker, a.quantidade, a.valor_operacao,
-    cast(a.valor_operacao AS double) / nullif(c.n_compras, 0) AS valor_bon_por_neg,
-    cast(a.quantidade AS double) / nullif(c.n_compras, 0) AS qtd_bon_por_neg
-    FROM bon_agg a LEFT JOIN n_buys c ON a.taxpayer_id = c.taxpayer_id AND a.ticker = c.ticker""",
+    """SELECT taxpayer_id, ticker, bonus_shares AS quantidade, bonus_value AS valor_operacao,
+    cast(bonus_value AS double) / n_compras AS valor_bon_por_neg, cast(bonus_shares AS double) / n_compras AS qtd_bon_por_neg
+    FROM extras LEFT JOIN n_buys USING (taxpayer_id, ticker) WHERE n_bonus > 0""",
     n_buys=_BUY_COUNTS,
 )
 def _(d: Derived) -> DataFrame:
     return position.bonus_per_buy(d.bonus(), d.trades())
 
 
-@_register("bonus_per_trade_v2", "SELECT * FROM bon_v2")
+# The second form has each bonus row once for every trade of its ticker, and once without any.
+_MULTIPLIED = """SELECT taxpayer_id, ticker, cast(greatest(n, 1) * bonus_shares AS decimal(28,6)) AS quantidade,
+    cast(greatest(n, 1) * bonus_value AS decimal(28,2)) AS valor_operacao,
+    cast(cast(greatest(n, 1) * bonus_value AS decimal(28,2)) AS double) / nullif(n * n_bonus, 0) AS valor_bon_por_neg,
+    cast(cast(greatest(n, 1) * bonus_shares AS decimal(28,6)) AS double) / nullif(n * n_bonus, 0) AS qtd_bon_por_neg
+    FROM (SELECT x.*, (SELECT count(*) FROM neg t WHERE t.taxpayer_id = x.taxpayer_id AND t.instrumento = x.ticker) AS n FROM extras x)
+    WHERE n_bonus > 0"""
+
+
+@_register("bonus_per_trade_v2", _MULTIPLIED)
 def _(d: Derived) -> DataFrame:
     return position.bonus_per_trade_v2(d.bonus(), d.trades())
 
 
-@_register("avg_buy_price", "SELECT * FROM avg_price")
+# Prices are compared at four decimals and values at two: the oracle adds up row by row, the engine in closed form. Both
+# are moved by a billionth first, because many exact results lie half-way between two rounded ones.
+_SCALES = {"preco_medio_compra": 4, "posicao_fin": 2}
+_MOVE = 1.000000001
+
+
+def _scaled(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.round(F.col(c) * _MOVE, n) for c, n in _SCALES.items() if c in rows.columns})
+
+
+def _scaled_sql(value: str, column: str) -> str:
+    return f"round(({value}) * cast({_MOVE} AS double), {_SCALES[column]}) AS {column}"
+
+
+@_register(
+    "avg_buy_price",
+    f"SELECT taxpayer_id, instrumento, {_scaled_sql('preco_medio_compra', 'preco_medio_compra')} FROM avg_by_row",
+)
 def _(d: Derived) -> DataFrame:
-    return position.avg_buy_price(d.trades(), d.movements(), d.bonus())
+    return _scaled(position.avg_buy_price(d.trades(), d.movements(), d.bonus()))
 
 
 @_register("net_quantity", "SELECT * FROM net_qty")
@@ -571,8 +603,9 @@ def _(d: Derived) -> DataFrame:
 
 @_register(
     "year_end_dates",
-    "SELECT coalesce(c.taxpayer_id, l.taxpayer_id) AS taxpayer_id, c.dt AS dt_custody, l.dt AS dt_loans "
-    "FROM custody_date c FULL OUTER JOIN loans_date l ON c.taxpayer_id = l.taxpayer_id",
+    "SELECT taxpayer_id, max(data_pregao) FILTER (kind = 'custody') AS dt_custody, max(data_pregao) FILTER (kind = 'loan') AS dt_loans "
+    "FROM (SELECT taxpayer_id, data_pregao, 'custody' AS kind FROM b3_posicao_acoes "
+    "UNION ALL SELECT taxpayer_id, data_pregao, 'loan' FROM b3_posicao_emprestimos) GROUP BY taxpayer_id",
 )
 def _(d: Derived) -> DataFrame:
     return position.year_end_dates(d.custody(), d.loans())
@@ -593,13 +626,23 @@ def _(d: Derived) -> DataFrame:
     return position.year_end_position(d.custody(), d.loans())
 
 
-@_register("view_position", "SELECT * FROM vw_position")
+@_register(
+    "view_position",
+    f"""SELECT y.taxpayer_id, y.ticker AS instrumento, {_scaled_sql("preco_medio_compra", "preco_medio_compra")}, qtd_lado,
+    {_scaled_sql("cast(qtd_lado AS double) * preco_medio_compra", "posicao_fin")}, coalesce(cnpj, '') AS cnpj,
+    coalesce(nome_compania, y.ticker) AS nome_compania FROM ye_position y LEFT JOIN avg_by_row p
+    ON p.taxpayer_id = y.taxpayer_id AND p.instrumento = y.ticker WHERE qtd_lado > 0""",
+)
+def _(d: Derived) -> DataFrame:
+    return _scaled(view_position(d))
+
+
 def view_position(d: Derived) -> DataFrame:
     return position.view_position(d.trades(), d.movements(), d.bonus(), d.custody(), d.loans())
 
 
-_VALUED_SQL = """SELECT q.taxpayer_id, q.instrumento, q.preco_medio_compra, q.qtd_lado,
-    cast(q.qtd_lado AS double) * q.preco_medio_compra AS posicao_fin, coalesce(lp.cnpj, '') AS cnpj,
+_VALUED_SQL = f"""SELECT q.taxpayer_id, q.instrumento, {_scaled_sql("q.preco_medio_compra", "preco_medio_compra")}, q.qtd_lado,
+    {_scaled_sql("cast(q.qtd_lado AS double) * q.preco_medio_compra", "posicao_fin")}, coalesce(lp.cnpj, '') AS cnpj,
     coalesce(lp.nome_compania, q.instrumento) AS nome_compania
     FROM priced q LEFT JOIN last_pos lp ON q.taxpayer_id = lp.taxpayer_id AND q.instrumento = lp.ticker WHERE q.qtd_lado > 0"""
 
@@ -607,40 +650,40 @@ _VALUED_SQL = """SELECT q.taxpayer_id, q.instrumento, q.preco_medio_compra, q.qt
 @_register(
     "view_position_v1",
     _VALUED_SQL,
-    priced="""SELECT taxpayer_id, instrumento, CASE WHEN b > 0 THEN cast(c AS double) / cast(b AS double) ELSE 0 END AS preco_medio_compra,
-    cast(b - s AS decimal(28,6)) AS qtd_lado FROM (SELECT taxpayer_id, instrumento,
-    cast(sum(CASE WHEN tipo_movimentacao = 'Compra' THEN quantidade ELSE 0 END) AS decimal(28,6)) AS b,
-    cast(sum(CASE WHEN tipo_movimentacao = 'Venda' THEN quantidade ELSE 0 END) AS decimal(28,6)) AS s,
-    cast(sum(CASE WHEN tipo_movimentacao = 'Compra' THEN quantidade * preco ELSE 0 END) AS decimal(28,6)) AS c FROM neg GROUP BY 1, 2)""",
+    priced="""SELECT taxpayer_id, instrumento, coalesce(sum(cast(quantidade * preco AS double)) FILTER (tipo_movimentacao = 'Compra')
+    / nullif(sum(quantidade) FILTER (tipo_movimentacao = 'Compra'), 0), 0) AS preco_medio_compra,
+    cast(sum(CASE tipo_movimentacao WHEN 'Compra' THEN quantidade WHEN 'Venda' THEN -quantidade ELSE 0 END) AS decimal(28,6)) AS qtd_lado
+    FROM neg GROUP BY ALL""",
 )
 def _(d: Derived) -> DataFrame:
-    return position.view_position_v1(d.trades(), d.custody())
+    return _scaled(position.view_position_v1(d.trades(), d.custody()))
 
 
 @_register(
     "view_position_v2",
     _VALUED_SQL,
-    priced="""SELECT y.taxpayer_id, y.instrumento,
-    (cast(y.cost AS double) + coalesce(b.valor_bon_por_neg, 0) * y.n)
-    / nullif(cast(y.bought + coalesce(s.qtd_lado, 0) AS double) + coalesce(b.qtd_bon_por_neg, 0) * y.n, 0) AS preco_medio_compra,
-    cast(q.net + coalesce(s.qtd_lado, 0) + coalesce(b.quantidade, 0) AS decimal(28,6)) AS qtd_lado
-    FROM buys y LEFT JOIN splits s ON y.taxpayer_id = s.taxpayer_id AND y.instrumento = s.ticker
-    LEFT JOIN bon_v2 b ON y.taxpayer_id = b.taxpayer_id AND y.instrumento = b.ticker
-    LEFT JOIN (SELECT taxpayer_id, instrumento, sum(CASE WHEN tipo_movimentacao = 'Compra' THEN quantidade ELSE -quantidade END) AS net
-    FROM neg GROUP BY 1, 2) q ON y.taxpayer_id = q.taxpayer_id AND y.instrumento = q.instrumento""",
+    multiplied=_MULTIPLIED,
+    bought="""SELECT s.taxpayer_id, s.instrumento, sum(cast(s.quantidade * s.preco AS double) + coalesce(m.valor_bon_por_neg, 0))
+    / nonzero(sum(cast(s.quantidade AS double) + coalesce(cast(s.split_shares AS double), 0) / s.n_buys
+    + coalesce(m.qtd_bon_por_neg, 0))) AS preco_medio_compra, any_value(m.quantidade) AS multiplied
+    FROM shared_out s LEFT JOIN multiplied m ON s.taxpayer_id = m.taxpayer_id AND s.instrumento = m.ticker
+    WHERE s.tipo_movimentacao = 'Compra' GROUP BY ALL""",
+    priced="""SELECT b.taxpayer_id, b.instrumento, b.preco_medio_compra, (SELECT cast(
+    sum(CASE tipo_movimentacao WHEN 'Compra' THEN quantidade ELSE -quantidade END) + coalesce(any_value(split_shares), 0)
+    + coalesce(b.multiplied, 0) AS decimal(28,6)) FROM shared_out s
+    WHERE s.taxpayer_id = b.taxpayer_id AND s.instrumento = b.instrumento) AS qtd_lado FROM bought b""",
 )
 def _(d: Derived) -> DataFrame:
-    return position.view_position_v2(d.trades(), d.movements(), d.bonus(), d.custody())
+    return _scaled(position.view_position_v2(d.trades(), d.movements(), d.bonus(), d.custody()))
 
 
 @_register(
     "view_position_v3",
     _VALUED_SQL,
-    priced="""SELECT p.taxpayer_id, p.instrumento, p.preco_medio_compra, q.qtd_lado FROM avg_price p
-    LEFT JOIN net_qty q ON p.taxpayer_id = q.taxpayer_id AND p.instrumento = q.instrumento""",
+    priced="SELECT * FROM avg_by_row LEFT JOIN net_qty USING (taxpayer_id, instrumento)",
 )
 def _(d: Derived) -> DataFrame:
-    return position.view_position_v3(d.trades(), d.movements(), d.bonus(), d.custody())
+    return _scaled(position.view_position_v3(d.trades(), d.movements(), d.bonus(), d.custody()))
 
 
 # --- Declaration ------------------------------------------------------------------------------
@@ -777,78 +820,68 @@ def _(d: Derived) -> DataFrame:
     )
 
 
-_NL = "chr(10)"
+_WORDS = ReportText()
+# A ticker's tax id where custody has one, else that of the registry of delisted companies.
+_TAX_ID = """coalesce(CASE WHEN e.cnpj <> '' THEN t.resolved END, CASE e.ticker WHEN 'TK0003' THEN '12.345.678/0001-95'
+      WHEN 'TK0103' THEN '98.765.432/0001-10' ELSE '' END)"""
 
 
-def _event_sql(category: str, section: int, kind: str, extra: str = "") -> str:
-    return f"""SELECT e.taxpayer_id, e.ano_base, {section} AS section, 1 AS place, e.ticker,
-    concat('\\\\ TICKER: ', e.ticker, {_NL}, 'Tipo de Rendimento: {kind}', {_NL}, 'CNPJ da Fonte Pagadora: ',
-    coalesce(CASE WHEN e.cnpj <> '' THEN t.resolved END, CASE e.ticker WHEN 'TK0003' THEN '12.345.678/0001-95'
-      WHEN 'TK0103' THEN '98.765.432/0001-10' ELSE '' END), {_NL},
-    'Nome da Fonte Pagadora: ', e.nome_compania, {_NL}, {extra}'Valor: ', {money('e.valor_operacao')}, {_NL}, {_NL}) AS text
-    FROM entries e LEFT JOIN tax_ids t ON e.taxpayer_id = t.taxpayer_id AND e.ticker = t.ticker WHERE e.category = '{category}'"""
+def _said(*parts: str) -> str:
+    """SQL text of wording and expressions; an expression stands in braces."""
+    out = []
+    for part in parts:
+        expression = part.startswith("{") and part.endswith("}")
+        out.append(part[1:-1] if expression else "'" + part.replace("'", "''") + "'")
+    return f"concat({', '.join(out)})"
 
 
-def _scalar_sql(kind: str, section: int, label: str, extra: str = "") -> str:
-    total = _total_sql(kind)
-    return f"""SELECT taxpayer_id, ano_base, {section} AS section, 1 AS place, '' AS ticker,
-    concat('Tipo de Rendimento: {label}', {_NL}, 'CNPJ da Fonte Pagadora: 09.346.601/0001-25', {_NL},
-    'Nome da Fonte Pagadora: B3 S.A. - BRASIL. BOLSA. BALCAO', {_NL}, {extra}'Valor: ', {money('valor_operacao')}, {_NL}, {_NL}) AS text
-    FROM ({total})"""
+def _filled_sql(template: str, *values: str) -> list[str]:
+    pieces = template.split("{}")
+    shown = [f"{{{v}}}" for v in values[: len(pieces) - 1]]
+    return [x for piece, value in zip(pieces, [*shown, ""], strict=True) for x in (piece, value) if x]
 
 
-_STARS = "*" * 16
-_TITLES_SQL = [
-    f"{_STARS} 0. DADOS DO CONTRIBUINTE {_STARS}",
-    f"{_STARS} 1. BENS E DIREITOS {_STARS}",
-    f"{_STARS} 2. DIVIDENDOS - RENDIMENTOS ISENTOS E NÃO TRIBUTÁVEIS {_STARS}",
-    f"{_STARS} 3. JCP - RENDIMENTOS SUJEITOS À TRIBUTAÇÃO EXCLUSIVA/DEFINITVA {_STARS}*",
-    f"{_STARS} 4. LEILÃO DE FRAÇÃO DE AÇÕES - RENDIMENTOS ISENTOS E NÃO TRIBUTÁVEIS {_STARS}",
-    f"{_STARS} 5. BONIFICAÇÃO EM AÇÕES - RENDIMENTOS ISENTOS E NÃO TRIBUTÁVEIS {_STARS}",
-    f"{_STARS} 6. RENDIMENTOS DE ATUALIZAÇÕES DE BASES MONETÁRIAS - RENDIMENTOS SUJEITOS À TRIBUTAÇÃO EXCLUSIVA/DEFINITVA {_STARS}",
-    f"{_STARS} 7. RENDIMENTOS COM ALUGUEL DE AÇÕES  - RENDIMENTOS SUJEITOS À TRIBUTAÇÃO EXCLUSIVA / DEFINITIVA{_STARS}",
-    f"{_STARS} 8. RENDIMENTOS COM REEMBOLSO DE PROVENTOS  - RENDIMENTOS ISENTOS E NÃO TRIBUTÁVEIS {_STARS}",
-]
-_TITLE_VALUES = ", ".join(
-    f"({i}, concat({'' if i < 2 else f'{_NL}, {_NL}, '}'{t}', {_NL}, {_NL}))" for i, t in enumerate(_TITLES_SQL)
-)
+def _entry_sql(category: str) -> str:
+    """Text lines of a category's entries: one per ticker, or one total of its kind per year."""
+    words, section = _WORDS.entries[category], SECTION_OF_CATEGORY[category]
+    kind = {TAXABLE_LENDING: LENDING, EXEMPT_REIMBURSEMENT: REIMBURSEMENT}.get(category)
+    parts = [] if kind else [_WORDS.ticker_label, "{e.ticker}", "\n"]
+    parts += [words.income_type_label, words.income_type, "\n", words.payer_tax_id_label]
+    parts += [words.payer_tax_id or f"{{{_TAX_ID}}}", "\n", words.payer_name_label, words.payer_name or "{e.nome_compania}", "\n"]
+    if words.description:
+        parts += [words.description_label, *_filled_sql(words.description, "upper(e.ticker)"), "\n"]
+    text = _said(*parts, words.amount_label, f"{{{money('e.valor_operacao')}}}", "\n\n")
+    head = f"SELECT e.taxpayer_id, e.ano_base, {section} AS section, 1 AS place, {chr(39) * 2 if kind else 'e.ticker'} AS ticker, {text} AS text"
+    if kind:
+        return f"{head} FROM ({_total_sql(kind)}) e"
+    return f"{head} FROM entries e LEFT JOIN tax_ids t ON e.taxpayer_id = t.taxpayer_id AND e.ticker = t.ticker WHERE e.category = '{category}'"
+
+
+_TITLE_VALUES = ", ".join(f"({i}, {_said(title)})" for i, title in enumerate(_WORDS.titles))
 _HEADER_SQL = f"""SELECT y.taxpayer_id, y.ano_base, 0 AS section, 1 AS place, '' AS ticker,
-    concat('Nome Completo Contribuinte: ', coalesce(t.full_name, ''), {_NL}, 'CPF Contribuinte: ', coalesce(t.cpf, ''), {_NL}, {_NL}) AS text
+    {_said(_WORDS.full_name_label, "{coalesce(t.full_name, '')}", chr(10), _WORDS.cpf_label, "{coalesce(t.cpf, '')}", chr(10) * 2)} AS text
     FROM years y LEFT JOIN taxpayers t ON y.taxpayer_id = t.taxpayer_id"""
+_POSITION_TEXT = _said(
+    *[_WORDS.ticker_label, "{ticker}", "\n", _WORDS.group_label, _WORDS.group, "\n", _WORDS.code_label, _WORDS.code, "\n"],
+    *[_WORDS.location_label, _WORDS.location, "\n", _WORDS.tax_id_label, "{cnpj}", "\n", _WORDS.description_label],
+    *_filled_sql(_WORDS.description, "ticker", "cast(quantidade AS string)", money(decimal_of("preco_medio_compra"))),
+    *["\n", _WORDS.traded_label, _WORDS.traded, "\n", _WORDS.trading_code_label, "{ticker}", "\n"],
+    *_filled_sql(_WORDS.year_end_label, "concat('31/12/', cast(ano_base AS string))"),
+    *[f"{{{money(decimal_of('posicao_fin'))}}}", "\n\n"],
+)
 _LINES_SQL = " UNION ALL ".join(
     [
         f"SELECT taxpayer_id, ano_base, section, 0 AS place, '' AS ticker, text FROM years CROSS JOIN (VALUES {_TITLE_VALUES}) t(section, text)",
         _HEADER_SQL,
-        f"""SELECT taxpayer_id, ano_base, 1, 1, ticker, concat('\\\\ TICKER: ', ticker, {_NL},
-    'Grupo: 03 - Participações Societárias', {_NL}, 'Código: 01 - Ações (inclusive as listadas em bolsa)', {_NL},
-    'Localização (País): 105 - Brasil', {_NL}, 'CNPJ: ', cnpj, {_NL}, 'Discriminação: ', ticker, ' ', cast(quantidade AS string),
-    ' QUANTIDADES, ADQUIRIDAS A UM PRECO MEDIO DE R$ ', {money(decimal_of("preco_medio_compra"))}, {_NL}, 'Negociados em Bolsa? Sim', {_NL},
-    'Código de Negociação: ', ticker, {_NL}, 'Situação em 31/12/', cast(ano_base AS string), ' (R$): ', {money(decimal_of("posicao_fin"))}, {_NL}, {_NL})
-    FROM declared""",
-        _event_sql("exempt_dividend", 2, "09 - Lucros e dividendos recebidos"),
-        _event_sql("taxable_jcp", 3, "10 - Juros sobre capital próprio"),
-        _event_sql(
-            "exempt_fraction_auction",
-            4,
-            "99 - Outros",
-            f"'Descrição: VENDA DE FRACAO DE ACAO EM LEILAO - ', upper(e.ticker), {_NL}, ",
-        ),
-        _event_sql("exempt_bonus_shares", 5, "18 - Incorporação de reservas ao capital / Bonficações em ações"),
-        _event_sql("taxable_monetary_update", 6, "06 - Rendimentos de aplicações financeiras"),
-        _scalar_sql(LENDING, 7, "06 - Rendimentos de aplicações financeiras"),
-        _scalar_sql(
-            REIMBURSEMENT,
-            8,
-            "99 - Outros",
-            f"'Descrição: REEMBOLSO DE PROVENTOS REFERENTES A ACOES ALUGADAS', {_NL}, ",
-        ),
+        f"SELECT taxpayer_id, ano_base, 1, 1, ticker, {_POSITION_TEXT} FROM declared",
+        *[_entry_sql(category) for category in SECTION_OF_CATEGORY],
     ]
 )
 
 
 @_register("contributor_header", "SELECT * FROM header", header=_HEADER_SQL)
 def _(d: Derived) -> DataFrame:
-    return report.contributor_header(_years(d), d.taxpayers(), report.ReportText())
+    return report.contributor_header(_years(d), d.taxpayers(), _WORDS)
 
 
 @_register("report_lines", "SELECT * FROM lines", lines=_LINES_SQL)
@@ -877,12 +910,21 @@ def _(d: Derived) -> DataFrame:
 
 @_register(
     "declaration_nested_flat",
-    """SELECT taxpayer_id, ano_base, 'positions' AS list_name, ticker, cnpj, nome_compania, '' AS event_type,
-    cast(quantidade AS decimal(28,2)) AS amount FROM declared UNION ALL
+    """SELECT taxpayer_id, ano_base, list_name, ticker, cnpj, nome_compania, event_type, amount, price, value FROM years
+    CROSS JOIN (VALUES ('positions'), ('exempt_dividends'), ('taxable_jcp'), ('taxable_monetary_update'), ('fraction_auction'),
+    ('bonus_shares')) t(list_name) LEFT JOIN lists USING (taxpayer_id, ano_base, list_name)
+    UNION ALL SELECT taxpayer_id, ano_base, 'lending_income', NULL, NULL, NULL, NULL, valor_operacao, NULL, NULL FROM ("""
+    + _total_sql(LENDING)
+    + """) UNION ALL SELECT taxpayer_id, ano_base, 'reimbursement', NULL, NULL, NULL, NULL, valor_operacao, NULL, NULL FROM ("""
+    + _total_sql(REIMBURSEMENT)
+    + ")",
+    lists="""SELECT taxpayer_id, ano_base, 'positions' AS list_name, ticker, cnpj, nome_compania, '' AS event_type,
+    cast(quantidade AS decimal(28,2)) AS amount, preco_medio_compra AS price, posicao_fin AS value FROM declared UNION ALL
     SELECT e.taxpayer_id, e.ano_base, CASE e.category WHEN 'exempt_dividend' THEN 'exempt_dividends' WHEN 'taxable_jcp' THEN 'taxable_jcp'
     WHEN 'taxable_monetary_update' THEN 'taxable_monetary_update' WHEN 'exempt_fraction_auction' THEN 'fraction_auction' ELSE 'bonus_shares' END,
-    e.ticker, coalesce(CASE WHEN e.cnpj <> '' THEN t.resolved END, CASE e.ticker WHEN 'TK0003' THEN '12.345.678/0001-95'
-      WHEN 'TK0103' THEN '98.765.432/0001-10' ELSE '' END), e.nome_compania, e.movimentacao, e.valor_operacao
+    e.ticker, """
+    + _TAX_ID
+    + """, e.nome_compania, e.movimentacao, e.valor_operacao, NULL, NULL
     FROM entries e LEFT JOIN tax_ids t ON e.taxpayer_id = t.taxpayer_id AND e.ticker = t.ticker""",
 )
 def _(d: Derived) -> DataFrame:
