@@ -48,8 +48,12 @@ def trade_key() -> Column:
 
 
 def surrogate_key(natural_key: list[str]) -> Column:
-    """Id that depends only on the row's natural key, so that a repeated import agrees."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in [TAXPAYER, *natural_key]]
+    """Id that depends only on the row's natural key, so that a repeated import agrees.
+
+    Bars and backslashes inside a part are escaped, so different keys never make one text.
+    """
+    texts = [F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1") for c in [TAXPAYER, *natural_key]]
+    parts = [F.coalesce(t, F.lit("\\N")) for t in texts]
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 

@@ -34,7 +34,8 @@ from ledgerspark.functions.text import (
 )
 from ledgerspark.operators import bonus, declaration, income, ingest, merge, position, records, report
 from ledgerspark.plans.derived import REGISTRY, Derived, movements_of, once
-from ledgerspark.plans.files import movement_workbooks, write_dumps
+from ledgerspark.plans.files import movement_workbooks, write_contents, write_dumps
+from ledgerspark.plans.import_run import run_import
 from ledgerspark.plans.oracle import decimal_of, money, query
 from ledgerspark.schemas import MONEY, PRICE, TAXPAYER, table_spec
 from ledgerspark.session import scratch_dir
@@ -401,6 +402,24 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+@_register(
+    "import_run_twice",
+    """SELECT run, 'b3_movimentacao' AS table_name, (SELECT count(*) FROM dense) AS rows_processed,
+    CASE run WHEN 'first' THEN (SELECT count(*) FROM (SELECT DISTINCT taxpayer_id, c0, c1, trim(c2), c3, c5, c6, c7 FROM dense)) ELSE 0 END
+    AS rows_inserted, 'ok' AS status FROM (VALUES ('first'), ('second')) t(run)""",
+    dense=_DENSE,
+)
+def _(d: Derived) -> DataFrame:
+    folder = scratch_dir(d.spark, "reports")
+    reports_at = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    write_contents(movement_workbooks(d), reports_at)
+    runs = []
+    for run in ("first", "second"):
+        done = run_import(d.spark, folder, f"{folder}-tables", run, d.bonus_pages(), tables=["b3_movimentacao"])
+        runs.append(done.withColumn("run", F.lit(run)))
+    return _union(runs)
+
+
 @_register(
     "stream_incremental_import",
     "SELECT * EXCLUDE (rn, _source) FROM (SELECT *, row_number() OVER (PARTITION BY taxpayer_id, pk_movimentacao "
@@ -898,6 +917,27 @@ def _(d: Derived) -> DataFrame:
     return report.assemble_reports(_lines(d))
 
 
+@_register(
+    "report_texts",
+    "SELECT taxpayer_id, ano_base, string_agg(text, '' ORDER BY section, place, ticker) AS report FROM lines GROUP BY 1, 2",
+    lines=_LINES_SQL,
+)
+def _(d: Derived) -> DataFrame:
+    folder = scratch_dir(d.spark, "texts")
+    report.write_reports(_lines(d), folder)
+    schema = "value string, taxpayer_id string, ano_base int"
+    texts = d.spark.read.schema(schema).text(folder, wholetext=True)
+    return texts.select(TAXPAYER, "ano_base", F.col("value").alias("report"))
+
+
+@_register(
+    "requested_base_year",
+    "SELECT DISTINCT taxpayer_id, cast(extract(year FROM current_date) - 1 AS int) AS ano_base FROM taxpayers",
+)
+def _(d: Derived) -> DataFrame:
+    return declaration.requested_year(d.taxpayers())
+
+
 @once
 def _nested(d: Derived) -> DataFrame:
     return declaration.nested_declaration(_declared(d), _entries(d), _years(d), REGISTRY)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from functools import reduce
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +62,8 @@ def _cell(row: int, column: int, value) -> str:
 def movement_workbooks(d: Derived) -> DataFrame:
     """Movement reports of all taxpayers as ``(path, content)``, a bounded number of rows in each."""
     raw = d.raw_movements(_file_number())
-    name = F.format_string(f"/reports/%s-{MOVEMENTS}-2001-%06d.xlsx", F.col(TAXPAYER), F.col("file_no"))
+    # A year per file: only the newest file of a taxpayer and year is imported.
+    name = F.format_string(f"/reports/%s-{MOVEMENTS}-%04d.xlsx", F.col(TAXPAYER), F.col("file_no") % 7000 + 2001)
     placed = raw.select(name.alias("path"), *[f"c{i}" for i in range(8)])
     return placed.groupBy("path").applyInArrow(_write_workbook, CONTENT_SCHEMA)
 
@@ -79,6 +82,25 @@ def _write_workbook(table: pa.Table) -> pa.Table:
     return pa.table({"path": table.column("path")[:1], "content": [content]}, schema=_ARROW)
 
 
+def write_contents(contents: DataFrame, folder: str) -> None:
+    """Files of ``(path, content)`` rows, by their last name, in a folder that all executors share."""
+
+    def write(batches):
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            names = [p.rpartition("/")[2] for p in batch.column("path").to_pylist()]
+            for name, content in zip(names, batch.column("content"), strict=True):
+                # Written aside and then moved, so a repeated task leaves one whole file.
+                aside = f"{root}/_{name}-{uuid.uuid4().hex}"
+                with store.open_output_stream(aside) as out:
+                    out.write(content.as_buffer())
+                store.move(aside, f"{root}/{name}")
+            yield pa.RecordBatch.from_pydict({"name": names})
+
+    contents.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
+
+
 def write_dumps(d: Derived) -> str:
     """Text dumps of movements and income, a bounded number of rows in each, in a scratch folder.
 

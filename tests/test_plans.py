@@ -12,7 +12,13 @@ from ledgerspark.plans.derived import Derived
 from ledgerspark.schemas import TABLES
 
 # These run jobs of their own while they are built, or write files first.
-WRITES_FIRST = {"stream_incremental_import", "legacy_dump_rows", "legacy_first_block"}
+WRITES_FIRST = {
+    "stream_incremental_import",
+    "import_run_twice",
+    "report_texts",
+    "legacy_dump_rows",
+    "legacy_first_block",
+}
 PYTHON = {"src_workbook_cells"}
 
 
