@@ -32,7 +32,7 @@ class NearDup:
     #: with a probability under 1e-6: 119 of 140 are expected, with a standard deviation of 4.2.
     least_agreeing: int = 98
     #: Documents of a block, when a bucket is compared in blocks.
-    block: int = 512
+    block: int = 256
 
     @property
     def bins(self) -> int:
@@ -160,42 +160,87 @@ def _verified(batches: Iterator[pa.RecordBatch], p: NearDup):
         )
 
 
-def _foreign_pairs(batches: Iterator[pa.RecordBatch], p: NearDup):
-    """Pairs of a bucket block (or of two) in different components that may be similar.
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows that agree in ``by``, whole ones, from rows that come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in by], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        first = [held[0].column(c)[0].as_py() for c in by]
+        if (keys[0] != first).any():
+            cuts = np.insert(cuts, 0, 0)
+        if not len(cuts):
+            continue
+        done = held[:-1] + [batch.slice(0, int(cuts[0]))]
+        yield pa.concat_batches([d for d in done if d.num_rows])
+        for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield batch.slice(begin, end - begin)
+        held = [batch.slice(int(cuts[-1]))]
+    if held:
+        yield pa.concat_batches(held)
+
 
-    A pair that shares several buckets comes from the first of them only.
+def _sets(batches: Iterator[pa.RecordBatch], p: NearDup):
+    for whole in batches:
+        for batch, texts in text_slices(whole, "text"):
+            sets = shingle_sets(Words(texts, LOWER_BLANK_WORDS), p.k)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]
+            )
+
+
+def _in_common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Elements that a sorted set shares with each of several non-empty sets."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    begins = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
+    return np.add.reduceat((one[at] == flat).astype(np.int64), begins)
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], p: NearDup):
+    """Links of a bucket block (or of two) that join components, decided on full sets.
+
+    Members that are in one component, or come into one here, are not compared again. A pair that shares several
+    buckets is looked at in the first of them only.
     """
-    for batch in batches:
-        for row in batch.to_pylist():
-            members = row["members"]
-            side = np.fromiter((m["side"] for m in members), np.int64, len(members))
-            node = np.fromiter((m["node"] for m in members), np.int64, len(members))
-            label = np.fromiter((m["label"] for m in members), np.int64, len(members))
-            size = np.fromiter((m["n_shingles"] for m in members), np.int64, len(members))
-            sketch = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint16).reshape(-1, p.bins)
-            keys = _band_keys(sketch, p.bands, p.rows)
-            left = np.flatnonzero(side == 0)
-            right = left if row["i"] == row["j"] else np.flatnonzero(side == 1)
-            found_a, found_b = [], []
-            for i in left.tolist():
-                js = right[(label[right] != label[i])]
-                if row["i"] == row["j"]:
-                    js = js[node[js] > node[i]]
-                low, high = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
-                js = js[100 * low >= p.percent * high]
-                if not len(js):
-                    continue
-                js = js[(sketch[js] == sketch[i]).sum(axis=1) >= p.least_agreeing]
-                if not len(js):
-                    continue
-                same = keys[js] == keys[i]
-                js = js[keys[i][same.argmax(axis=1)] == row["key"]]
-                found_a += [node[i]] * len(js)
-                found_b += node[js].tolist()
-            if found_a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"]
-                )
+    for group in _groups(batches, ["key", "i", "j"]):
+        side, node, label, size = (
+            group.column(c).to_numpy(zero_copy_only=False) for c in ("side", "node", "label", "n_shingles")
+        )
+        if label.min() == label.max():
+            continue
+        component = label.copy()
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, p.bins)
+        sets = group.column("shingles")
+        keys = _band_keys(sketch, p.bands, p.rows)
+        key, same_block = group.column("key")[0].as_py(), group.column("i")[0] == group.column("j")[0]
+        left = np.flatnonzero(side == 0)
+        right = left if same_block else np.flatnonzero(side == 1)
+        found_a, found_b = [], []
+        for i in left.tolist():
+            js = right[component[right] != component[i]]
+            if same_block:
+                js = js[node[js] > node[i]]
+            low, high = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
+            js = js[100 * low >= p.percent * high]
+            js = js[(sketch[js] == sketch[i]).sum(axis=1) >= p.least_agreeing]
+            if not len(js):
+                continue
+            js = js[keys[i][(keys[js] == keys[i]).argmax(axis=1)] == key]
+            if not len(js):
+                continue
+            one = np.frombuffer(sets[i].as_py(), np.uint64)
+            both = _in_common(one, [np.frombuffer(sets[j].as_py(), np.uint64) for j in js.tolist()])
+            for j in js[100 * both >= p.percent * (size[i] + size[js] - both)].tolist():
+                if component[i] != component[j]:
+                    component[component == component[j]] = component[i]
+                    found_a.append(node[i])
+                    found_b.append(node[j])
+        if found_a:
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
 
 def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
@@ -206,13 +251,14 @@ def _verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame, p: NearDup)
 
 
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept, links``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
     Documents with equal sets are one node, with a 128-bit mark of the whole set. Nodes that agree in a band are
     candidates: first each with the smallest of its bucket, then, in buckets that still hold several
-    components, all members of different components in blocks; a node and the component it is already in are
-    not compared again. Every candidate is decided on the full sets of both texts. ``links`` counts what
-    a node's confirmed links are. Bounds: a task holds two blocks of ``block`` sketches, or texts of a few pairs.
+    components, all members of different components, in pairs of blocks. Every candidate is decided on full
+    sets; within a component, also one found meanwhile, nothing is compared again, so a group of thousands of copies is
+    linked by few comparisons, and no step emits the pairs of a group. A task holds two blocks of at most about ``block``
+    sets, or texts of a few pairs.
 
     Null and empty texts have no shingles, are linked with nothing and stay. A text of fewer words than a
     shingle is one shingle. Repeated rows get the same component; of rows with the component's smallest id
@@ -274,32 +320,34 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     )
     open_buckets = labelled.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = open_buckets.join(sketches, "node").withColumn("block", block)
+    asked = open_buckets.select("node").distinct()
+    sets = texts.join(asked, "node", "left_semi").mapInArrow(partial(_sets, p=p), "node bigint, shingles binary")
+    sets = written(spark, sketches.join(sets, "node"), "neardup-full-sets")
+    placed = open_buckets.join(sets, "node").withColumn("block", block)
     # Block b meets every other block once; side 0 is the lower one.
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
-        F.struct(
-            F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "label", "n_shingles", "sketch"
-        ).alias("member"),
+        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
+        "node",
+        "label",
+        "n_shingles",
+        "sketch",
+        "shingles",
     )
-    pairs = (
-        spread.groupBy("key", "i", "j")
-        .agg(F.collect_list("member").alias("members"))
-        .mapInArrow(partial(_foreign_pairs, p=p), "a bigint, b bigint")
+    more = (
+        spread.repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+        .mapInArrow(partial(_block_links, p=p), "a bigint, b bigint")
     )
-    pairs = written(spark, pairs, "neardup-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    more = _verify(spark, pairs, texts.join(wanted, "node", "left_semi"), p)
-    every = links.unionByName(more)
+    every = written(spark, links.unionByName(more), "neardup-every-link")
     labels = smallest_reachable(spark, every)
-    degree = every.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
 
     ids = nodes.select("node", "node2", "least_id").join(labels.withColumnRenamed("id", "node"), "node", "left")
     ids = ids.withColumn("label", F.coalesce("label", "node"))
     smallest = ids.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = ids.join(smallest, "label").join(degree, "node", "left").select("node", "node2", "component_id", "links")
+    named = ids.join(smallest, "label").select("node", "node2", "component_id")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
         signed.select("doc_id", "n_shingles", "node", "node2")
@@ -309,7 +357,6 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
             "n_shingles",
             component.alias("component_id"),
             component.eqNullSafe(F.col("doc_id")).alias("kept"),
-            F.coalesce("links", F.lit(0)).cast("bigint").alias("links"),
         )
     )
 

@@ -65,7 +65,7 @@ def op5_warc_zst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near-duplicates."""
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("links")
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op7_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
