@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.scratch import written
+from ledgerspark.llm.scratch import Rounds
 
 
 def smallest_reachable(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -13,11 +13,12 @@ def smallest_reachable(spark: SparkSession, links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps, which need a number of rounds that grows with the logarithm
     of the longest path. Each round is two aggregations and joins on ids with map-side combine, and is
-    written to the shared scratch folder. Links to itself, repeated links and an empty table are fine; null
+    written to the shared scratch folder in place of the one before. Links to itself, repeated links and an empty table are fine; null
     ends are left out.
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
-    edges = written(spark, edges, "components")
+    rounds = Rounds(spark, "components")
+    edges = rounds.put(edges)
     while True:
         # Large star: every larger neighbour of v goes to the smallest neighbour of v (or v itself).
         both = edges.select(F.col("lo").alias("v"), F.col("hi").alias("w")).union(edges.select("hi", "lo"))
@@ -27,7 +28,7 @@ def smallest_reachable(spark: SparkSession, links: DataFrame) -> DataFrame:
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         joined = large.join(least, "hi")
         small = joined.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).union(joined.select("m", "hi"))
-        nxt = written(spark, small.where("lo <> hi").distinct(), "components")
+        nxt = rounds.put(small.where("lo <> hi").distinct())
         # Done when every id has one link, to a root, and no root has a smaller neighbour.
         crossed = nxt.select(F.col("lo").alias("id")).join(nxt.select(F.col("hi").alias("id")), "id", "left_semi")
         several = nxt.groupBy("hi").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hi").alias("id"))

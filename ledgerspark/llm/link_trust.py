@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.scratch import written
+from ledgerspark.llm.scratch import Rounds, written
 
 #: Rules as (rule, verdict); a rule is a host and the beginning of a path.
 RULES = (
@@ -85,6 +85,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, p: Propagation) -> DataFrame:
     if not moves.take(1):
         # Nothing is handed on, so every round gives the same.
         return scores
+    rounds = Rounds(spark, "trust-round")
     for _ in range(p.rounds):
         forth = moves.join(scores, F.col("src") == F.col("host")).select(
             F.col("dst").alias("to"), (F.col("forth") * F.col("trust") * p.damping).alias("t"), F.lit(0.0).alias("d")
@@ -94,7 +95,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, p: Propagation) -> DataFrame:
         )
         own = seeds.select(F.col("host").alias("to"), F.col("t0").alias("t"), F.col("d0").alias("d"))
         new = forth.unionByName(back).unionByName(own).groupBy(F.col("to").alias("host"))
-        scores = written(spark, new.agg(F.sum("t").alias("trust"), F.sum("d").alias("distrust")), "trust-round")
+        scores = rounds.put(new.agg(F.sum("t").alias("trust"), F.sum("d").alias("distrust")))
     return scores
 
 

@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.session import scratch_dir
+from ledgerspark.session import remove_dir, scratch_dir
+
+
+class Rounds:
+    """Tables of a loop: each round's is written and replaces the one before, whose files go."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = scratch_dir(self.spark, self.name)
+        df.write.parquet(path)
+        if self.path:
+            remove_dir(self.spark, self.path)
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
