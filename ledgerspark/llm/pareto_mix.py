@@ -18,7 +18,7 @@ class Mix:
     most: int = 3
     seed: str = "mix"
     #: Documents of one step of the rank histogram.
-    step_rows: int = 20_000
+    step_rows: int = 2_000
 
 
 def word_count(text: Column) -> Column:
