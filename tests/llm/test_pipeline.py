@@ -31,6 +31,23 @@ def folder(spark, tmp_path_factory):
     return str(at), rows, bench
 
 
+def test_near_dedup_from_four_fifths(spark):
+    # Of 100 + n different shingles each, 200 - n are shared: similarities of 0.80 to 0.85, and some below.
+    rows = []
+    for n in range(60):
+        base = [f"b{n}x{i}" for i in range(204)]
+        lost = 33 + n % 12 if n < 48 else 60
+        rows.append((2 * n, " ".join(base)))
+        rows.append((2 * n + 1, " ".join(base[: 204 - lost // 2] + [f"c{n}x{i}" for i in range(lost - lost // 2 - 4)])))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    similar = {2 * n for n in range(60) if len(sets[2 * n] & sets[2 * n + 1]) >= 0.8 * len(sets[2 * n] | sets[2 * n + 1])}
+    between = [n for n in similar if len(sets[n] & sets[n + 1]) < 0.85 * len(sets[n] | sets[n + 1])]
+    assert len(between) > 20 and len(similar) < 60
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert left == {i for i, _ in rows} - {n + 1 for n in similar}
+
+
 def test_stages_and_run(spark, folder):
     at, rows, items = folder
     kept = []
