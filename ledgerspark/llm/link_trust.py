@@ -21,11 +21,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Propagation:
+    #: Rounds of the SQL form, which has no loop until scores settle.
     rounds: int = 12
     damping: float = 0.85
-    #: A host is blocked if its distrust is over so many times its trust and over ``least``.
+    #: A host is blocked if its distrust is over so many times its trust. ``least`` is a floor in the SQL form only: scores
+    #: shrink with the graph, so a fixed floor would change verdicts by its size.
     ratio: float = 1.0
     least: float = 1e-6
+    #: Rounds go on while any score grows by more than this share of it.
+    settled: float = 1e-4
     rules: tuple[tuple[str, str], ...] = RULES
 
 
@@ -64,8 +68,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, p: Propagation) -> DataFrame:
     seeds against them.
 
     ``edges`` are ``src, dst, n``, ``seeds`` are ``host, trusted, blocked`` with seed masses. A host hands its
-    trust on by the share of its links, and its distrust back by the share of links to it. Every round joins
-    and adds up by host, with map-side combine, and is written to the shared folder. Hosts without seeds and
+    trust on by the share of its links, and its distrust back by the share of links to it. Rounds go on until
+    no score grows by more than ``settled`` of it, so every host that a seed reaches has a score. Every round joins and adds up by host, with map-side combine, and is written to the shared folder. Hosts without seeds and
     links are left out.
     """
     spark = edges.sparkSession
@@ -86,16 +90,25 @@ def propagate(edges: DataFrame, seeds: DataFrame, p: Propagation) -> DataFrame:
         # Nothing is handed on, so every round gives the same.
         return scores
     rounds = Rounds(spark, "trust-round")
-    for _ in range(p.rounds):
+    none = [F.lit(0.0).alias("t_last"), F.lit(0.0).alias("d_last")]
+    growing = True
+    while growing:
         forth = moves.join(scores, F.col("src") == F.col("host")).select(
-            F.col("dst").alias("to"), (F.col("forth") * F.col("trust") * p.damping).alias("t"), F.lit(0.0).alias("d")
+            F.col("dst").alias("to"), (F.col("forth") * F.col("trust") * p.damping).alias("t"), F.lit(0.0).alias("d"), *none
         )
         back = moves.join(scores, F.col("dst") == F.col("host")).select(
-            F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("back") * F.col("distrust") * p.damping).alias("d")
+            F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("back") * F.col("distrust") * p.damping).alias("d"), *none
         )
-        own = seeds.select(F.col("host").alias("to"), F.col("t0").alias("t"), F.col("d0").alias("d"))
-        new = forth.unionByName(back).unionByName(own).groupBy(F.col("to").alias("host"))
-        scores = rounds.put(new.agg(F.sum("t").alias("trust"), F.sum("d").alias("distrust")))
+        own = seeds.select(F.col("host").alias("to"), F.col("t0").alias("t"), F.col("d0").alias("d"), *none)
+        last = scores.select(
+            F.col("host").alias("to"), F.lit(0.0).alias("t"), F.lit(0.0).alias("d"), F.col("trust").alias("t_last"), F.col("distrust").alias("d_last")
+        )
+        new = forth.unionByName(back).unionByName(own).unionByName(last).groupBy(F.col("to").alias("host"))
+        sums = [F.sum(c).alias(n) for c, n in (("t", "trust"), ("d", "distrust"), ("t_last", "t_last"), ("d_last", "d_last"))]
+        scores = rounds.put(new.agg(*sums))
+        grown = [F.col(now) > F.col(was) * (1.0 + p.settled) for now, was in (("trust", "t_last"), ("distrust", "d_last"))]
+        growing = bool(scores.where(grown[0] | grown[1]).take(1))
+        scores = scores.select("host", "trust", "distrust")
     return scores
 
 
@@ -104,7 +117,7 @@ def judge_urls(pages: DataFrame, p: Propagation = Propagation()) -> DataFrame:
 
     A page with a rule has the rule's verdict. Seeds are the hosts of such pages, trusted or blocked by the share of
     the host's pages. All other pages have their host's verdict: block if its distrust exceeds
-    its trust and ``least``, else allow. The tables that are joined have one row per host.
+    its trust, else allow. The tables that are joined have one row per host.
 
     Null URLs and those without ``://`` have empty host and path, no rule, and are allowed. Null HTML has no links.
     Repeated rows are judged alike; an empty table gives an empty table; other columns are not read.
@@ -124,7 +137,7 @@ def judge_urls(pages: DataFrame, p: Propagation = Propagation()) -> DataFrame:
     seeds = seeds.where("trusted > 0 or blocked > 0")
     scores = propagate(host_edges(seen), seeds, p)
     scores = scores.withColumnRenamed("host", "of")
-    bad = (F.col("distrust") > F.col("trust") * p.ratio) & (F.col("distrust") > p.least)
+    bad = F.col("distrust") > F.col("trust") * p.ratio
     method = F.when(F.coalesce(bad, F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     return seen.join(scores, F.col("host") == F.col("of"), "left").select(
         "page_id",

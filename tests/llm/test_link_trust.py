@@ -77,3 +77,12 @@ def test_rules_and_parts(spark):
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
         assert verdict is None or r["verdict"] == verdict
     assert judge_urls(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_verdicts_do_not_change_with_the_size_of_a_farm_or_the_length_of_a_chain(spark):
+    farm = spark.range(200_000).selectExpr("id AS page_id", "concat('http://s', id, '.com/') AS url", """'<a href="http://bad.net/x">y</a>' AS html""", "'x' AS host")
+    chain = [(300_000 + i, f"http://c{i}.com/", link(f"c{i + 1}.com" if i < 19 else "worse.net"), "x") for i in range(20)]
+    seeds = [(400_000, "http://bad.net/", None, "x"), (400_001, "http://worse.net/", None, "x"), (400_002, "http://fine.com/", link("far.com"), "x")]
+    got = judge_urls(farm.unionByName(spark.createDataFrame(chain + seeds, PAGES)))
+    counted = {(r["verdict"]): r["count"] for r in got.groupBy("verdict").count().collect()}
+    assert counted == {"block": 200_022, "allow": 1}
