@@ -29,16 +29,34 @@ TEMPLATES = {
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mpl": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
+#: Full notices and short forms of the restricted variants; the label is the name up to the first blank.
+VARIANTS = {
+    f"cc-by-{'-'.join(codes)} {form}": text
+    for codes, names in (
+        (("nc",), "noncommercial"),
+        (("sa",), "sharealike"),
+        (("nd",), "noderivatives"),
+        (("nc", "sa"), "noncommercial sharealike"),
+        (("nc", "nd"), "noncommercial noderivatives"),
+    )
+    for form, text in (
+        ("notice", f"this work is licensed under a creative commons attribution {names} 4 0 international license"),
+        ("short", f"licensed under cc by {' '.join(codes)} 4 0"),
+    )
+    if f"licensed under cc by {' '.join(codes)} 4 0" not in TEMPLATES.values() or form == "notice"
+}
 K = 3
 _WORD_GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 @dataclass(frozen=True)
 class Voting:
-    templates: dict[str, str] = field(default_factory=lambda: dict(TEMPLATES))
+    templates: dict[str, str] = field(default_factory=lambda: {**TEMPLATES, **VARIANTS})
     phrases: dict[str, str] = field(default_factory=lambda: dict(BASE_PHRASES))
     #: Diagonals up to so many words apart are one span: words put in or left out.
     merge: int = 3
+    #: Of overlapping spans of templates with this beginning, the one that explains most words counts alone.
+    rivals: str = "cc-by"
     #: Template words that a span must match, in percent.
     percent: int = 70
 
@@ -72,7 +90,8 @@ def scan_licenses(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
     Every place of a text yields the hash of its ``K`` words, which is joined with the places of the templates
     (a broadcast of fixed size; the words are compared too). A hit votes for the diagonal place - template
     place. Votes are added up per document, template and diagonal; diagonals at most ``merge`` apart are
-    merged; a merged span counts if its hits cover ``percent`` of the template's words. ``spans`` are
+    merged; a merged span counts if its hits cover ``percent`` of the template's words, and if no overlapping span of a
+    rival template covers more words (of as many, a larger share). ``spans`` are
     (template, first word, last word, share). ``score`` is 1 with a base place, else the largest share of a span that counts, or 0.
 
     Null and empty texts have no words: counts 0, labels empty, first and last null. Rows are told apart by a
@@ -120,6 +139,7 @@ def scan_licenses(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
     )
     merged = diagonals.groupBy(*row, "template", "length", "band").agg(
         (F.size(covers) / F.max("length")).alias("share"),
+        F.size(covers).alias("explains"),
         F.min("begin").alias("begin"),
         (F.max("end") + (K - 1)).alias("end"),
         F.sum("n_base").alias("n_base"),
@@ -128,15 +148,27 @@ def scan_licenses(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
         F.array_distinct(F.flatten(F.collect_list("base_labels"))).alias("base_labels"),
     )
     counts = F.col("template").isNotNull() & (F.col("share") * 100 >= voting.percent)
+    label = F.substring_index("template", " ", 1).alias("template")
+    span = F.struct(label, "begin", "end", "share", "explains")
     total = merged.groupBy(*row).agg(
         F.sum("n_base").alias("n_base"),
         F.min("first_word").cast("bigint").alias("first_word"),
         F.max("last_word").cast("bigint").alias("last_word"),
         F.array_distinct(F.flatten(F.collect_list("base_labels"))).alias("base"),
-        F.collect_set(F.when(counts, F.col("template"))).alias("found"),
-        F.coalesce(F.max(F.when(counts, F.col("share"))), F.lit(0.0)).alias("share"),
-        F.sort_array(F.collect_list(F.when(counts, F.struct("template", "begin", "end", "share")))).alias("spans"),
+        F.sort_array(F.collect_list(F.when(counts, span))).alias("spans"),
+    )
+    better = lambda s, t: (
+        (t["begin"] <= s["end"])
+        & (s["begin"] <= t["end"])
+        & ((t["explains"] > s["explains"]) | ((t["explains"] == s["explains"]) & (t["share"] > s["share"])))
     )
+    rival = lambda s: s["template"].startswith(voting.rivals)
+    total = total.withColumn("rivals", F.filter("spans", rival))
+    won = F.filter("spans", lambda s: ~rival(s) | ~F.exists("rivals", lambda t: better(s, t)))
+    names = ("template", "begin", "end", "share")
+    total = total.withColumn("spans", F.transform(won, lambda s: F.struct(*[s[n].alias(n) for n in names])))
+    total = total.withColumn("found", F.array_distinct(F.transform("spans", lambda s: s["template"])))
+    total = total.withColumn("share", F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)))
     return total.select(
         "doc_id",
         F.col("n_words").cast("bigint").alias("n_words"),

@@ -37,6 +37,23 @@ def test_inserted_word_is_bridged(docs):
     assert row["spans"][0]["begin"] == 0 and row["spans"][0]["end"] == len(text.split()) - 1
 
 
+def test_restricted_variants_are_no_plain_attribution(docs):
+    names = {"nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
+    codes = ["", "nc", "sa", "nd", "nc-sa", "nc-nd"]
+    full = "".join
+    texts = [
+        full(["Text. This work is licensed under a Creative Commons Attribution", *["-" + names[c] for c in code.split("-") if c],
+              " 4.0 International License. More text"])
+        for code in codes
+    ]
+    got = found(docs, *texts, "Licensed under CC BY-NC-SA 4.0.")
+    for i, code in enumerate(codes):
+        label = "cc-by" + ("-" + code if code else "")
+        assert (got[i]["labels"], got[i]["score"]) == (label, 1.0)
+        assert [s["template"] for s in got[i]["spans"]] == [label]
+    assert [s["template"] for s in got[6]["spans"]] == ["cc-by-nc-sa"]
+
+
 def test_edges(docs):
     rows = scan_licenses(docs(*EDGE_ROWS, (9, "x " * 200_000 + "mit license"))).collect()
     assert len(rows) == len(EDGE_ROWS) + 1
