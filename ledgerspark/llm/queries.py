@@ -16,6 +16,7 @@ from ledgerspark.llm.oracle import ORACLES as _ORACLES
 from ledgerspark.llm.pareto_mix import mix_sources
 from ledgerspark.llm.scratch import table
 from ledgerspark.llm.suffix_decontaminate import covered, find_matches
+from ledgerspark.llm.tokenizer_alignment import align_tokenizers
 from ledgerspark.llm.warc_zst import archive_round_trip
 
 
@@ -107,6 +108,12 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_tokenizer_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under two tokenizers: groups, links and how frequent these are in all documents."""
+    aligned = align_tokenizers(table(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -120,6 +127,7 @@ QUERIES = {
         op8_line_quality,
         op9_kd_shards,
         op10_pareto_mix,
+        op12_tokenizer_spans,
     )
 }
 ORACLES = dict(_ORACLES)
