@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.collinear_passages import repeated_passages
+from ledgerspark.llm.conversation_repair import damaged, repair_report, report_of_all
 from ledgerspark.llm.cross_parse import held_out, identify, learn
 from ledgerspark.llm.fast_sketch_dedup import near_duplicates
 from ledgerspark.llm.kd_shards import kd_shards
@@ -114,6 +115,12 @@ def op12_tokenizer_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, and its cheapest repair."""
+    turns = table(spark, sf_dir, "conversations")
+    return report_of_all(turns, repair_report(damaged(turns)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -128,6 +135,7 @@ QUERIES = {
         op9_kd_shards,
         op10_pareto_mix,
         op12_tokenizer_spans,
+        op13_conversation_repair,
     )
 }
 ORACLES = dict(_ORACLES)
