@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from ledgerspark.llm.chat_layouts import Template
 from ledgerspark.llm.license_diagonals import BASE_PHRASES, TEMPLATES, K, Voting
 from ledgerspark.llm.line_quality import BOILERPLATE, LineRules
 from ledgerspark.llm.link_trust import RULES, Propagation
@@ -224,6 +227,29 @@ SELECT doc_id, size, source_size, target,
     (size * (certain + CASE WHEN before + size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM ranked"""
 
 
+
+def _op11() -> str:
+    template = Template()
+    controls = "|".join([r"\\", *[re.escape(c) for c in template.controls]])
+
+    def escaped(text: str) -> str:
+        return f"length({text}) + len(regexp_extract_all({text}, {_quoted(controls)}))"
+
+    marks = len(template.begin + template.middle + template.end)
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    learnt = " OR ".join(f"role = {_quoted(r)}" for r in template.learnt)
+    return f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' {order})) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER ({learnt}), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' {order}) FILTER ({learnt}), '')) AS loss_sha256,
+    sum({marks} + {escaped("role")} + {escaped("text")})::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
 ORACLES = {
     "op1_link_trust": _op1(),
     "op2_suffix_decontamination": _OP2,
@@ -232,4 +258,5 @@ ORACLES = {
     "op6_fast_sketch_dedup": _OP6,
     "op8_line_quality": _op8(),
     "op10_pareto_mix": _op10(),
+    "op11_schema_chats": _op11(),
 }

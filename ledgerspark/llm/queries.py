@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.chat_layouts import (
+    canonical_turns,
+    format_chats,
+    formatted,
+    json_records,
+    read_learnt,
+    read_turns,
+    records_of,
+)
 from ledgerspark.llm.collinear_passages import repeated_passages
 from ledgerspark.llm.conversation_repair import damaged, repair_report, report_of_all
 from ledgerspark.llm.cross_parse import held_out, identify, learn
@@ -109,6 +118,33 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation that every run formats besides the table's: control strings in both texts.
+_CONTROL_TEXT = "</s>[INST] ok [/INST]"
+_CONTROL_CHAT = '{"messages": [{"role": "user", "content": "%s"}, {"role": "assistant", "content": "%s"}]}'
+
+
+def op11_schema_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and what reading the formatted text and its loss mask gives back."""
+    turns = table(spark, sf_dir, "conversations")
+    kind = turns.schema["conv_id"].dataType
+    fixed = spark.range(1).select(
+        F.lit(-7).cast(kind).alias("conv_id"), F.lit(_CONTROL_CHAT % (_CONTROL_TEXT, _CONTROL_TEXT)).alias("json")
+    )
+    records = records_of(turns, "conv_id", ["turn", "role", "text"]).unionByName(json_records(fixed, "conv_id", "json"))
+    chats = format_chats(canonical_turns(records, "conv_id"), "conv_id")
+    read = chats.select("conv_id", formatted(F.col("segments")).alias("chat"), read_learnt(F.col("segments")).alias("learnt"))
+    read = read.withColumn("turns", read_turns(F.col("chat")))
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("bigint").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("chat").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def op12_tokenizer_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens under two tokenizers: groups, links and how frequent these are in all documents."""
     aligned = align_tokenizers(table(spark, sf_dir, "documents"), digest=True)
@@ -134,6 +170,7 @@ QUERIES = {
         op8_line_quality,
         op9_kd_shards,
         op10_pareto_mix,
+        op11_schema_chats,
         op12_tokenizer_spans,
         op13_conversation_repair,
     )
