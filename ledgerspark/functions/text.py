@@ -56,18 +56,8 @@ def resolve_tax_id(ticker: Column, raw: Column, registry: dict[str, str]) -> Col
     return F.coalesce(formatted, known, F.lit(""))
 
 
-def exact_decimal(value: Column) -> Column:
-    """Double as decimal, to the 15 digits a double is good for.
-
-    A product such as 66528298.77 may be stored as 66528298.769999996; cutting that would lose a cent.
-    """
-    digits = F.format_string("%.14e", value).cast(T.DecimalType(38, 10))
-    return F.when(value.isNotNull(), digits)
-
-
 def format_amount(value: Column, places: int = 2) -> Column:
-    """Decimal amount cut (never rounded) to ``places`` decimals, with a decimal comma."""
-    exact = F.coalesce(value, F.lit(0)).cast(T.DecimalType(38, 10))
-    cut = F.floor(F.abs(exact), F.lit(places)).cast(T.DecimalType(38 - 10 + places, places))
-    sign = F.when(exact < 0, F.lit("-")).otherwise(F.lit(""))
+    """Decimal amount cut (never rounded) to ``places`` decimals, with a decimal comma; null is 0."""
+    cut = F.floor(F.abs(F.coalesce(value, F.lit(0))), F.lit(places)).cast(T.DecimalType(38 - 10 + places, places))
+    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
     return F.concat(sign, F.replace(cut.cast("string"), F.lit("."), F.lit(",")))

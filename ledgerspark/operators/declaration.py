@@ -20,6 +20,7 @@ from ledgerspark.fixed_values import (
     TAXABLE_LENDING,
     TAXABLE_MONETARY_UPDATE,
 )
+from ledgerspark.functions.numeric import AMOUNT
 from ledgerspark.functions.text import product_ticker, resolve_tax_id
 from ledgerspark.operators.income import YEAR, of_year
 from ledgerspark.operators.merge import first_per_key
@@ -90,8 +91,8 @@ def declared_positions(
         resolve_tax_id(ticker, F.col("cnpj"), registry).alias("cnpj"),
         F.coalesce("nome_compania", F.lit("")).alias("nome_compania"),
         F.coalesce("qtd_lado", F.lit(0)).cast("long").alias("quantidade"),
-        F.coalesce("preco_medio_compra", F.lit(0.0)).alias("preco_medio_compra"),
-        F.coalesce("posicao_fin", F.lit(0.0)).alias("posicao_fin"),
+        F.coalesce("preco_medio_compra", F.lit(0).cast(AMOUNT)).alias("preco_medio_compra"),
+        F.coalesce("posicao_fin", F.lit(0).cast(AMOUNT)).alias("posicao_fin"),
     )
     return active.join(declared, [TAXPAYER, "ticker"]).select(
         TAXPAYER,
@@ -153,7 +154,7 @@ def nested_declaration(
 
 def flat_declaration(nested: DataFrame) -> DataFrame:
     """The nested record as one row per list element, and one for every empty list and every total."""
-    event = "array<struct<ticker:string,cnpj:string,nome_compania:string,event_type:string,amount:decimal(28,2),price:double,value:double>>"
+    event = "array<struct<ticker:string,cnpj:string,nome_compania:string,event_type:string,amount:decimal(28,2),price:decimal(38,24),value:decimal(38,24)>>"
     held = F.transform(
         "positions",
         lambda e: F.struct(
@@ -161,7 +162,7 @@ def flat_declaration(nested: DataFrame) -> DataFrame:
             e["quantidade"].cast(MONEY_SUM).alias("amount"), e["preco_medio_compra"], e["posicao_fin"],
         ),
     )
-    none = [F.lit(None).cast("double") for _ in range(2)]
+    none = [F.lit(None).cast(AMOUNT) for _ in range(2)]
     lists = {"positions": held}
     for name in EVENT_LISTS.values():
         lists[name] = F.transform(

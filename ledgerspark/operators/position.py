@@ -3,7 +3,9 @@
 Trades, movements and custody rows are added up per taxpayer and ticker before anything is joined,
 so joins see one row per ticker and no fan-out occurs. Spreading a split or bonus over the buys of a
 ticker and adding the buys up again gives the same totals as adding it once; that is what the price
-formulas use. Row-spread forms exist as operators of their own where the result is one row per trade.
+formulas use. A part is a quotient of its own, rounded to the digits a database gives it, and counts as often as rows
+get it, so totals agree with a row-by-row sum to the last digit. Row-spread forms exist as operators of their own
+where the result is one row per trade.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.fixed_values import BONUS, BUY, CREDIT, SELL, SPLIT
+from ledgerspark.functions.numeric import PART, decimal, number, over, plus, times
 from ledgerspark.functions.text import product_company, product_ticker, without_fraction_mark
 from ledgerspark.operators.income import latest_position
 from ledgerspark.schemas import COUNT_SUM, MONEY_SUM, QUANTITY_SUM, TAXPAYER
@@ -25,10 +28,19 @@ def _until(date_column: str, as_of: date | None) -> Column:
     return F.lit(True) if as_of is None else F.col(date_column) <= F.lit(as_of)
 
 
-def _ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient as double, null for a zero divisor."""
-    divisor = denominator.cast("double")
-    return F.when(divisor != 0, numerator.cast("double") / divisor)
+#: Decimals of added-up quantities and of added-up money.
+_OF_QUANTITY, _OF_MONEY = QUANTITY_SUM.scale, MONEY_SUM.scale
+
+
+def _part(total: Column, scale: int, rows: Column) -> Column:
+    """What each of ``rows`` gets of a total; null for no rows or no total."""
+    return over(number(total, scale), number(rows))
+
+
+def _parts(total: Column, scale: int, all_rows: Column, rows: Column) -> Column:
+    """What ``rows`` of ``all_rows`` get of a total together, 0 without a total. Trades without quantity or price take
+    a part but add nothing, so theirs is lost."""
+    return F.coalesce(times(_part(total, scale, all_rows), number(rows)), number(F.lit(0)))
 
 
 def trades_by_instrument(trades: DataFrame, as_of: date | None = None) -> DataFrame:
@@ -72,7 +84,7 @@ def splits_per_trade(movements: DataFrame, trades: DataFrame, side: str) -> Data
     counts = trade_counts(trades, side)
     return splits.join(counts, TICKER_KEY, "left").select(
         *TICKER_KEY,
-        _ratio(F.col("qtd_lado"), F.col("n_trades")).alias("qtd_lado"),
+        decimal(_part(F.col("qtd_lado"), _OF_QUANTITY, F.col("n_trades")), PART).alias("qtd_lado"),
         F.col("qtd_lado").alias("qtd_lado_orig"),
     )
 
@@ -84,7 +96,7 @@ def trades_split_adjusted(trades: DataFrame, movements: DataFrame) -> DataFrame:
     )
     # Spark broadcasts the shares by their true size, or else splits a ticker with many trades at run time.
     rows = trades_by_instrument(trades).join(shares, [TAXPAYER, "instrumento"], "left")
-    adjusted = F.col("quantidade").cast("double") + F.coalesce("_share", F.lit(0.0))
+    adjusted = F.col("quantidade").cast("decimal(10,0)") + F.coalesce("_share", F.lit(0).cast(PART))
     return rows.select(*trades.columns, "instrumento", adjusted.alias("quantidade_net"))
 
 
@@ -109,8 +121,8 @@ def bonus_per_buy(bonus: DataFrame, trades: DataFrame) -> DataFrame:
         *TICKER_KEY,
         "quantidade",
         "valor_operacao",
-        _ratio(F.col("valor_operacao"), F.col("n_compras")).alias("valor_bon_por_neg"),
-        _ratio(F.col("quantidade"), F.col("n_compras")).alias("qtd_bon_por_neg"),
+        decimal(_part(F.col("valor_operacao"), _OF_MONEY, F.col("n_compras")), PART).alias("valor_bon_por_neg"),
+        decimal(_part(F.col("quantidade"), _OF_QUANTITY, F.col("n_compras")), PART).alias("qtd_bon_por_neg"),
     )
 
 
@@ -133,8 +145,8 @@ def bonus_per_trade_v2(bonus: DataFrame, trades: DataFrame) -> DataFrame:
         *TICKER_KEY,
         "quantidade",
         "valor_operacao",
-        _ratio(F.col("valor_operacao"), F.col("_pairs")).alias("valor_bon_por_neg"),
-        _ratio(F.col("quantidade"), F.col("_pairs")).alias("qtd_bon_por_neg"),
+        decimal(_part(F.col("valor_operacao"), _OF_MONEY, F.col("_pairs")), PART).alias("valor_bon_por_neg"),
+        decimal(_part(F.col("quantidade"), _OF_QUANTITY, F.col("_pairs")), PART).alias("qtd_bon_por_neg"),
     )
 
 
@@ -161,15 +173,6 @@ def _trade_totals(trades: DataFrame, as_of: date | None) -> DataFrame:
     )
 
 
-def _spread(total: Column, rows: Column, all_rows: Column) -> Column:
-    """What ``rows`` of ``all_rows`` get of a total spread evenly: all of it when none is left out.
-
-    Trades without quantity or price take a share but add nothing, so theirs is lost.
-    """
-    whole = F.coalesce(total.cast(QUANTITY_SUM), F.lit(0).cast(QUANTITY_SUM))
-    return F.when(rows == all_rows, whole).otherwise((whole * rows / all_rows).cast(QUANTITY_SUM))
-
-
 def _with_adjustments(trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of) -> DataFrame:
     splits = net_splits(movements, as_of).select(
         TAXPAYER, F.col("ticker").alias("instrumento"), F.col("qtd_lado").alias("split")
@@ -185,26 +188,31 @@ def _with_adjustments(trades: DataFrame, movements: DataFrame, bonus: DataFrame,
     return _trade_totals(trades, as_of).join(splits, key, "left").join(extra, key, "left")
 
 
+def _bought() -> Column:
+    """Shares of the buys; quantities of trades are whole."""
+    return number(F.col("bought").cast(COUNT_SUM))
+
+
 def _average_price() -> Column:
+    """Cost over shares, as number."""
     rows = F.col("n_buys")
-    value = F.col("cost") + _spread(F.col("bonus_value"), F.col("n_priced"), rows)
-    shares = (
-        F.col("bought")
-        + _spread(F.col("split"), F.col("n_sized"), rows)
-        + _spread(F.col("bonus_quantity"), F.col("n_sized"), rows)
-    )
-    return _ratio(value.cast(QUANTITY_SUM), shares.cast(QUANTITY_SUM))
+    value = plus(number(F.col("cost"), _OF_QUANTITY), _parts(F.col("bonus_value"), _OF_MONEY, rows, F.col("n_priced")))
+    extra = [_parts(F.col(c), _OF_QUANTITY, rows, F.col("n_sized")) for c in ("split", "bonus_quantity")]
+    return over(value, plus(_bought(), *extra))
+
+
+def _prices(trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of: date | None) -> DataFrame:
+    """Average buy price of every ticker that was ever bought, as number."""
+    rows = _with_adjustments(trades, movements, bonus, as_of).filter("n_buys > 0")
+    return rows.select(TAXPAYER, "instrumento", _average_price().alias("_price"))
 
 
 def avg_buy_price(
     trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of: date | None = None
 ) -> DataFrame:
     """Split- and bonus-adjusted average buy price of every ticker that was ever bought."""
-    return (
-        _with_adjustments(trades, movements, bonus, as_of)
-        .filter("n_buys > 0")
-        .select(TAXPAYER, "instrumento", _average_price().alias("preco_medio_compra"))
-    )
+    prices = _prices(trades, movements, bonus, as_of)
+    return prices.select(TAXPAYER, "instrumento", decimal(F.col("_price")).alias("preco_medio_compra"))
 
 
 def _net_shares(bonus_quantity: Column) -> Column:
@@ -295,13 +303,14 @@ def year_end_position(custody: DataFrame, loans: DataFrame, as_of: date | None =
 
 
 def _valued(rows: DataFrame) -> DataFrame:
-    """Open positions with their value, in the columns of the position view."""
+    """Open positions with their value, in the columns of the position view, from the number ``_price``."""
+    held = number(F.col("qtd_lado"), rows.schema["qtd_lado"].dataType.scale)
     return rows.filter("qtd_lado > 0").select(
         TAXPAYER,
         "instrumento",
-        "preco_medio_compra",
+        decimal(F.col("_price")).alias("preco_medio_compra"),
         "qtd_lado",
-        (F.col("qtd_lado").cast("double") * F.col("preco_medio_compra")).alias("posicao_fin"),
+        decimal(times(held, F.col("_price"))).alias("posicao_fin"),
         F.coalesce("cnpj", F.lit("")).alias("cnpj"),
         F.coalesce("nome_compania", "instrumento").alias("nome_compania"),
     )
@@ -320,7 +329,7 @@ def position(
     Without ``as_of`` the newest date and all trades count, whatever year is declared.
     """
     shares = year_end_position(custody, loans, as_of).withColumnRenamed("ticker", "instrumento")
-    prices = avg_buy_price(trades, movements, bonus, as_of)
+    prices = _prices(trades, movements, bonus, as_of)
     return _valued(shares.join(prices, [TAXPAYER, "instrumento"], "left"))
 
 
@@ -346,8 +355,10 @@ def view_position_v1(trades: DataFrame, custody: DataFrame) -> DataFrame:
         .groupBy(TAXPAYER, "instrumento")
         .agg(bought.alias("_bought"), cost.alias("_cost"), (bought - sold).cast(QUANTITY_SUM).alias("qtd_lado"))
     )
-    price = F.when(F.col("_bought") > 0, _ratio(F.col("_cost"), F.col("_bought"))).otherwise(0.0)
-    return _valued(_with_company(totals.withColumn("preco_medio_compra", price), custody))
+    bought = F.col("_bought").cast(COUNT_SUM)
+    price = over(number(F.col("_cost"), _OF_QUANTITY), number(bought))
+    priced = totals.withColumn("_price", F.when(bought > 0, price).otherwise(number(F.lit(0))))
+    return _valued(_with_company(priced, custody))
 
 
 def view_position_v2(
@@ -357,22 +368,21 @@ def view_position_v2(
     sums = _with_adjustments(trades, movements, bonus, None)
     counts = trade_counts(trades).withColumnRenamed("ticker", "instrumento")
     rows = sums.join(counts, [TAXPAYER, "instrumento"], "left")
-    zero = F.lit(0.0)
-    # Each trade takes its share of the multiplied total, which is the total per bonus row.
     pairs = F.col("n_bonus") * F.col("n_trades")
-    per_trade = [
-        F.coalesce(_ratio(F.col(c) * F.col("n_trades"), pairs), zero)
-        for c in ("bonus_value", "bonus_quantity")
-    ]
-    value = F.col("cost").cast("double") + per_trade[0] * F.col("n_priced")
-    split = _spread(F.col("split"), F.col("n_sized"), F.col("n_buys"))
-    shares = (F.col("bought") + split).cast("double") + per_trade[1] * F.col("n_sized")
-    multiplied = (F.col("bonus_quantity") * F.col("n_trades")).cast(QUANTITY_SUM)
+    value, quantity = (
+        (F.col(c) * F.col("n_trades")).cast(kind) for c, kind in (("bonus_value", MONEY_SUM), ("bonus_quantity", QUANTITY_SUM))
+    )
+    cost = plus(number(F.col("cost"), _OF_QUANTITY), _parts(value, _OF_MONEY, pairs, F.col("n_priced")))
+    shares = plus(
+        _bought(),
+        _parts(F.col("split"), _OF_QUANTITY, F.col("n_buys"), F.col("n_sized")),
+        _parts(quantity, _OF_QUANTITY, pairs, F.col("n_sized")),
+    )
     priced = rows.filter("n_buys > 0").select(
         TAXPAYER,
         "instrumento",
-        _ratio(value, shares).alias("preco_medio_compra"),
-        _net_shares(multiplied).alias("qtd_lado"),
+        over(cost, shares).alias("_price"),
+        _net_shares(quantity).alias("qtd_lado"),
     )
     return _valued(_with_company(priced, custody)).orderBy(TAXPAYER, "instrumento")
 
@@ -387,7 +397,7 @@ def view_position_v3(
         .select(
             TAXPAYER,
             "instrumento",
-            _average_price().alias("preco_medio_compra"),
+            _average_price().alias("_price"),
             _net_shares(F.col("bonus_quantity")).alias("qtd_lado"),
         )
     )

@@ -14,7 +14,7 @@ from ledgerspark.fixed_values import (
     EntryText,
     ReportText,
 )
-from ledgerspark.functions.text import exact_decimal, format_amount, resolve_tax_id
+from ledgerspark.functions.text import format_amount, resolve_tax_id
 from ledgerspark.operators.declaration import DECLARATION_KEY
 from ledgerspark.operators.income import YEAR
 from ledgerspark.schemas import TAXPAYER
@@ -43,7 +43,7 @@ def position_text(words: ReportText) -> Column:
     """Assets-and-rights entry of one position: nine lines and a blank one."""
     ticker = F.col("ticker")
     year_end = F.concat(F.lit("31/12/"), F.col(YEAR).cast("string"))
-    price = format_amount(exact_decimal(F.col("preco_medio_compra")), words.decimal_places)
+    price = format_amount(F.col("preco_medio_compra"), words.decimal_places)
     return _text(
         f"{words.ticker_label}", ticker, "\n",
         f"{words.group_label}{words.group}\n",
@@ -55,7 +55,7 @@ def position_text(words: ReportText) -> Column:
         f"{words.traded_label}{words.traded}\n",
         words.trading_code_label, ticker, "\n",
         _filled(words.year_end_label, year_end),
-        format_amount(exact_decimal(F.col("posicao_fin")), words.decimal_places), "\n\n",
+        format_amount(F.col("posicao_fin"), words.decimal_places), "\n\n",
     )
 
 

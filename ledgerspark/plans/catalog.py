@@ -26,7 +26,6 @@ from ledgerspark.fixed_values import (
 )
 from ledgerspark.functions import clean, keys
 from ledgerspark.functions.text import (
-    exact_decimal,
     format_amount,
     format_tax_id,
     resolve_tax_id,
@@ -36,7 +35,7 @@ from ledgerspark.operators import bonus, declaration, income, ingest, merge, pos
 from ledgerspark.plans.derived import REGISTRY, Derived, movements_of, once
 from ledgerspark.plans.files import movement_workbooks, write_contents, write_dumps
 from ledgerspark.plans.import_run import run_import
-from ledgerspark.plans.oracle import decimal_of, money, query
+from ledgerspark.plans.oracle import amount, bought_price, cents, divided, hugeint, money, query
 from ledgerspark.schemas import MONEY, PRICE, TAXPAYER, table_spec
 from ledgerspark.session import scratch_dir
 from ledgerspark.sources import legacy_dump, reports, workbook
@@ -523,31 +522,40 @@ def _(d: Derived) -> DataFrame:
     return position.net_splits(d.movements())
 
 
+def _exact(rows: DataFrame, *columns: str) -> DataFrame:
+    """Exact amounts as text, so that all of their digits are compared."""
+    return rows.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+_PRICES = ("preco_medio_compra", "posicao_fin")
+
+
 def _splits_sql(side: str) -> str:
     """Split shares of a ticker over the number of its trades of a side, if it has any."""
-    return f"""SELECT taxpayer_id, ticker, (SELECT cast(x.split_shares AS double) / nullif(count(*), 0) FROM neg n
-    WHERE n.taxpayer_id = x.taxpayer_id AND n.instrumento = x.ticker AND n.tipo_movimentacao = '{side}') AS qtd_lado,
-    split_shares AS qtd_lado_orig FROM extras x WHERE n_splits > 0"""
+    counted = f"""SELECT *, (SELECT count(*) FROM neg n
+    WHERE n.taxpayer_id = x.taxpayer_id AND n.instrumento = x.ticker AND n.tipo_movimentacao = '{side}') AS n FROM extras x WHERE n_splits > 0"""
+    shares = divided(counted, "part", hugeint("split_shares", 6), "6", "cast(n AS hugeint)", "0", "6")
+    return f"SELECT taxpayer_id, ticker, {amount('part_u', 'part_s')} AS qtd_lado, split_shares AS qtd_lado_orig FROM ({shares})"
 
 
 @_register("splits_per_buy", _splits_sql(BUY))
 def _(d: Derived) -> DataFrame:
-    return position.splits_per_trade(d.movements(), d.trades(), BUY)
+    return _exact(position.splits_per_trade(d.movements(), d.trades(), BUY), "qtd_lado")
 
 
 @_register("splits_per_sell", _splits_sql(SELL))
 def _(d: Derived) -> DataFrame:
-    return position.splits_per_trade(d.movements(), d.trades(), SELL)
+    return _exact(position.splits_per_trade(d.movements(), d.trades(), SELL), "qtd_lado")
 
 
 @_register(
     "trades_split_adjusted",
-    "SELECT n.*, cast(n.quantidade AS double) + coalesce(s.qtd_lado, 0) AS quantidade_net FROM neg n LEFT JOIN shares s "
+    "SELECT n.*, cast(n.quantidade + cast(coalesce(s.qtd_lado, '0') AS decimal(36,24)) AS varchar) AS quantidade_net FROM neg n LEFT JOIN shares s "
     "ON n.taxpayer_id = s.taxpayer_id AND n.instrumento = s.ticker",
     shares=_splits_sql(BUY),
 )
 def _(d: Derived) -> DataFrame:
-    return position.trades_split_adjusted(d.trades(), d.movements())
+    return _exact(position.trades_split_adjusted(d.trades(), d.movements()), "quantidade_net")
 
 
 @_register(
@@ -568,51 +576,49 @@ def _(d: Derived) -> DataFrame:
     return position.buy_counts(d.trades())
 
 
+_BONUS_PARTS = ("valor_bon_por_neg", "qtd_bon_por_neg")
+
+
+def _bonus_parts_sql(rows: str, count: str) -> str:
+    """Bonus totals with their quotients by a count."""
+    n = f"cast({count} AS hugeint)"
+    sql = divided(rows, "value", hugeint("valor_operacao", 2, "decimal(28,2)"), "2", n, "0", "2")
+    sql = divided(sql, "gain", hugeint("quantidade", 6), "6", n, "0", "6")
+    return f"""SELECT taxpayer_id, ticker, quantidade, valor_operacao, {amount("value_u", "value_s")} AS valor_bon_por_neg,
+    {amount("gain_u", "gain_s")} AS qtd_bon_por_neg FROM ({sql})"""
+
+
 @_register(
     "bonus_per_buy",
-    """SELECT taxpayer_id, ticker, bonus_shares AS quantidade, bonus_value AS valor_operacao,
-    cast(bonus_value AS double) / n_compras AS valor_bon_por_neg, cast(bonus_shares AS double) / n_compras AS qtd_bon_por_neg
-    FROM extras LEFT JOIN n_buys USING (taxpayer_id, ticker) WHERE n_bonus > 0""",
+    _bonus_parts_sql(
+        "SELECT taxpayer_id, ticker, bonus_shares AS quantidade, bonus_value AS valor_operacao, n_compras FROM extras "
+        "LEFT JOIN n_buys USING (taxpayer_id, ticker) WHERE n_bonus > 0",
+        "n_compras",
+    ),
     n_buys=_BUY_COUNTS,
 )
 def _(d: Derived) -> DataFrame:
-    return position.bonus_per_buy(d.bonus(), d.trades())
+    return _exact(position.bonus_per_buy(d.bonus(), d.trades()), *_BONUS_PARTS)
 
 
 # The second form has each bonus row once for every trade of its ticker, and once without any.
 _MULTIPLIED = """SELECT taxpayer_id, ticker, cast(greatest(n, 1) * bonus_shares AS decimal(28,6)) AS quantidade,
-    cast(greatest(n, 1) * bonus_value AS decimal(28,2)) AS valor_operacao,
-    cast(cast(greatest(n, 1) * bonus_value AS decimal(28,2)) AS double) / nullif(n * n_bonus, 0) AS valor_bon_por_neg,
-    cast(cast(greatest(n, 1) * bonus_shares AS decimal(28,6)) AS double) / nullif(n * n_bonus, 0) AS qtd_bon_por_neg
+    cast(greatest(n, 1) * bonus_value AS decimal(28,2)) AS valor_operacao, n * n_bonus AS pairs
     FROM (SELECT x.*, (SELECT count(*) FROM neg t WHERE t.taxpayer_id = x.taxpayer_id AND t.instrumento = x.ticker) AS n FROM extras x)
     WHERE n_bonus > 0"""
 
 
-@_register("bonus_per_trade_v2", _MULTIPLIED)
+@_register("bonus_per_trade_v2", _bonus_parts_sql(_MULTIPLIED, "pairs"))
 def _(d: Derived) -> DataFrame:
-    return position.bonus_per_trade_v2(d.bonus(), d.trades())
-
-
-# Prices are compared at four decimals and values at two: the oracle adds up row by row, the engine in closed form. Both
-# are moved by a billionth first, because many exact results lie half-way between two rounded ones.
-_SCALES = {"preco_medio_compra": 4, "posicao_fin": 2}
-_MOVE = 1.000000001
-
-
-def _scaled(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({c: F.round(F.col(c) * _MOVE, n) for c, n in _SCALES.items() if c in rows.columns})
-
-
-def _scaled_sql(value: str, column: str) -> str:
-    return f"round(({value}) * cast({_MOVE} AS double), {_SCALES[column]}) AS {column}"
+    return _exact(position.bonus_per_trade_v2(d.bonus(), d.trades()), *_BONUS_PARTS)
 
 
 @_register(
     "avg_buy_price",
-    f"SELECT taxpayer_id, instrumento, {_scaled_sql('preco_medio_compra', 'preco_medio_compra')} FROM avg_by_row",
+    f"SELECT taxpayer_id, instrumento, {amount('preco_u', 'preco_s')} AS preco_medio_compra FROM avg_by_row",
 )
 def _(d: Derived) -> DataFrame:
-    return _scaled(position.avg_buy_price(d.trades(), d.movements(), d.bonus()))
+    return _exact(position.avg_buy_price(d.trades(), d.movements(), d.bonus()), "preco_medio_compra")
 
 
 @_register("net_quantity", "SELECT * FROM net_qty")
@@ -645,55 +651,70 @@ def _(d: Derived) -> DataFrame:
     return position.year_end_position(d.custody(), d.loans())
 
 
-@_register(
-    "view_position",
-    f"""SELECT y.taxpayer_id, y.ticker AS instrumento, {_scaled_sql("preco_medio_compra", "preco_medio_compra")}, qtd_lado,
-    {_scaled_sql("cast(qtd_lado AS double) * preco_medio_compra", "posicao_fin")}, coalesce(cnpj, '') AS cnpj,
-    coalesce(nome_compania, y.ticker) AS nome_compania FROM ye_position y LEFT JOIN avg_by_row p
-    ON p.taxpayer_id = y.taxpayer_id AND p.instrumento = y.ticker WHERE qtd_lado > 0""",
-)
+@_register("view_position", "SELECT * FROM vw_position")
 def _(d: Derived) -> DataFrame:
-    return _scaled(view_position(d))
+    return _exact(view_position(d), *_PRICES)
 
 
 def view_position(d: Derived) -> DataFrame:
     return position.view_position(d.trades(), d.movements(), d.bonus(), d.custody(), d.loans())
 
 
-_VALUED_SQL = f"""SELECT q.taxpayer_id, q.instrumento, {_scaled_sql("q.preco_medio_compra", "preco_medio_compra")}, q.qtd_lado,
-    {_scaled_sql("cast(q.qtd_lado AS double) * q.preco_medio_compra", "posicao_fin")}, coalesce(lp.cnpj, '') AS cnpj,
+_VALUED_SQL = f"""SELECT q.taxpayer_id, q.instrumento, {amount("q.preco_u", "q.preco_s")} AS preco_medio_compra, q.qtd_lado,
+    {amount(f"(q.preco_u * {hugeint('q.qtd_lado', 6)})", "(q.preco_s + 6)")} AS posicao_fin, coalesce(lp.cnpj, '') AS cnpj,
     coalesce(lp.nome_compania, q.instrumento) AS nome_compania
     FROM priced q LEFT JOIN last_pos lp ON q.taxpayer_id = lp.taxpayer_id AND q.instrumento = lp.ticker WHERE q.qtd_lado > 0"""
+_NET_V1 = """SELECT taxpayer_id, instrumento, cast(coalesce(sum(quantidade) FILTER (tipo_movimentacao = 'Compra'), 0) AS hugeint) AS bought,
+    coalesce(sum(quantidade * preco) FILTER (tipo_movimentacao = 'Compra'), 0) AS cost,
+    cast(sum(CASE tipo_movimentacao WHEN 'Compra' THEN quantidade WHEN 'Venda' THEN -quantidade ELSE 0 END) AS decimal(28,6)) AS qtd_lado
+    FROM neg GROUP BY ALL"""
 
 
 @_register(
     "view_position_v1",
     _VALUED_SQL,
-    priced="""SELECT taxpayer_id, instrumento, coalesce(sum(cast(quantidade * preco AS double)) FILTER (tipo_movimentacao = 'Compra')
-    / nullif(sum(quantidade) FILTER (tipo_movimentacao = 'Compra'), 0), 0) AS preco_medio_compra,
-    cast(sum(CASE tipo_movimentacao WHEN 'Compra' THEN quantidade WHEN 'Venda' THEN -quantidade ELSE 0 END) AS decimal(28,6)) AS qtd_lado
-    FROM neg GROUP BY ALL""",
+    priced="SELECT * REPLACE (coalesce(preco_u, 0) AS preco_u, CASE WHEN preco_u IS NULL THEN 0 ELSE preco_s END AS preco_s) FROM ("
+    + divided(_NET_V1, "preco", hugeint("cost", 6), "6", "bought", "0", "6")
+    + ")",
 )
 def _(d: Derived) -> DataFrame:
-    return _scaled(position.view_position_v1(d.trades(), d.custody()))
+    return _exact(position.view_position_v1(d.trades(), d.custody()), *_PRICES)
+
+
+# Each trade gets its part of the multiplied bonus totals.
+_WITH_MULTIPLIED = divided(
+    divided(
+        """SELECT s.*, m.quantidade AS many_shares, m.valor_operacao AS many_value, m.pairs, m.valor_operacao IS NOT NULL AS each_total,
+        m.quantidade IS NOT NULL AS more_total FROM shared_out s
+        LEFT JOIN multiplied m ON s.taxpayer_id = m.taxpayer_id AND s.instrumento = m.ticker""",
+        "each",
+        hugeint("many_value", 2, "decimal(28,2)"),
+        "2",
+        "cast(pairs AS hugeint)",
+        "0",
+        "2",
+    ),
+    "more",
+    hugeint("many_shares", 6),
+    "6",
+    "cast(pairs AS hugeint)",
+    "0",
+    "6",
+)
 
 
 @_register(
     "view_position_v2",
     _VALUED_SQL,
     multiplied=_MULTIPLIED,
-    bought="""SELECT s.taxpayer_id, s.instrumento, sum(cast(s.quantidade * s.preco AS double) + coalesce(m.valor_bon_por_neg, 0))
-    / nonzero(sum(cast(s.quantidade AS double) + coalesce(cast(s.split_shares AS double), 0) / s.n_buys
-    + coalesce(m.qtd_bon_por_neg, 0))) AS preco_medio_compra, any_value(m.quantidade) AS multiplied
-    FROM shared_out s LEFT JOIN multiplied m ON s.taxpayer_id = m.taxpayer_id AND s.instrumento = m.ticker
-    WHERE s.tipo_movimentacao = 'Compra' GROUP BY ALL""",
-    priced="""SELECT b.taxpayer_id, b.instrumento, b.preco_medio_compra, (SELECT cast(
+    bought=bought_price(_WITH_MULTIPLIED, value="each", gain="more"),
+    priced="""SELECT b.*, (SELECT cast(
     sum(CASE tipo_movimentacao WHEN 'Compra' THEN quantidade ELSE -quantidade END) + coalesce(any_value(split_shares), 0)
-    + coalesce(b.multiplied, 0) AS decimal(28,6)) FROM shared_out s
-    WHERE s.taxpayer_id = b.taxpayer_id AND s.instrumento = b.instrumento) AS qtd_lado FROM bought b""",
+    + coalesce(any_value((SELECT m.quantidade FROM multiplied m WHERE m.taxpayer_id = b.taxpayer_id AND m.ticker = b.instrumento)), 0)
+    AS decimal(28,6)) FROM shared_out s WHERE s.taxpayer_id = b.taxpayer_id AND s.instrumento = b.instrumento) AS qtd_lado FROM bought b""",
 )
 def _(d: Derived) -> DataFrame:
-    return _scaled(position.view_position_v2(d.trades(), d.movements(), d.bonus(), d.custody()))
+    return _exact(position.view_position_v2(d.trades(), d.movements(), d.bonus(), d.custody()), *_PRICES)
 
 
 @_register(
@@ -702,7 +723,7 @@ def _(d: Derived) -> DataFrame:
     priced="SELECT * FROM avg_by_row LEFT JOIN net_qty USING (taxpayer_id, instrumento)",
 )
 def _(d: Derived) -> DataFrame:
-    return _scaled(position.view_position_v3(d.trades(), d.movements(), d.bonus(), d.custody()))
+    return _exact(position.view_position_v3(d.trades(), d.movements(), d.bonus(), d.custody()), *_PRICES)
 
 
 # --- Declaration ------------------------------------------------------------------------------
@@ -752,7 +773,7 @@ def _(d: Derived) -> DataFrame:
 
 @_register("declared_positions", "SELECT * FROM declared")
 def _(d: Derived) -> DataFrame:
-    return _declared(d)
+    return _exact(_declared(d), *_PRICES)
 
 
 @_register(
@@ -825,7 +846,7 @@ def _(d: Derived) -> DataFrame:
 
 @_register(
     "fmt_currency",
-    f"SELECT taxpayer_id, instrumento, {money(decimal_of('preco_medio_compra'))} AS preco, {money(decimal_of('-posicao_fin'))} AS negativo, "
+    f"SELECT taxpayer_id, instrumento, {cents('preco_medio_compra')} AS preco, concat('-', {cents('posicao_fin')}) AS negativo, "
     "cast(cast(qtd_lado AS bigint) AS string) AS inteiro FROM vw_position WHERE preco_medio_compra IS NOT NULL",
 )
 def _(d: Derived) -> DataFrame:
@@ -833,8 +854,8 @@ def _(d: Derived) -> DataFrame:
     return held.select(
         TAXPAYER,
         "instrumento",
-        format_amount(exact_decimal(F.col("preco_medio_compra"))).alias("preco"),
-        format_amount(exact_decimal(-F.col("posicao_fin"))).alias("negativo"),
+        format_amount(F.col("preco_medio_compra")).alias("preco"),
+        format_amount(-F.col("posicao_fin")).alias("negativo"),
         format_amount(F.col("qtd_lado"), 0).alias("inteiro"),
     )
 
@@ -883,10 +904,10 @@ _HEADER_SQL = f"""SELECT y.taxpayer_id, y.ano_base, 0 AS section, 1 AS place, ''
 _POSITION_TEXT = _said(
     *[_WORDS.ticker_label, "{ticker}", "\n", _WORDS.group_label, _WORDS.group, "\n", _WORDS.code_label, _WORDS.code, "\n"],
     *[_WORDS.location_label, _WORDS.location, "\n", _WORDS.tax_id_label, "{cnpj}", "\n", _WORDS.description_label],
-    *_filled_sql(_WORDS.description, "ticker", "cast(quantidade AS string)", money(decimal_of("preco_medio_compra"))),
+    *_filled_sql(_WORDS.description, "ticker", "cast(quantidade AS string)", cents("preco_medio_compra")),
     *["\n", _WORDS.traded_label, _WORDS.traded, "\n", _WORDS.trading_code_label, "{ticker}", "\n"],
     *_filled_sql(_WORDS.year_end_label, "concat('31/12/', cast(ano_base AS string))"),
-    *[f"{{{money(decimal_of('posicao_fin'))}}}", "\n\n"],
+    *[f"{{{cents('posicao_fin')}}}", "\n\n"],
 )
 _LINES_SQL = " UNION ALL ".join(
     [
@@ -968,7 +989,7 @@ def _(d: Derived) -> DataFrame:
     FROM entries e LEFT JOIN tax_ids t ON e.taxpayer_id = t.taxpayer_id AND e.ticker = t.ticker""",
 )
 def _(d: Derived) -> DataFrame:
-    return declaration.flat_declaration(_nested(d))
+    return _exact(declaration.flat_declaration(_nested(d)), "price", "value")
 
 
 # --- Keyed records ----------------------------------------------------------------------------

@@ -6,13 +6,13 @@ from conftest import rows_of
 from ledgerspark.fixed_values import ReportText
 from ledgerspark.operators import declaration, report
 
-POSITION = "taxpayer_id string, ano_base int, ticker string, cnpj string, nome_compania string, quantidade long, preco_medio_compra double, posicao_fin double"
+POSITION = "taxpayer_id string, ano_base int, ticker string, cnpj string, nome_compania string, quantidade long, preco_medio_compra decimal(38,24), posicao_fin decimal(38,24)"
 ENTRY = "taxpayer_id string, ano_base int, category string, ticker string, cnpj string, nome_compania string, movimentacao string, valor_operacao decimal(28,2)"
 
 
 @pytest.fixture(scope="module")
 def parts(frame):
-    positions = frame([("tp", 2024, "PETR4", "33.000.167/0001-01", "PETROBRAS", 100, 30.0, 3000.0)], POSITION)
+    positions = frame([("tp", 2024, "PETR4", "33.000.167/0001-01", "PETROBRAS", 100, Decimal(30), Decimal(3000))], POSITION)
     entries = frame(
         [
             ("tp", 2024, "exempt_dividend", "ITUB4", "60872504000123", "ITAU", "Dividendo", Decimal("150.00")),
@@ -108,8 +108,8 @@ def test_nested_record_keeps_empty_sections(parts):
 
 def test_declared_position_of_a_ticker_with_variants(frame):
     held = frame(
-        [("tp", "A3", None, Decimal("1.9"), None, "1", "X"), ("tp", "A3", 2.0, Decimal(3), 6.0, "1", "Y"), ("tp", "B3", 1.0, Decimal(1), 1.0, "", "B")],
-        "taxpayer_id string, instrumento string, preco_medio_compra double, qtd_lado decimal(28,6), posicao_fin double, cnpj string, nome_compania string",
+        [("tp", "A3", None, Decimal("1.9"), None, "1", "X"), ("tp", "A3", Decimal(2), Decimal(3), Decimal(6), "1", "Y"), ("tp", "B3", Decimal(1), Decimal(1), Decimal(1), "", "B")],
+        "taxpayer_id string, instrumento string, preco_medio_compra decimal(38,24), qtd_lado decimal(28,6), posicao_fin decimal(38,24), cnpj string, nome_compania string",
     )
     active = frame([("tp", 2023, "A3"), ("tp", 2024, "A3")], "taxpayer_id string, ano_base int, ticker string")
     found = declaration.declared_positions(held, active)
