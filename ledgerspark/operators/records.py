@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ADD, UPDATE = "add", "update"
 
@@ -91,6 +92,55 @@ def deletion_results(records: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
-def decode(records: DataFrame, schema: str) -> DataFrame:
-    """All records with their JSON decoded to the columns of ``schema``."""
-    return records.select("id", F.from_json(payload(), schema).alias("_r")).select("id", "_r.*")
+def _fields(record: Column) -> Column:
+    """Top-level keys and values of a VARIANT object, as a map; null for what is no object."""
+    return F.try_variant_get(record, "$", "map<string, variant>")
+
+
+def decode(records: DataFrame, schema: str = "") -> DataFrame:
+    """All records with their JSON decoded: ``id``, the fields of ``schema`` as typed columns, and ``others``.
+
+    ``others`` is a VARIANT with all that the columns do not give back, so a record of any shape comes out whole: keys
+    that the schema does not name, values that its types cannot take (their column is null) or take only a part of, and
+    a payload that is no object as it is. A record without payload stands for its id. Malformed JSON fails the query, as it always did. Names of the
+    schema are exact, upper and lower case differ; ``id`` and ``others`` are taken.
+    """
+    wanted = T._parse_datatype_string(schema) if schema else T.StructType()
+    taken = {"id", "others"} & {f.name.lower() for f in wanted}
+    if taken:
+        raise ValueError(f"fields named like a column: {sorted(taken)}")
+    parsed = records.select("id", F.parse_json(payload()).alias("_v")).withColumn("_m", _fields(F.col("_v")))
+
+    def held(value: Column, kind: T.DataType) -> Column:
+        return F.try_variant_get(value, "$", kind.simpleString())
+
+    def text(value: Column) -> Column:
+        return F.to_json(F.to_variant_object(F.struct(value.alias("v"))))
+
+    def elsewhere(key: Column, value: Column) -> Column:
+        kept = F.lit(True)
+        for f in wanted:
+            whole = F.is_variant_null(value) | F.coalesce(text(held(value, f.dataType)) == text(value), F.lit(False))
+            kept = kept & ~((key == f.name) & whole)
+        return kept
+
+    others = F.to_variant_object(F.map_filter("_m", elsewhere))
+    return parsed.select(
+        "id",
+        *[held(F.try_element_at("_m", F.lit(f.name)), f.dataType).alias(f.name) for f in wanted],
+        F.when(F.col("_m").isNotNull(), others).otherwise(F.col("_v")).alias("others"),
+    )
+
+
+def field_values(records: DataFrame) -> DataFrame:
+    """Every top-level field of every record: ``id, key, type, value``, with the value as JSON text.
+
+    For records whose keys nobody declared: group by key to see what there is. A payload that is no object has one row
+    with a null key.
+    """
+    parsed = records.select("id", F.parse_json(payload()).alias("_v"))
+    whole = F.map_entries(_fields(F.col("_v")))
+    alone = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("_v").alias("value")))
+    rows = parsed.select("id", F.explode(F.coalesce(whole, alone)).alias("_f"))
+    kind = F.regexp_extract(F.schema_of_variant("_f.value"), "^[A-Z_]+", 0)
+    return rows.select("id", F.col("_f.key").alias("key"), kind.alias("type"), F.to_json("_f.value").alias("value"))

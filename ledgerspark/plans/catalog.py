@@ -1116,10 +1116,44 @@ def _(d: Derived) -> DataFrame:
     return records.deletion_results(_records(d), _wanted(d))
 
 
+# Payloads of several shapes: all have k, some a nested object, a text in place of k, or a null.
+_SHAPES = """SELECT id, CASE WHEN cast(id AS bigint) % 11 = 0 THEN '[1,2]' WHEN cast(id AS bigint) % 7 = 0 THEN '{"k":"none","x":1}'
+    ELSE concat('{"at":["', event_type, '",null],"k":', json_extract_string(data, '$.k'),
+      CASE WHEN cast(id AS bigint) % 3 = 0 THEN concat(',"user":{"id":', id, ',"tags":[]}') ELSE '' END, '}') END AS data
+    FROM recs WHERE data IS NOT NULL UNION ALL SELECT id, NULL FROM recs WHERE data IS NULL"""
+
+
+def _shapes(d: Derived) -> DataFrame:
+    number = F.col("id").cast("bigint")
+    nested = F.when(number % 3 == 0, F.concat(F.lit(',"user":{"id":'), "id", F.lit(',"tags":[]}'))).otherwise("")
+    k = F.get_json_object("data", "$.k")
+    plain = F.concat(F.lit('{"at":["'), "event_type", F.lit('",null],"k":'), k, nested, F.lit("}"))
+    shaped = F.when(number % 11 == 0, "[1,2]").when(number % 7 == 0, '{"k":"none","x":1}').otherwise(plain)
+    return _records(d).select("id", F.when(F.col("data").isNotNull(), shaped).alias("data"))
+
+
 @_register(
     "records_decode",
-    "SELECT id, cast(json_extract_string(data, '$.k') AS int) AS k FROM recs",
+    """SELECT id, try_cast(json_extract_string(data, '$.k') AS int) AS k,
+    CASE WHEN data IS NULL THEN concat('{"id":"', id, '"}') WHEN data LIKE '[%' THEN data ELSE (
+      SELECT concat('{', string_agg(concat('"', f.key, '":', f.value), ',' ORDER BY f.key), '}') FROM json_each(data) f
+      WHERE f.key <> 'k' OR f.type = 'VARCHAR') END AS others FROM shapes""",
+    recs=_RECORDS,
+    shapes=_SHAPES,
+)
+def _(d: Derived) -> DataFrame:
+    decoded = records.decode(_shapes(d), "k int")
+    return decoded.withColumn("others", F.to_json("others"))
+
+
+@_register(
+    "records_field_values",
+    """SELECT s.id, f.key, CASE WHEN f.type = 'VARCHAR' THEN 'STRING' WHEN f.type IN ('UBIGINT', 'BIGINT') THEN 'BIGINT' ELSE f.type END AS type,
+      cast(f.value AS varchar) AS value FROM shapes s, json_each(s.data) f WHERE s.data NOT LIKE '[%'
+    UNION ALL SELECT id, NULL, 'ARRAY', data FROM shapes WHERE data LIKE '[%'
+    UNION ALL SELECT id, 'id', 'STRING', concat('"', id, '"') FROM shapes WHERE data IS NULL""",
     recs=_RECORDS,
+    shapes=_SHAPES,
 )
 def _(d: Derived) -> DataFrame:
-    return records.decode(_records(d).select("id", "data"), "k int")
+    return records.field_values(_shapes(d))

@@ -1,6 +1,7 @@
 import json
 from datetime import date
 
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -121,7 +122,36 @@ def test_record_lookup_delete_and_decode(frame):
     assert rows_of(records.lookup(old, ids)) == [("2", '{"id":"2"}', True), ("3", None, False)]
     assert rows_of(records.delete(old, ids), "id") == [("1",)]
     assert rows_of(records.deletion_results(old, ids)) == [("2", True), ("3", False)]
-    assert rows_of(records.decode(old, "k int")) == [("1", 1), ("2", None)]
+    shown = records.decode(old, "k int").withColumn("others", F.to_json("others"))
+    assert rows_of(shown) == [("1", 1, "{}"), ("2", None, '{"id":"2"}')]
+
+
+def test_records_of_any_shape_lose_nothing(frame):
+    payloads = ['{"k": 1, "z": {"b": [1, null], "a": "x"}, "K": 2}', '{"k": "text"}', '{"k": null}', "[1, {}]", "7", "{}", None, '{"a.b": 1, "k": 3}', '{"k": 1.5, "z": {"a": "y"}}']
+    old = frame([(str(i), p) for i, p in enumerate(payloads)], "id string, data string")
+    decoded = records.decode(old, "k int, z struct<a string>").withColumn("others", F.to_json("others"))
+    assert rows_of(decoded) == [
+        ("0", 1, ("x",), '{"K":2,"z":{"a":"x","b":[1,null]}}'),
+        ("1", None, None, '{"k":"text"}'),
+        ("2", None, None, "{}"),
+        ("3", None, None, "[1,{}]"),
+        ("4", None, None, "7"),
+        ("5", None, None, "{}"),
+        ("6", None, None, '{"id":"6"}'),
+        ("7", 3, None, '{"a.b":1}'),
+        ("8", 1, ("y",), '{"k":1.5}'),
+    ]
+    whole = records.decode(old).withColumn("others", F.to_json("others"))
+    assert rows_of(whole)[0] == ("0", '{"K":2,"k":1,"z":{"a":"x","b":[1,null]}}')
+    fields = rows_of(records.field_values(old).filter("id in ('0', '3', '6')"))
+    assert sorted(fields, key=str) == sorted(
+        [("0", "K", "BIGINT", "2"), ("0", "k", "BIGINT", "1"), ("0", "z", "OBJECT", '{"a":"x","b":[1,null]}'), ("3", None, "ARRAY", "[1,{}]"), ("6", "id", "STRING", '"6"')],
+        key=str,
+    )
+    with pytest.raises(ValueError, match="others"):
+        records.decode(old, "others int")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        records.decode(frame([("1", "{broken")], "id string, data string")).collect()
 
 
 def test_random_merges_against_brute_force(spark, frame):
