@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.joins import without_match
 from ledgerspark.schemas import TAXPAYER, TableSpec
-from ledgerspark.session import remove_dir, scratch_dir
 from ledgerspark.sources.tables import BUCKET, INGEST_RUN, bucket_of, stored_rows, write_table
 
 
@@ -47,23 +46,17 @@ def append_new_rows(
     """Append the unseen rows of ``batch`` to the stored table at ``path``, marked with ``run``; gives their number.
 
     Every row is decided by its key alone: a run that failed half-way can be repeated and adds only
-    what is missing. The new rows go to a scratch table first, whose file footers give their number.
-    ``batch`` is read several times, so keep it in a table. One writer per table at a time; plain Parquet has no transactions.
+    what is missing. New rows are written once, and counted by the tasks that write them. ``batch`` is read several
+    times, so keep it in a table. One writer per table at a time; plain Parquet has no transactions.
     """
     existing = stored_rows(batch.sparkSession, path, spec)
     if existing is None:
         rows = first_per_key(batch, spec.key, order)
     else:
         rows = new_rows(batch, _within_reach(existing, batch, spec.date_column), spec.key, order)
-    scratch = scratch_dir(batch.sparkSession, "append")
-    marked = rows.select(*spec.schema.names, F.lit(run).alias(INGEST_RUN))
-    marked.write.parquet(scratch)
-    fresh = batch.sparkSession.read.schema(marked.schema).parquet(scratch)
-    added = fresh.count()
-    if added or existing is None:
-        write_table(fresh, path, spec, "append")
-    remove_dir(batch.sparkSession, scratch)
-    return added
+    added = Observation()
+    write_table(rows.select(*spec.schema.names, F.lit(run).alias(INGEST_RUN)), path, spec, "append", added)
+    return added.get["n"]
 
 
 def _within_reach(existing: DataFrame, batch: DataFrame, date_column: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.bonus import enrich_bonus, page_cards, pages_to_read, typed_cards
@@ -13,7 +15,7 @@ from ledgerspark.operators.merge import append_new_rows
 from ledgerspark.schemas import TABLES, TAXPAYER, TableSpec, table_spec
 from ledgerspark.session import remove_dir, scratch_dir
 from ledgerspark.sources.legacy_dump import dump_files, dump_rows, legacy_table
-from ledgerspark.sources.reports import latest_contents, report_cells
+from ledgerspark.sources.reports import latest_reports, report_cells
 from ledgerspark.sources.tables import INGEST_RUN, replace_taxpayers
 
 MOVEMENT_TABLE, BONUS_TABLE = "b3_movimentacao", "b3_bonificacao_acoes"
@@ -41,36 +43,40 @@ def run_import(
 
     ``pages`` are stored company pages ``(ticker, html)`` for the base values of bonus shares.
     """
-    return import_contents(spark, latest_contents(spark, folder, year), tables_dir, run, pages, tables)
+    cells = report_cells(spark, folder, latest_reports(spark, folder, year))
+    return import_cells(spark, cells, tables_dir, run, pages, tables)
 
 
-def import_contents(
+def import_cells(
     spark: SparkSession,
-    contents: DataFrame,
+    cells: DataFrame,
     tables_dir: str,
     run: str,
     pages: DataFrame,
     tables: Iterable[str] = tuple(TABLES),
 ) -> DataFrame:
-    """Import report files given with their contents.
+    """Import the cells of report files.
 
-    Workbooks are opened once and their cells kept in a scratch table that every job reads. Each job
-    is one plan to typed rows, kept likewise, and one append of the unseen ones. Rows are counted by the
-    file footers of the scratch tables, which go when all is done.
+    Workbooks are opened once and their cells kept in a scratch table that every job reads. Each job is one plan to
+    typed rows, kept likewise, and one append of the unseen ones; rows are counted as they are written. The jobs
+    write different tables and run side by side, so Spark fills the cores that a small one leaves.
     """
     scratch = scratch_dir(spark, "import")
-    cells = route_sheets(report_cells(contents))
-    cells.write.partitionBy("table_name").parquet(f"{scratch}/cells")
-    staged = spark.read.schema(cells.schema).parquet(f"{scratch}/cells")
-    summary = []
-    for name in tables:
-        spec = table_spec(name)
+    routed = route_sheets(cells)
+    routed.write.partitionBy("table_name").parquet(f"{scratch}/cells")
+    staged = spark.read.schema(routed.schema).parquet(f"{scratch}/cells")
+
+    def job(name: str) -> tuple[str, int, int, str]:
+        spec, read = table_spec(name), Observation()
         rows = _job_rows(staged, spec, pages)
-        rows.write.parquet(f"{scratch}/{name}")
+        rows.observe(read, F.count(F.lit(1)).alias("n")).write.parquet(f"{scratch}/{name}")
         typed = spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
         order = [*ARRIVAL, "card_no"] if name == BONUS_TABLE else ARRIVAL
-        added = append_new_rows(typed, table_path(tables_dir, name), spec, order, run)
-        summary.append((name, typed.count(), added, "ok"))
+        return name, read.get["n"], append_new_rows(typed, table_path(tables_dir, name), spec, order, run), "ok"
+
+    names = list(tables)
+    with ThreadPoolExecutor(len(names) or 1) as pool:
+        summary = list(pool.map(inheritable_thread_target(spark)(job), names))
     remove_dir(spark, scratch)
     return spark.createDataFrame(summary, SUMMARY)
 

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.merge import first_per_key
 from ledgerspark.schemas import ANNUAL, MOVEMENTS, TAXPAYER, TRADES
-from ledgerspark.sources.workbook import workbook_cells
+from ledgerspark.sources.workbook import opened_by_tasks, workbook_cells, workbook_cells_at
 
 # Annual reports have exactly this name, the others may go on after the year.
 _NAME = rf"^(.+)-(?:({MOVEMENTS}|{TRADES})-(\d{{4}}).*|({ANNUAL})-(\d{{4}}))\.xlsx\z"
-# Names that one scan is given; with more files there are more scans of the same kind.
-SLICE_FILES = 20_000
 
 
 def binary_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,41 +60,30 @@ def missing_reports(latest: DataFrame) -> DataFrame:
     return found.filter(F.size("reports") < 3)
 
 
-def latest_contents(
-    spark: SparkSession, folder: str, year: int | None = None, slice_files: int = SLICE_FILES
-) -> DataFrame:
-    """Contents of the newest files of a folder; a report that is missing is an error.
+def latest_reports(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
+    """The newest files of a folder, without their contents; a report that is missing is an error.
 
-    With a year, every taxpayer needs all three reports of it. The choice is made on file names and
-    times. Then exactly the chosen files are opened, by scans that get at most ``slice_files`` names
-    each, so contents are read once and are in no exchange, however many files there are.
+    With a year, every taxpayer needs all three reports of it. The choice is made on file names and times.
     """
-    named = with_owner(binary_files(spark, folder).select("path", "modificationTime"))
+    named = with_owner(binary_files(spark, folder).select("path", "modificationTime", "length"))
     latest = latest_files(named if year is None else of_year(named, year))
     if year is not None:
         lacking = missing_reports(latest).limit(5).collect()
         if lacking:
             have = "; ".join(f"{r[0]} has only {', '.join(r[1])}" for r in lacking)
             raise FileNotFoundError(f"reports missing in {folder}: {have}")
-    # A name may hold what a path pattern would read as a sign.
-    exact = F.regexp_replace("path", r"([\\\[\]{}*?])", r"\\$1")
-    scans, names = [], []
-    for row in latest.select(exact).toLocalIterator():
-        names.append(row[0])
-        if len(names) == slice_files:
-            scans.append(_contents(spark, names))
-            names = []
-    if names:
-        scans.append(_contents(spark, names))
-    if not scans:
+    if latest.isEmpty():
         raise FileNotFoundError(f"no report in {folder}")
-    return with_owner(reduce(DataFrame.unionByName, scans))
-
+    return latest
 
-def _contents(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(names)
 
+def report_cells(spark: SparkSession, folder: str, chosen: DataFrame) -> DataFrame:
+    """Cells of chosen files of a folder (``path``, ``length``) with their owner's columns.
 
-def report_cells(contents: DataFrame) -> DataFrame:
-    """Cells of report files with their owner's columns."""
+    Tasks open the files by name: neither names nor contents pass through the driver, and contents are in no
+    exchange. In a store that only Spark's reader opens, the folder is scanned and other files' contents are dropped.
+    """
+    if opened_by_tasks(folder):
+        return with_owner(workbook_cells_at(chosen))
+    contents = binary_files(spark, folder).join(chosen.select("path"), "path", "left_semi")
     return with_owner(workbook_cells(contents))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,19 +20,23 @@ def bucket_of(taxpayer: Column) -> Column:
     return F.pmod(F.xxhash64(taxpayer), F.lit(BUCKETS)).cast("int")
 
 
-def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "overwrite") -> None:
+def write_table(
+    df: DataFrame, path: str, spec: TableSpec, mode: str = "overwrite", written: Observation | None = None
+) -> None:
     """Parquet table in taxpayer buckets, sorted by taxpayer and date so that a reader can skip row groups.
 
     The rebalance splits a bucket that one large taxpayer fills over several tasks and files, and
-    joins small ones.
+    joins small ones. ``written`` observes the rows as ``n`` in the tasks that write them, after the last shuffle, so
+    a stage that is run again is not counted twice.
     """
-    writer = (
+    rows = (
         df.withColumn(BUCKET, bucket_of(F.col(TAXPAYER)))
         .hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, TAXPAYER, spec.date_column)
-        .write.mode(mode)
     )
-    writer.partitionBy(BUCKET).parquet(path)
+    if written is not None:
+        rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    rows.write.mode(mode).partitionBy(BUCKET).parquet(path)
 
 
 def stored_rows(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:

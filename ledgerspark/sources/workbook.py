@@ -1,12 +1,13 @@
 """Sheet cells of many workbooks in parallel, one workbook per task step.
 
-Workbooks are zip archives of XML that no Spark reader opens, so this is the one Python step. A
+Tasks open workbooks by their paths, so only names and sizes are dealt out, never contents. Workbooks are zip archives of XML that no Spark reader opens, so this is the one Python step. A
 worksheet has at most 1 048 576 rows; rows are streamed out in batches as they are read.
 """
 
 from __future__ import annotations
 
 import io
+import math
 import posixpath
 import zipfile
 from collections.abc import Iterator
@@ -14,10 +15,14 @@ from decimal import Decimal
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CELLS_SCHEMA = "path string, sheet_no int, sheet string, row_idx int, cells array<string>"
 _ROWS_PER_BATCH = 5000
+#: Bytes of workbooks that one task opens, one after the other.
+TASK_BYTES = 64 << 20
 _ARROW = pa.schema(
     [
         ("path", pa.string()),
@@ -38,17 +43,60 @@ def workbook_cells(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(_read_batches, CELLS_SCHEMA)
 
 
+def workbook_cells_at(files: DataFrame) -> DataFrame:
+    """The same for ``files`` with ``path`` and ``length`` only: each task opens the workbooks dealt to it.
+
+    There are as many tasks as the bytes need, and no fewer than cores while there are files for them.
+    """
+    size, count = files.agg(F.sum("length"), F.count(F.lit(1))).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(math.ceil((size or 0) / TASK_BYTES), min(count, cores), 1)
+    return files.select("path").repartition(tasks, "path").mapInArrow(_open_batches, CELLS_SCHEMA)
+
+
+def opened_by_tasks(path: str) -> bool:
+    """Whether tasks can open files below a path; other stores are left to Spark's reader."""
+    try:
+        store_of(path)
+    except (pa.ArrowInvalid, ImportError, OSError):
+        return False
+    return True
+
+
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and name there of a path as Spark writes it, such as ``file:/a``, ``hdfs://h/a`` or ``/a``."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            store, name = store_of(path)
+            with store.open_input_stream(name) as stream:
+                content = stream.read()
+            yield from _workbook_batches(path, content)
+
+
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            yield from _workbook_batches(path.as_py(), content.as_py())
+
+
+def _workbook_batches(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
+    rows = []
+    for sheet_no, sheet, row_idx, cells in _sheet_rows(content):
+        rows.append((path, sheet_no, sheet, row_idx, cells))
+        if len(rows) == _ROWS_PER_BATCH:
+            yield _arrow_batch(rows)
             rows = []
-            for sheet_no, sheet, row_idx, cells in _sheet_rows(content.as_py()):
-                rows.append((path.as_py(), sheet_no, sheet, row_idx, cells))
-                if len(rows) == _ROWS_PER_BATCH:
-                    yield _arrow_batch(rows)
-                    rows = []
-            if rows:
-                yield _arrow_batch(rows)
+    if rows:
+        yield _arrow_batch(rows)
 
 
 def _arrow_batch(rows: list[tuple]) -> pa.RecordBatch:

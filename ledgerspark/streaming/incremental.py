@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerspark.operators.merge import append_new_rows
-from ledgerspark.plans.import_run import import_contents
-from ledgerspark.schemas import TableSpec
+from ledgerspark.functions.joins import without_match
+from ledgerspark.operators.merge import append_new_rows, first_per_key
+from ledgerspark.plans.import_run import import_cells
+from ledgerspark.schemas import TAXPAYER, TableSpec
 from ledgerspark.session import remove_dir, scratch_dir
-from ledgerspark.sources.reports import with_owner
+from ledgerspark.sources.reports import report_cells, with_owner
 
 
 def import_increment(
@@ -39,22 +42,86 @@ def import_increment(
     _drain(stream, write_batch, checkpoint)
 
 
+_REPORT = [TAXPAYER, "report", "ref_year"]
+_CHOSEN = f"{TAXPAYER} string, report string, ref_year int, age long, path string, length long"
+
+
 def import_new_reports(
-    spark: SparkSession, folder: str, tables_dir: str, checkpoint: str, run: str, pages: DataFrame
-) -> None:
-    """Import all report workbooks of ``folder`` that the checkpoint has not seen, then stop."""
+    spark: SparkSession,
+    folder: str,
+    tables_dir: str,
+    checkpoint: str,
+    run: str,
+    pages: DataFrame,
+    files_per_batch: int | None = None,
+) -> DataFrame | None:
+    """Import the newest file of every taxpayer, report and year of ``folder``, as a batch import of it would.
+
+    A stream over file names keeps the newest file of each report as its state, across runs; a file that arrives late
+    but is older than the one known changes nothing. What becomes newest goes to a log beside the checkpoint. Once
+    all new names are seen, the newest files that are not imported yet are opened and imported. A run that fails
+    after that point leaves its choice in the log, and the next one imports it. Gives the summary, or None if there
+    was nothing to import.
+    """
+    _drain_names(spark, folder, checkpoint, files_per_batch)
+    pending = _pending_reports(spark, checkpoint)
+    if pending is None:
+        return None
+    scratch = scratch_dir(spark, "pending")
+    pending.write.parquet(scratch)
+    chosen = spark.read.schema(_CHOSEN).parquet(scratch)
+    summary = None
+    if not chosen.isEmpty():
+        summary = import_cells(spark, report_cells(spark, folder, chosen), tables_dir, run, pages)
+        chosen.write.mode("append").parquet(f"{checkpoint}/imported")
+    remove_dir(spark, scratch)
+    return summary
+
+
+def _drain_names(spark: SparkSession, folder: str, checkpoint: str, files_per_batch: int | None) -> None:
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.xlsx")
+    if files_per_batch:
+        files = files.option("maxFilesPerTrigger", files_per_batch)
+    named = with_owner(files.option("recursiveFileLookup", "true").load(folder).drop("content"))
+    # The smallest is the newest; equal times are decided by path.
+    age = (-F.unix_micros("modificationTime")).alias("age")
+    newest = named.groupBy(*_REPORT).agg(F.min(F.struct(age, "path", "length")).alias("_file"))
+
+    def log(batch: DataFrame, batch_id: int) -> None:
+        # A batch that is repeated writes its part of the log again.
+        batch.select(*_REPORT, "_file.*").write.mode("overwrite").parquet(f"{checkpoint}/chosen/batch={batch_id}")
+
+    _drain(newest, log, f"{checkpoint}/stream", "update")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        import_contents(batch.sparkSession, with_owner(batch), tables_dir, f"{run}-{batch_id}", pages)
 
-    _drain(files.option("recursiveFileLookup", "true").load(folder), write_batch, checkpoint)
+def _pending_reports(spark: SparkSession, checkpoint: str) -> DataFrame | None:
+    """The newest known file of each report, unless it is the one that was imported last."""
+    chosen = _logged(spark, f"{checkpoint}/chosen")
+    if chosen is None:
+        return None
+    newest = first_per_key(chosen, _REPORT, ["age", "path"])
+    imported = _logged(spark, f"{checkpoint}/imported")
+    if imported is None:
+        return newest
+    return without_match(newest, imported.select(*_REPORT, "age", "path"), [*_REPORT, "age", "path"])
 
 
-def _drain(stream: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def _logged(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_CHOSEN).parquet(path).select(*_REPORT, "age", "path", "length")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _drain(
+    stream: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> None:
     query = (
         stream.writeStream.foreachBatch(write_batch)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

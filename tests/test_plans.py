@@ -157,17 +157,13 @@ def test_large_lookup_is_not_broadcast(spark, table):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_contents_and_dump_lines_are_in_no_exchange(spark, tmp_path):
-    """Workbooks and dump lines stay where they are read, in one slice or in many."""
-    from ledgerspark.sources import legacy_dump, reports
+def test_dump_lines_are_in_no_exchange(spark, tmp_path):
+    """Dump lines stay where they are read, in one slice or in many."""
+    from ledgerspark.sources import legacy_dump
 
     for n in range(5):
-        (tmp_path / f"t{n}-movimentacao-2024-[x].xlsx").write_bytes(b"%d" % n)
         (tmp_path / f"t{n}.sql").write_text(f"COPY public.movimentacao (a) FROM stdin;\nrow{n}\n\\.\n")
     for size in (2, 100):
-        contents = reports.latest_contents(spark, str(tmp_path), slice_files=size)
-        assert sorted(bytes(r.content) for r in contents.collect()) == [b"0", b"1", b"2", b"3", b"4"]
-        assert "Exchange" not in contents._jdf.queryExecution().executedPlan().toString()
         lines = legacy_dump.first_block_lines(spark, f"{tmp_path}/*.sql", slice_files=size)
         assert sorted(r.value for r in lines.collect()) == [f"row{n}" for n in range(5)]
         plan = lines._jdf.queryExecution().executedPlan().toString()

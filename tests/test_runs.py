@@ -1,5 +1,6 @@
 """From report files to declaration text."""
 
+import os
 from datetime import date
 
 import pytest
@@ -188,16 +189,83 @@ def test_two_bonus_events_of_a_year_import_alike(spark, tmp_path):
     assert [float(r[0]) for r in rows_of(read_table(spark, str(tmp_path / "t" / spec.name), spec), "preco_unitario")] == [12.5]
 
 
-def test_new_reports_of_a_folder_are_imported_as_a_stream(spark, tmp_path):
+def _row(value):
+    return ["Credito", "09/03/2024", "Rendimento", "ACME3 - A", "B", "-", "-", value]
+
+
+def _stored(spark, tables):
+    return {
+        name: sorted(map(str, read_table(spark, f"{tables}/{name}", spec).collect()))
+        for name, spec in TABLES.items()
+    }
+
+
+def _report(folder, name, rows, time):
+    (folder / name).write_bytes(movement_book(rows))
+    os.utime(folder / name, (1_700_000_000 + time, 1_700_000_000 + time))
+
+
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_stream_and_batch_import_give_equal_tables(spark, tmp_path, files_per_batch):
+    """Run by run, whatever the order in which the files of a folder come and however they are cut into batches."""
     from ledgerspark.streaming.incremental import import_new_reports
 
+    folder, pages = tmp_path / "in", spark.createDataFrame([("ACME3", PAGE)], "ticker string, html string")
+    folder.mkdir()
+    stream = (str(folder), str(tmp_path / "stream"), str(tmp_path / "c"))
+    runs = [
+        [("ana-movimentacao-2024-a.xlsx", MOVES, 5), ("ana-movimentacao-2024-b.xlsx", [_row(7)], 3), ("bia-movimentacao-2024.xlsx", [_row(8)], 1)],
+        # A correction, and a file that comes late but is older than the one known.
+        [("ana-movimentacao-2024-c.xlsx", [*MOVES, _row(9)], 8), ("bia-movimentacao-2024-old.xlsx", [_row(10)], 0)],
+        [],
+        [("bia-movimentacao-2024-x.xlsx", [_row(11)], 1), ("bia-movimentacao-2024-new.xlsx", [_row(12)], 2)],
+    ]
+    added = []
+    for n, files in enumerate(runs):
+        for file in files:
+            _report(folder, *file)
+        summary = import_new_reports(spark, *stream, f"run{n}", pages, files_per_batch)
+        added.append(None if summary is None else sum(r.rows_inserted for r in summary.collect()))
+        run_import(spark, str(folder), str(tmp_path / "batch"), f"run{n}", pages)
+        assert _stored(spark, stream[1]) == _stored(spark, str(tmp_path / "batch"))
+    assert added == [6, 1, None, 1]
+    values = {r[0] for r in rows_of(read_table(spark, f"{stream[1]}/b3_movimentacao", TABLES["b3_movimentacao"]), "valor_operacao")}
+    assert not values & {7, 10, 11} and values >= {8, 9, 12}
+
+
+def test_stream_imports_what_a_failed_run_left(spark, tmp_path, monkeypatch):
+    from ledgerspark.streaming import incremental
+
     folder, pages = tmp_path / "in", spark.createDataFrame([], "ticker string, html string")
     folder.mkdir()
-    spec = TABLES["b3_movimentacao"]
+    _report(folder, "ana-movimentacao-2024.xlsx", MOVES, 1)
     where = (str(folder), str(tmp_path / "t"), str(tmp_path / "c"))
+
+    def fail(*args, **options):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(incremental, "import_cells", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            incremental.import_new_reports(spark, *where, "one", pages)
+    assert incremental.import_new_reports(spark, *where, "two", pages) is not None
+    spec = TABLES["b3_movimentacao"]
+    assert read_table(spark, f"{where[1]}/{spec.name}", spec).count() == 4
+    assert incremental.import_new_reports(spark, *where, "three", pages) is None
+
+
+def test_new_rows_are_written_and_counted_once(spark, tmp_path):
+    """The count of an append is that of the rows its table has more, and no scratch copy of them is made."""
+    from ledgerspark.operators.merge import append_new_rows
+
+    spec, path = TABLES["b3_movimentacao"], str(tmp_path / "t")
+    names = [f"cast(null AS {f.dataType.simpleString()}) AS {f.name}" for f in spec.schema]
+    rows = spark.range(50).selectExpr("id AS n", *names).withColumn("taxpayer_id", F.concat(F.lit("t"), F.col("n") % 7))
+    rows = rows.withColumn("pk_movimentacao", (F.col("n") % 40).cast("string")).drop("n")
     counts = []
-    for n, rows in enumerate((MOVES, [*MOVES, ["Credito", "09/03/2024", "Rendimento", "ACME3 - A", "B", "-", "-", 7]])):
-        (folder / f"ana-movimentacao-2024-{n}.xlsx").write_bytes(movement_book(rows))
-        import_new_reports(spark, *where, f"run{n}", pages)
-        counts.append(read_table(spark, f"{where[1]}/{spec.name}", spec).count())
-    assert counts == [4, 5]
+    for part in (rows.limit(0), rows, rows):
+        before = read_table(spark, path, spec).count()
+        added = append_new_rows(part, path, spec, ["taxpayer_id"], "r")
+        counts.append((added, read_table(spark, path, spec).count() - before))
+    n = rows.select("taxpayer_id", "pk_movimentacao").distinct().count()
+    assert counts == [(0, 0), (n, n), (0, 0)]

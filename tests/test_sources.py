@@ -10,7 +10,7 @@ from ledgerspark.plans.files import workbook_bytes
 from ledgerspark.schemas import TABLES
 from ledgerspark.session import scratch_dir
 from ledgerspark.sources import legacy_dump, reports, tables
-from ledgerspark.sources.workbook import workbook_cells
+from ledgerspark.sources.workbook import opened_by_tasks, store_of, workbook_cells
 
 
 def test_workbook_cells_from_files(spark, tmp_path):
@@ -77,16 +77,41 @@ def test_newest_report_per_taxpayer_and_year(spark, tmp_path):
         ("ana", 2024, "ana-movimentacao-2024-new.xlsx"),
         ("ana-b", 2024, "ana-b-movimentacao-2024.xlsx"),
     ]
-    contents = reports.latest_contents(spark, str(tmp_path))
-    assert contents.count() == 3
+    chosen = reports.latest_reports(spark, str(tmp_path))
+    assert chosen.count() == 3
+    cells = reports.report_cells(spark, str(tmp_path), chosen)
+    assert rows_of(cells, "taxpayer_id", "ref_year", "cells") == [("ana", 2023, ["h"]), ("ana", 2024, ["h"]), ("ana-b", 2024, ["h"])]
     with pytest.raises(FileNotFoundError, match="ana has only"):
-        reports.latest_contents(spark, str(tmp_path), 2024)
+        reports.latest_reports(spark, str(tmp_path), 2024)
+
+
+def test_tasks_open_workbooks_or_spark_scans_them(spark, tmp_path, monkeypatch):
+    names = ["ana-movimentacao-2024 [a]{1}*.xlsx", "bia é-negociacao-2024%20.xlsx", "cid-negociacao-2024-old.xlsx", "cid-negociacao-2024.xlsx"]
+    for n, name in enumerate(names):
+        (tmp_path / name).write_bytes(workbook_bytes([("S", [[name]])]))
+        os.utime(tmp_path / name, (1_700_000_000 + n, 1_700_000_000 + n))
+    folder = f"file://{tmp_path}"
+    chosen = reports.latest_reports(spark, folder)
+    opened = reports.report_cells(spark, folder, chosen)
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    # Only names are dealt out; the scan reads no contents.
+    assert plan.count("Exchange") <= 3 and "content#" not in plan
+    found = [r[0][0] for r in rows_of(opened, "cells")]
+    assert found == sorted([names[0], names[1], names[3]])
+    monkeypatch.setattr(reports, "opened_by_tasks", lambda path: False)
+    assert [r[0][0] for r in rows_of(reports.report_cells(spark, folder, chosen), "cells")] == found
+
+
+def test_stores_that_tasks_open():
+    assert opened_by_tasks("/a/b") and opened_by_tasks("file:/a/b") and opened_by_tasks("file:///a/b")
+    assert not opened_by_tasks("viewfs://x/a")
+    assert store_of("file:/a b/c%20d")[1] == store_of("file:///a b/c%20d")[1] == "/a b/c%20d"
 
 
 def test_folder_without_reports_is_an_error(spark, tmp_path):
     (tmp_path / "other.xlsx").write_bytes(b"")
     with pytest.raises(FileNotFoundError):
-        reports.latest_contents(spark, str(tmp_path))
+        reports.latest_reports(spark, str(tmp_path))
 
 
 def test_equal_times_are_decided_by_path(frame):
