@@ -5,127 +5,148 @@ has at least 16 significant digits, and no fewer decimals than either operand, a
 PostgreSQL documents and does it; Spark's own decimals would cut a scale that depends on the declared types. All of it
 is built-in functions on rows that were added up before: one row per ticker, not per trade.
 
-Integers have 38 digits. Whatever needs more fails under ANSI rules instead of losing digits.
+The functions compose SQL text, of which ``column`` and ``decimal`` make columns: a formula is one parsed expression
+instead of thousands of calls into the JVM. Integers have 38 digits. Whatever needs more fails under ANSI rules
+instead of losing digits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from decimal import Decimal
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WHOLE = T.DecimalType(38, 0)
+_WHOLE = "decimal(38,0)"
 #: Quotients and amounts in tables; further decimals are cut, never rounded, so that cutting to cents stays right.
 AMOUNT = T.DecimalType(38, 24)
 #: Parts of a quantity: one digit less before the point, so that whole quantities can be added exactly.
 PART = T.DecimalType(36, 24)
 #: Significant digits of a quotient, and the decimal digits of one digit of a number in the database.
 _SIGNIFICANT, _GROUP = 16, 4
+_names = count()
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def _let(value: str, body: Callable[[str], str]) -> str:
     """``body`` of a value that is computed once, however often it is used there."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    name = f"v{next(_names)}"
+    return f"element_at(transform(array({value}), {name} -> {body(name)}), 1)"
 
 
-def _whole(value: Column) -> Column:
-    return value.cast(_WHOLE)
+def _whole(value: str) -> str:
+    return f"cast({value} AS {_WHOLE})"
 
 
-def _power(n: Column) -> Column:
+def _power(n: str) -> str:
     """Ten to the power of ``n``, up to 37."""
-    return F.element_at(F.array(*[F.lit(Decimal(10**i)).cast(_WHOLE) for i in range(38)]), n + 1)
+    return _whole(f"rpad('1', {n} + 1, '0')")
 
 
-def _number(u: Column, s: Column) -> Column:
-    return F.when(u.isNotNull(), F.struct(_whole(u).alias("u"), s.cast("int").alias("s")))
+def _number(u: str, s: str) -> str:
+    return _let(u, lambda x: f"if({x} IS NULL, NULL, named_struct('u', {_whole(x)}, 's', cast({s} AS int)))")
 
 
-def number(value: Column, scale: int = 0) -> Column:
+def number(value: str, scale: int = 0) -> str:
     """A decimal with so many decimals, or an integer, as number; null stays null."""
-    shifted = value if not scale else value * F.lit(Decimal(10**scale))
-    return _number(shifted, F.lit(scale))
+    return _number(f"({value}) * {10**scale}BD" if scale else value, str(scale))
 
 
-def plus(*numbers: Column) -> Column:
+def plus(*numbers: str) -> str:
     """Sum, with the decimals of the operand that has most; null if one is null."""
 
-    def add(n: Column) -> Column:
-        s = F.greatest(*[n[f"n{i}"]["s"] for i in range(len(numbers))])
-        total = F.lit(0).cast(_WHOLE)
-        for i in range(len(numbers)):
-            total = _whole(total + n[f"n{i}"]["u"] * _power(s - n[f"n{i}"]["s"]))
-        return _number(total, s)
+    def add(n: str) -> str:
+        scale = f"greatest({', '.join(f'{n}.n{i}.s' for i in range(len(numbers)))})"
 
-    return _let(F.struct(*[n.alias(f"n{i}") for i, n in enumerate(numbers)]), add)
+        def total(s: str) -> str:
+            parts = [_whole(f"{n}.n{i}.u * {_power(f'({s} - {n}.n{i}.s)')}") for i in range(len(numbers))]
+            done = parts[0]
+            for part in parts[1:]:
+                done = _whole(f"{done} + {part}")
+            return _number(done, s)
 
+        return _let(scale, total)
 
-def times(a: Column, b: Column) -> Column:
+    fields = ", ".join(f"'n{i}', {n}" for i, n in enumerate(numbers))
+    return _let(f"named_struct({fields})", add)
+
+
+def times(a: str, b: str) -> str:
     """Product, with the decimals of both; null if one is null."""
-    return _let(F.struct(a.alias("a"), b.alias("b")), lambda n: _number(n["a"]["u"] * n["b"]["u"], n["a"]["s"] + n["b"]["s"]))
+    return _let(f"named_struct('a', {a}, 'b', {b})", lambda n: _number(f"{n}.a.u * {n}.b.u", f"{n}.a.s + {n}.b.s"))
 
 
-def _leading(digits: Column, scale: Column) -> tuple[Column, Column]:
+def _leading(u: str, scale: str) -> str:
     """Place of a number's first group of four digits, counted from the point, and that group; 0 and 0 for zero."""
-    text = digits.cast("string")
-    exponent = F.length(text) - 1 - scale
-    size = F.pmod(exponent, F.lit(_GROUP)) + 1
-    zero = digits == 0
-    group = F.rpad(F.left(text, size), size, "0").cast("int")
-    place = ((exponent - size + 1) / _GROUP).cast("int")
-    return F.when(zero, 0).otherwise(place), F.when(zero, 0).otherwise(group)
 
+    def group(x: str) -> str:
+        place = f"cast(floor({x}.e / {_GROUP}) AS int)"
+        first = f"cast(rpad(left({x}.t, {x}.e - {_GROUP} * {place} + 1), {x}.e - {_GROUP} * {place} + 1, '0') AS int)"
+        return f"if({x}.t = '0', named_struct('place', 0, 'first', 0), named_struct('place', {place}, 'first', {first}))"
+
+    return _let(_let(f"cast({u} AS string)", lambda t: f"named_struct('t', {t}, 'e', length({t}) - 1 - {scale})"), group)
 
-def _times_in(t: Column, d: Column) -> Column:
+
+def _times_in(t: str, d: str) -> str:
     """How often ``d`` goes into ``t``, without a detour over long integers."""
-    return _whole((t - t % d) / d)
+    return _whole(f"({t} - {t} % {d}) / {d}")
 
 
-def over(a: Column, b: Column) -> Column:
+def over(a: str, b: str) -> str:
     """Quotient by long division; null if the divisor is zero or an operand is null."""
 
-    def prepared(n: Column) -> Column:
-        one, two = F.abs(n["a"]["u"]), F.abs(n["b"]["u"])
-        (place_a, group_a), (place_b, group_b) = _leading(one, n["a"]["s"]), _leading(two, n["b"]["s"])
-        place = place_a - place_b - (group_a <= group_b).cast("int")
-        scale = F.greatest(F.lit(_SIGNIFICANT) - place * _GROUP, n["a"]["s"], n["b"]["s"], F.lit(0))
-        minus = (n["a"]["u"] < 0) != (n["b"]["u"] < 0)
-        return F.struct(
-            _whole(one).alias("n"),
-            _whole(two).alias("d"),
-            F.when(minus, -1).otherwise(1).alias("sign"),
-            scale.alias("s"),
-            (n["b"]["s"] - n["a"]["s"] + scale).alias("zeros"),
+    def sized(n: str) -> str:
+        return (
+            f"named_struct('n', {_whole(f'abs({n}.a.u)')}, 'd', {_whole(f'abs({n}.b.u)')}, 'ns', {n}.a.s, 'ds', {n}.b.s, "
+            f"'sign', if(({n}.a.u < 0) != ({n}.b.u < 0), -1, 1))"
         )
 
-    def divided(x: Column) -> Column:
-        begin = F.struct(_times_in(x["n"], x["d"]).alias("q"), _whole(x["n"] % x["d"]).alias("r"))
+    def grouped(x: str) -> str:
+        return f"named_struct('x', {x}, 'a', {_leading(f'{x}.n', f'{x}.ns')}, 'b', {_leading(f'{x}.d', f'{x}.ds')})"
+
+    def scaled(g: str) -> str:
+        place = f"({g}.a.place - {g}.b.place - int({g}.a.first <= {g}.b.first))"
+        scale = f"greatest({_SIGNIFICANT} - {_GROUP} * {place}, {g}.x.ns, {g}.x.ds, 0)"
+        return f"named_struct('x', {g}.x, 's', {scale})"
+
+    def divided(y: str) -> str:
+        n, d = f"{y}.x.n", f"{y}.x.d"
+        zeros = f"({y}.x.ds - {y}.x.ns + {y}.s)"
+        begin = f"named_struct('q', {_times_in(n, d)}, 'r', {_whole(f'{n} % {d}')})"
+        # Eight digits at a time while the remainder leaves room for them, then one by one.
+        step = f"if(length(cast({d} AS string)) <= 29, 8, 1)"
+        powers = _let(
+            step,
+            lambda w: f"concat(array_repeat({_power(w)}, cast(floor({zeros} / {w}) AS int)), array_repeat({_power('1')}, {zeros} % {w}))",
+        )
+        done, power = f"v{next(_names)}", f"v{next(_names)}"
+        digits = _let(
+            _whole(f"{done}.r * {power}"),
+            lambda t: f"named_struct('q', {_whole(f'{done}.q * {power} + {_times_in(t, d)}')}, 'r', {_whole(f'{t} % {d}')})",
+        )
+        whole = f"aggregate({powers}, {begin}, ({done}, {power}) -> {digits})"
+        rounded = _let(whole, lambda z: _number(f"({z}.q + if({z}.r * 2 >= {d}, 1, 0)) * {y}.x.sign", f"{y}.s"))
+        return f"if({d} != 0 AND {n} IS NOT NULL, {rounded}, NULL)"
 
-        def digit(done: Column, _: Column) -> Column:
-            next_ = _let(_whole(done["r"] * 10), lambda t: F.struct(_times_in(t, x["d"]).alias("q"), _whole(t % x["d"]).alias("r")))
-            return _let(next_, lambda t: F.struct(_whole(done["q"] * 10 + t["q"]).alias("q"), t["r"].alias("r")))
+    return _let(_let(_let(_let(f"named_struct('a', {a}, 'b', {b})", sized), grouped), scaled), divided)
 
-        whole = F.aggregate(F.array_repeat(F.lit(0), x["zeros"]), begin, digit)
-        rounded = _let(whole, lambda y: _number((y["q"] + F.when(y["r"] * 2 >= x["d"], 1).otherwise(0)) * x["sign"], x["s"]))
-        return F.when((x["d"] != 0) & x["n"].isNotNull(), rounded)
 
-    return _let(_let(F.struct(a.alias("a"), b.alias("b")), prepared), divided)
+def column(value: str) -> Column:
+    """A number as column, whose name then stands for it in further formulas."""
+    return F.expr(value)
 
 
-def decimal(value: Column, kind: T.DecimalType = AMOUNT) -> Column:
+def decimal(value: str, kind: T.DecimalType = AMOUNT) -> Column:
     """A number as decimal, cut toward zero where it has more decimals than the type."""
 
-    def text(n: Column) -> Column:
-        digits, more = F.abs(n["u"]).cast("string"), n["s"] - kind.scale
-        moved = F.when(more > 0, F.left(digits, F.length(digits) - more)).otherwise(F.concat(digits, F.repeat(F.lit("0"), -more)))
-        return F.struct(F.lpad(moved, F.greatest(F.length(moved), F.lit(kind.scale + 1)), F.lit("0")).alias("t"), (n["u"] < 0).alias("minus"))
+    def moved(n: str) -> str:
+        digits, more = f"cast(abs({n}.u) AS string)", f"({n}.s - {kind.scale})"
+        cut = f"if({more} > 0, left({digits}, length({digits}) - {more}), concat({digits}, repeat('0', -{more})))"
+        return f"named_struct('t', {cut}, 'sign', if({n}.u < 0, '-', ''))"
 
-    def pointed(x: Column) -> Column:
-        whole = F.left(x["t"], F.length(x["t"]) - kind.scale)
-        sign = F.when(x["minus"], F.lit("-")).otherwise(F.lit(""))
-        return F.concat(sign, whole, F.lit("."), F.right(x["t"], F.lit(kind.scale))).cast(kind)
+    def pointed(x: str) -> str:
+        text = f"lpad({x}.t, greatest(length({x}.t), {kind.scale + 1}), '0')"
+        return f"concat({x}.sign, {_let(text, lambda t: f"concat(left({t}, length({t}) - {kind.scale}), '.', right({t}, {kind.scale}))")})"
 
-    return _let(_let(value, text), pointed)
+    return F.expr(f"cast({_let(_let(value, moved), pointed)} AS {kind.simpleString()})")

@@ -14,9 +14,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.fixed_values import BONUS, BUY, CREDIT, SELL, SPLIT
-from ledgerspark.functions.numeric import PART, decimal, number, over, plus, times
+from ledgerspark.functions.numeric import PART, column, decimal, number, over, plus, times
 from ledgerspark.functions.text import product_company, product_ticker, without_fraction_mark
 from ledgerspark.operators.income import latest_position
 from ledgerspark.schemas import COUNT_SUM, MONEY_SUM, QUANTITY_SUM, TAXPAYER
@@ -32,15 +33,15 @@ def _until(date_column: str, as_of: date | None) -> Column:
 _OF_QUANTITY, _OF_MONEY = QUANTITY_SUM.scale, MONEY_SUM.scale
 
 
-def _part(total: Column, scale: int, rows: Column) -> Column:
-    """What each of ``rows`` gets of a total; null for no rows or no total."""
+def _part(total: str, scale: int, rows: str) -> str:
+    """What each of ``rows`` gets of a total, as number; null for no rows or no total."""
     return over(number(total, scale), number(rows))
 
 
-def _parts(total: Column, scale: int, all_rows: Column, rows: Column) -> Column:
+def _parts(total: str, scale: int, all_rows: str, rows: str) -> str:
     """What ``rows`` of ``all_rows`` get of a total together, 0 without a total. Trades without quantity or price take
     a part but add nothing, so theirs is lost."""
-    return F.coalesce(times(_part(total, scale, all_rows), number(rows)), number(F.lit(0)))
+    return f"coalesce({times(_part(total, scale, all_rows), number(rows))}, {number('0')})"
 
 
 def trades_by_instrument(trades: DataFrame, as_of: date | None = None) -> DataFrame:
@@ -84,7 +85,7 @@ def splits_per_trade(movements: DataFrame, trades: DataFrame, side: str) -> Data
     counts = trade_counts(trades, side)
     return splits.join(counts, TICKER_KEY, "left").select(
         *TICKER_KEY,
-        decimal(_part(F.col("qtd_lado"), _OF_QUANTITY, F.col("n_trades")), PART).alias("qtd_lado"),
+        decimal(_part("qtd_lado", _OF_QUANTITY, "n_trades"), PART).alias("qtd_lado"),
         F.col("qtd_lado").alias("qtd_lado_orig"),
     )
 
@@ -121,8 +122,8 @@ def bonus_per_buy(bonus: DataFrame, trades: DataFrame) -> DataFrame:
         *TICKER_KEY,
         "quantidade",
         "valor_operacao",
-        decimal(_part(F.col("valor_operacao"), _OF_MONEY, F.col("n_compras")), PART).alias("valor_bon_por_neg"),
-        decimal(_part(F.col("quantidade"), _OF_QUANTITY, F.col("n_compras")), PART).alias("qtd_bon_por_neg"),
+        decimal(_part("valor_operacao", _OF_MONEY, "n_compras"), PART).alias("valor_bon_por_neg"),
+        decimal(_part("quantidade", _OF_QUANTITY, "n_compras"), PART).alias("qtd_bon_por_neg"),
     )
 
 
@@ -145,66 +146,87 @@ def bonus_per_trade_v2(bonus: DataFrame, trades: DataFrame) -> DataFrame:
         *TICKER_KEY,
         "quantidade",
         "valor_operacao",
-        decimal(_part(F.col("valor_operacao"), _OF_MONEY, F.col("_pairs")), PART).alias("valor_bon_por_neg"),
-        decimal(_part(F.col("quantidade"), _OF_QUANTITY, F.col("_pairs")), PART).alias("qtd_bon_por_neg"),
+        decimal(_part("valor_operacao", _OF_MONEY, "_pairs"), PART).alias("valor_bon_por_neg"),
+        decimal(_part("quantidade", _OF_QUANTITY, "_pairs"), PART).alias("qtd_bon_por_neg"),
     )
 
 
-def _trade_totals(trades: DataFrame, as_of: date | None) -> DataFrame:
-    """One pass over the trades: cost and shares bought, shares net of sells, and row counts."""
-    quantity = F.col("quantidade")
+_TICKER = [TAXPAYER, "instrumento"]
+#: Columns of the totals of a ticker, with their types. All are sums, so totals of parts can be added up; a sum
+#: without a value is null.
+TICKER_TOTALS = {
+    "cost": QUANTITY_SUM,
+    "n_priced": T.LongType(),
+    "bought": QUANTITY_SUM,
+    "n_sized": T.LongType(),
+    "n_buys": T.LongType(),
+    "n_trades": T.LongType(),
+    "net": QUANTITY_SUM,
+    "split": QUANTITY_SUM,
+    "bonus_quantity": QUANTITY_SUM,
+    "bonus_value": MONEY_SUM,
+    "n_bonus": T.LongType(),
+}
+
+
+def _contributions(trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of: date | None) -> DataFrame:
+    """What every trade, split and bonus adds to its ticker's totals, one row each."""
+    quantity, one = F.col("quantidade"), F.lit(1).cast("bigint")
     bought = F.col("tipo_movimentacao") == BUY
-    cost = quantity * F.col("preco")
+    cost = F.when(bought, quantity * F.col("preco"))
+    of_trades = trades_by_instrument(trades, as_of).select(
+        *_TICKER,
+        cost.alias("cost"),
+        F.when(cost.isNotNull(), one).otherwise(0).alias("n_priced"),
+        F.when(bought, quantity).cast(QUANTITY_SUM).alias("bought"),
+        F.when(bought & quantity.isNotNull(), one).otherwise(0).alias("n_sized"),
+        F.when(bought, one).otherwise(0).alias("n_buys"),
+        one.alias("n_trades"),
+        F.when(bought, quantity).otherwise(-quantity).cast(QUANTITY_SUM).alias("net"),
+    )
+    ticker = product_ticker(F.col("produto")).alias("instrumento")
+    signed = F.when(F.col("entrada_saida") == CREDIT, quantity).otherwise(-quantity)
+    of_splits = movements.filter((F.col("movimentacao") == SPLIT) & _until("data_pregao", as_of))
+    of_bonus = bonus.filter((F.col("movimentacao") == BONUS) & _until("data_pregao", as_of))
+    extras = [
+        of_splits.select(TAXPAYER, ticker, signed.alias("split")),
+        of_bonus.select(TAXPAYER, ticker, quantity.alias("bonus_quantity"), F.col("valor_operacao").alias("bonus_value"), one.alias("n_bonus")),
+    ]
+    for rows in extras:
+        # A null key meets no trade.
+        of_trades = of_trades.unionByName(rows.na.drop(subset=_TICKER), allowMissingColumns=True)
+    return of_trades
 
-    def of_buys(value: Column) -> Column:
-        return F.when(bought, value)
 
-    return (
-        trades_by_instrument(trades, as_of)
-        .groupBy(TAXPAYER, "instrumento")
-        .agg(
-            F.sum(of_buys(cost)).cast(QUANTITY_SUM).alias("cost"),
-            F.count(of_buys(cost)).alias("n_priced"),
-            F.sum(of_buys(quantity)).cast(QUANTITY_SUM).alias("bought"),
-            F.count(of_buys(quantity)).alias("n_sized"),
-            F.count(of_buys(F.lit(1))).alias("n_buys"),
-            F.sum(F.when(bought, quantity).otherwise(-quantity)).cast(QUANTITY_SUM).alias("net"),
-        )
-    )
+def added_up(parts: DataFrame) -> DataFrame:
+    """Totals per ticker from rows or totals of parts."""
+    sums = [F.sum(name).cast(kind).alias(name) for name, kind in TICKER_TOTALS.items()]
+    return parts.groupBy(*_TICKER).agg(*sums)
 
 
-def _with_adjustments(trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of) -> DataFrame:
-    splits = net_splits(movements, as_of).select(
-        TAXPAYER, F.col("ticker").alias("instrumento"), F.col("qtd_lado").alias("split")
-    )
-    extra = bonus_totals(bonus, as_of).select(
-        TAXPAYER,
-        F.col("ticker").alias("instrumento"),
-        F.col("quantidade").alias("bonus_quantity"),
-        F.col("valor_operacao").alias("bonus_value"),
-        "n_bonus",
-    )
-    key = [TAXPAYER, "instrumento"]
-    return _trade_totals(trades, as_of).join(splits, key, "left").join(extra, key, "left")
+def ticker_totals(trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of: date | None = None) -> DataFrame:
+    """All that prices and quantities of a ticker need, in one pass and one exchange of partial sums, without a join."""
+    return added_up(_contributions(trades, movements, bonus, as_of))
 
 
-def _bought() -> Column:
-    """Shares of the buys; quantities of trades are whole."""
-    return number(F.col("bought").cast(COUNT_SUM))
+#: Shares of the buys; quantities of trades are whole.
+_BOUGHT = f"cast(bought AS {COUNT_SUM.simpleString()})"
 
 
 def _average_price() -> Column:
     """Cost over shares, as number."""
-    rows = F.col("n_buys")
-    value = plus(number(F.col("cost"), _OF_QUANTITY), _parts(F.col("bonus_value"), _OF_MONEY, rows, F.col("n_priced")))
-    extra = [_parts(F.col(c), _OF_QUANTITY, rows, F.col("n_sized")) for c in ("split", "bonus_quantity")]
-    return over(value, plus(_bought(), *extra))
+    value = plus(number("cost", _OF_QUANTITY), _parts("bonus_value", _OF_MONEY, "n_buys", "n_priced"))
+    extra = [_parts(name, _OF_QUANTITY, "n_buys", "n_sized") for name in ("split", "bonus_quantity")]
+    return column(over(value, plus(number(_BOUGHT), *extra)))
 
 
 def _prices(trades: DataFrame, movements: DataFrame, bonus: DataFrame, as_of: date | None) -> DataFrame:
     """Average buy price of every ticker that was ever bought, as number."""
-    rows = _with_adjustments(trades, movements, bonus, as_of).filter("n_buys > 0")
-    return rows.select(TAXPAYER, "instrumento", _average_price().alias("_price"))
+    return _prices_of(ticker_totals(trades, movements, bonus, as_of))
+
+
+def _prices_of(totals: DataFrame) -> DataFrame:
+    return totals.filter("n_buys > 0").select(*_TICKER, _average_price().alias("_price"))
 
 
 def avg_buy_price(
@@ -212,7 +234,7 @@ def avg_buy_price(
 ) -> DataFrame:
     """Split- and bonus-adjusted average buy price of every ticker that was ever bought."""
     prices = _prices(trades, movements, bonus, as_of)
-    return prices.select(TAXPAYER, "instrumento", decimal(F.col("_price")).alias("preco_medio_compra"))
+    return prices.select(TAXPAYER, "instrumento", decimal("_price").alias("preco_medio_compra"))
 
 
 def _net_shares(bonus_quantity: Column) -> Column:
@@ -223,9 +245,8 @@ def _net_shares(bonus_quantity: Column) -> Column:
 
 def net_quantity(trades: DataFrame, movements: DataFrame, bonus: DataFrame) -> DataFrame:
     """Shares bought minus sold, plus splits and bonuses, per ticker."""
-    return _with_adjustments(trades, movements, bonus, None).select(
-        TAXPAYER, "instrumento", _net_shares(F.col("bonus_quantity")).alias("qtd_lado")
-    )
+    totals = ticker_totals(trades, movements, bonus).filter("n_trades > 0")
+    return totals.select(*_TICKER, _net_shares(F.col("bonus_quantity")).alias("qtd_lado"))
 
 
 def year_end_dates(custody: DataFrame, loans: DataFrame, as_of: date | None = None) -> DataFrame:
@@ -304,13 +325,13 @@ def year_end_position(custody: DataFrame, loans: DataFrame, as_of: date | None =
 
 def _valued(rows: DataFrame) -> DataFrame:
     """Open positions with their value, in the columns of the position view, from the number ``_price``."""
-    held = number(F.col("qtd_lado"), rows.schema["qtd_lado"].dataType.scale)
+    held = number("qtd_lado", rows.schema["qtd_lado"].dataType.scale)
     return rows.filter("qtd_lado > 0").select(
         TAXPAYER,
         "instrumento",
-        decimal(F.col("_price")).alias("preco_medio_compra"),
+        decimal("_price").alias("preco_medio_compra"),
         "qtd_lado",
-        decimal(times(held, F.col("_price"))).alias("posicao_fin"),
+        decimal(times(held, "_price")).alias("posicao_fin"),
         F.coalesce("cnpj", F.lit("")).alias("cnpj"),
         F.coalesce("nome_compania", "instrumento").alias("nome_compania"),
     )
@@ -328,9 +349,13 @@ def position(
 
     Without ``as_of`` the newest date and all trades count, whatever year is declared.
     """
+    return position_of_totals(ticker_totals(trades, movements, bonus, as_of), custody, loans, as_of)
+
+
+def position_of_totals(totals: DataFrame, custody: DataFrame, loans: DataFrame, as_of: date | None = None) -> DataFrame:
+    """The current form from totals per ticker, which may be stored and kept up to date."""
     shares = year_end_position(custody, loans, as_of).withColumnRenamed("ticker", "instrumento")
-    prices = _prices(trades, movements, bonus, as_of)
-    return _valued(shares.join(prices, [TAXPAYER, "instrumento"], "left"))
+    return _valued(shares.join(_prices_of(totals), _TICKER, "left"))
 
 
 def view_position(*tables: DataFrame) -> DataFrame:
@@ -355,9 +380,8 @@ def view_position_v1(trades: DataFrame, custody: DataFrame) -> DataFrame:
         .groupBy(TAXPAYER, "instrumento")
         .agg(bought.alias("_bought"), cost.alias("_cost"), (bought - sold).cast(QUANTITY_SUM).alias("qtd_lado"))
     )
-    bought = F.col("_bought").cast(COUNT_SUM)
-    price = over(number(F.col("_cost"), _OF_QUANTITY), number(bought))
-    priced = totals.withColumn("_price", F.when(bought > 0, price).otherwise(number(F.lit(0))))
+    price = over(number("_cost", _OF_QUANTITY), number(f"cast(_bought AS {COUNT_SUM.simpleString()})"))
+    priced = totals.withColumn("_price", column(f"if(_bought > 0, {price}, {number('0')})"))
     return _valued(_with_company(priced, custody))
 
 
@@ -365,24 +389,24 @@ def view_position_v2(
     trades: DataFrame, movements: DataFrame, bonus: DataFrame, custody: DataFrame
 ) -> DataFrame:
     """Second form, with its defect: bonus shares multiplied by the ticker's trades."""
-    sums = _with_adjustments(trades, movements, bonus, None)
-    counts = trade_counts(trades).withColumnRenamed("ticker", "instrumento")
-    rows = sums.join(counts, [TAXPAYER, "instrumento"], "left")
-    pairs = F.col("n_bonus") * F.col("n_trades")
-    value, quantity = (
-        (F.col(c) * F.col("n_trades")).cast(kind) for c, kind in (("bonus_value", MONEY_SUM), ("bonus_quantity", QUANTITY_SUM))
-    )
-    cost = plus(number(F.col("cost"), _OF_QUANTITY), _parts(value, _OF_MONEY, pairs, F.col("n_priced")))
+    # Bonus totals as the join multiplies them.
+    many = {
+        "many_value": (F.col("bonus_value") * F.col("n_trades")).cast(MONEY_SUM),
+        "many_shares": (F.col("bonus_quantity") * F.col("n_trades")).cast(QUANTITY_SUM),
+        "pairs": F.col("n_bonus") * F.col("n_trades"),
+    }
+    rows = ticker_totals(trades, movements, bonus).withColumns(many)
+    cost = plus(number("cost", _OF_QUANTITY), _parts("many_value", _OF_MONEY, "pairs", "n_priced"))
     shares = plus(
-        _bought(),
-        _parts(F.col("split"), _OF_QUANTITY, F.col("n_buys"), F.col("n_sized")),
-        _parts(quantity, _OF_QUANTITY, pairs, F.col("n_sized")),
+        number(_BOUGHT),
+        _parts("split", _OF_QUANTITY, "n_buys", "n_sized"),
+        _parts("many_shares", _OF_QUANTITY, "pairs", "n_sized"),
     )
     priced = rows.filter("n_buys > 0").select(
         TAXPAYER,
         "instrumento",
-        over(cost, shares).alias("_price"),
-        _net_shares(quantity).alias("qtd_lado"),
+        column(over(cost, shares)).alias("_price"),
+        _net_shares(F.col("many_shares")).alias("qtd_lado"),
     )
     return _valued(_with_company(priced, custody)).orderBy(TAXPAYER, "instrumento")
 
@@ -392,7 +416,7 @@ def view_position_v3(
 ) -> DataFrame:
     """Third form: bonuses added up before the join, quantity still from trades."""
     priced = (
-        _with_adjustments(trades, movements, bonus, None)
+        ticker_totals(trades, movements, bonus)
         .filter("n_buys > 0")
         .select(
             TAXPAYER,

@@ -660,6 +660,18 @@ def view_position(d: Derived) -> DataFrame:
     return position.view_position(d.trades(), d.movements(), d.bonus(), d.custody(), d.loans())
 
 
+@_register("view_position_of_totals", "SELECT * FROM vw_position")
+def _(d: Derived) -> DataFrame:
+    # Totals of three parts of the tables, as three imports would leave them.
+    folder = scratch_dir(d.spark, "totals")
+    day = {"trades": "data_negocio", "movements": "data_pregao", "bonus": "data_pregao"}
+    for part in range(3):
+        tables = [getattr(d, name)().filter(F.month(column) % 3 == part) for name, column in day.items()]
+        position.ticker_totals(*tables).write.mode("append").parquet(folder)
+    totals = position.added_up(d.spark.read.parquet(folder))
+    return _exact(position.position_of_totals(totals, d.custody(), d.loans()), *_PRICES)
+
+
 _VALUED_SQL = f"""SELECT q.taxpayer_id, q.instrumento, {amount("q.preco_u", "q.preco_s")} AS preco_medio_compra, q.qtd_lado,
     {amount(f"(q.preco_u * {hugeint('q.qtd_lado', 6)})", "(q.preco_s + 6)")} AS posicao_fin, coalesce(lp.cnpj, '') AS cnpj,
     coalesce(lp.nome_compania, q.instrumento) AS nome_compania

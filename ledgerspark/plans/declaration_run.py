@@ -16,9 +16,10 @@ from ledgerspark.operators.declaration import (
     requested_year,
 )
 from ledgerspark.operators.income import declared_entries, income_and_bonus
-from ledgerspark.operators.position import position
+from ledgerspark.operators.position import position_of_totals, ticker_totals
 from ledgerspark.operators.report import report_lines, write_reports
 from ledgerspark.plans.import_run import table_path
+from ledgerspark.plans.totals import stored_totals
 from ledgerspark.schemas import table_spec
 from ledgerspark.sources.tables import read_table
 
@@ -28,7 +29,8 @@ class Declaration:
 
     ``taxpayers`` has ``taxpayer_id``, ``full_name`` and ``cpf``; everyone in it gets a report.
     ``bounded`` limits positions and prices to the end of the base year; by default the newest
-    custody date and all trades count, whatever year is declared.
+    custody date and all trades count, whatever year is declared. ``totals`` takes prices from the stored totals per
+    ticker, as the last refresh left them, instead of going through all trades; they know no bound.
     """
 
     def __init__(
@@ -40,7 +42,11 @@ class Declaration:
         taxpayer: str | None = None,
         registry: dict[str, str] | None = None,
         bounded: bool = False,
+        totals: bool = False,
     ):
+        if bounded and totals:
+            raise ValueError("stored totals have trades of all dates")
+
         def table(name: str) -> DataFrame:
             return read_table(spark, table_path(tables_dir, name), table_spec(name), taxpayer)
 
@@ -53,12 +59,14 @@ class Declaration:
         self.custody = table("b3_posicao_acoes")
         self.loans = table("b3_posicao_emprestimos")
         self.as_of = date(self.year, 12, 31) if bounded else None
+        self.totals = stored_totals(spark, tables_dir, taxpayer) if totals else None
         self.years = requested_year(self.taxpayers, self.year)
 
     def positions(self) -> DataFrame:
-        held = position(
-            self.trades, self.movements, self.bonus, self.custody, self.loans, as_of=self.as_of
-        )
+        totals = self.totals
+        if totals is None:
+            totals = ticker_totals(self.trades, self.movements, self.bonus, self.as_of)
+        held = position_of_totals(totals, self.custody, self.loans, self.as_of)
         return self._requested(declared_positions(held, self.active(), self.registry))
 
     def _requested(self, rows: DataFrame) -> DataFrame:

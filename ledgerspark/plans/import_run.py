@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerspark.operators.bonus import enrich_bonus, page_cards, pages_to_read, typed_cards
 from ledgerspark.operators.ingest import route_sheets, table_rows
 from ledgerspark.operators.merge import append_new_rows
+from ledgerspark.plans.totals import drop_totals, forbid_counted_run, log_run
 from ledgerspark.schemas import TABLES, TAXPAYER, TableSpec, table_spec
 from ledgerspark.session import remove_dir, scratch_dir
 from ledgerspark.sources.legacy_dump import dump_files, dump_rows, legacy_table
@@ -21,6 +22,8 @@ from ledgerspark.sources.tables import INGEST_RUN, replace_taxpayers
 MOVEMENT_TABLE, BONUS_TABLE = "b3_movimentacao", "b3_bonificacao_acoes"
 # Order of arrival: it decides which of several rows with one key stays.
 ARRIVAL = ["path", "row_idx"]
+#: Name of the import that rows of older dumps count as.
+LEGACY = "legacy"
 
 
 def table_path(tables_dir: str, table: str) -> str:
@@ -61,6 +64,7 @@ def import_cells(
     typed rows, kept likewise, and one append of the unseen ones; rows are counted as they are written. The jobs
     write different tables and run side by side, so Spark fills the cores that a small one leaves.
     """
+    forbid_counted_run(spark, tables_dir, run)
     scratch = scratch_dir(spark, "import")
     routed = route_sheets(cells)
     routed.write.partitionBy("table_name").parquet(f"{scratch}/cells")
@@ -77,6 +81,7 @@ def import_cells(
     names = list(tables)
     with ThreadPoolExecutor(len(names) or 1) as pool:
         summary = list(pool.map(inheritable_thread_target(spark)(job), names))
+    log_run(spark, tables_dir, run)
     remove_dir(spark, scratch)
     return spark.createDataFrame(summary, SUMMARY)
 
@@ -101,6 +106,8 @@ def run_legacy_load(spark: SparkSession, dumps: str, tables_dir: str, taxpayer:
     staged = spark.read.schema(rows.schema).parquet(f"{scratch}/rows")
     owners = dump_files(spark, dumps).select(taxpayer.alias(TAXPAYER)).distinct()
     for spec in TABLES.values():
-        table = legacy_table(staged, spec, taxpayer).withColumn(INGEST_RUN, F.lit("legacy"))
+        table = legacy_table(staged, spec, taxpayer).withColumn(INGEST_RUN, F.lit(LEGACY))
         replace_taxpayers(spark, table, owners, table_path(tables_dir, spec.name), spec)
+    drop_totals(spark, tables_dir)
+    log_run(spark, tables_dir, LEGACY)
     remove_dir(spark, scratch)

@@ -3,7 +3,6 @@
 import random
 from decimal import ROUND_DOWN, ROUND_HALF_UP, Decimal, getcontext, localcontext
 
-from pyspark.sql import functions as F
 
 from ledgerspark.functions import numeric
 from ledgerspark.functions.text import format_amount
@@ -36,8 +35,8 @@ def test_quotients(frame):
     rows = [(i, values(), values(), rng.randint(-9, 10 ** rng.randint(1, 7))) for i in range(600)]
     rows += [(600, Decimal(0), Decimal(3), 0), (601, None, Decimal(1), 1), (602, Decimal(1), Decimal(0), 3), (603, Decimal("0.000001"), Decimal(1), 9999)]
     df = frame(rows, SCHEMA)
-    a, b, n = numeric.number(F.col("a"), 6), numeric.number(F.col("b"), 6), numeric.number(F.col("n"))
-    shown = df.select("i", numeric.over(a, n).alias("an"), numeric.over(a, b).alias("ab"), numeric.decimal(numeric.over(a, n)).alias("cut"))
+    a, b, n = numeric.number("a", 6), numeric.number("b", 6), numeric.number("n")
+    shown = df.select("i", numeric.column(numeric.over(a, n)).alias("an"), numeric.column(numeric.over(a, b)).alias("ab"), numeric.decimal(numeric.over(a, n)).alias("cut"))
     with localcontext() as context:
         context.prec = 120
         for r in shown.collect():
@@ -66,7 +65,7 @@ def test_known_digits(frame):
     }
     df = frame([(i, Decimal(a), None, b) for i, (a, b) in enumerate(known)], SCHEMA)
     # Operands without decimals: SELECT 100/3::numeric and the like.
-    got = df.select("i", numeric.over(numeric.number(F.col("a").cast("decimal(28,0)")), numeric.number(F.col("n"))).alias("q")).collect()
+    got = df.select("i", numeric.column(numeric.over(numeric.number("cast(a AS decimal(28,0))"), numeric.number("n"))).alias("q")).collect()
     for (r, text) in zip(sorted(got), known.values()):
         assert f"{Decimal(int(r['q']['u'])).scaleb(-r['q']['s']):f}" == text
 
@@ -74,7 +73,7 @@ def test_known_digits(frame):
 def test_sums_and_products(frame):
     rows = [(0, Decimal("1.5"), Decimal("-2.25"), 3), (1, Decimal("99999999999.999999"), Decimal("0.000001"), 7), (2, None, Decimal(1), 1)]
     df = frame(rows, SCHEMA)
-    a, b, n = numeric.number(F.col("a"), 6), numeric.number(F.col("b"), 6), numeric.number(F.col("n"))
+    a, b, n = numeric.number("a", 6), numeric.number("b", 6), numeric.number("n")
     third = numeric.over(a, n)
     got = df.select("i", numeric.decimal(numeric.plus(a, numeric.times(third, n), b)).alias("x"), numeric.decimal(numeric.times(a, b)).alias("y")).collect()
     with localcontext() as context:
@@ -92,7 +91,7 @@ def test_sums_and_products(frame):
 def test_cents_of_periodic_quotients(frame):
     # 100/3 is 33.3333333333333333 in the database, three of them are 99.99..., which are cut and not rounded.
     df = frame([(0, Decimal(100), None, 3), (1, Decimal(200), None, 3), (2, Decimal(-100), None, 3)], SCHEMA)
-    n = numeric.number(F.col("n"))
-    price = numeric.over(numeric.number(F.col("a"), 6), n)
+    n = numeric.number("n")
+    price = numeric.over(numeric.number("a", 6), n)
     got = df.select("i", format_amount(numeric.decimal(price)).alias("p"), format_amount(numeric.decimal(numeric.times(price, n))).alias("v")).collect()
     assert [(r["p"], r["v"]) for r in sorted(got)] == [("33,33", "99,99"), ("66,66", "200,00"), ("-33,33", "-99,99")]

@@ -269,3 +269,42 @@ def test_new_rows_are_written_and_counted_once(spark, tmp_path):
         counts.append((added, read_table(spark, path, spec).count() - before))
     n = rows.select("taxpayer_id", "pk_movimentacao").distinct().count()
     assert counts == [(0, 0), (n, n), (0, 0)]
+
+
+def test_totals_follow_the_imports(spark, tmp_path):
+    """After every import the totals give what a pass over all trades gives, and no trade is read for them."""
+    from ledgerspark.plans.totals import drop_totals, refresh_totals, stored_totals
+
+    folder, tables = tmp_path / "in", str(tmp_path / "t")
+    folder.mkdir()
+    pages = spark.createDataFrame([("ACME3", PAGE)], "ticker string, html string")
+    people = spark.createDataFrame([("ana", "Ana", "1"), ("bia", "Bia", "2")], "taxpayer_id string, full_name string, cpf string")
+    header = TABLES["b3_negociacao"].column_names
+    sheets = {"b3_posicao_acoes": CUSTODY, "b3_posicao_emprestimos": LOANS}
+    annual = [(sheet, [TABLES[t].column_names[:-1], *sheets.get(t, EVENTS)]) for sheet, t in ANNUAL_SHEETS.items()]
+
+    def declared(**options):
+        return rows_of(Declaration(spark, tables, people, 2023, **options).positions())
+
+    with pytest.raises(FileNotFoundError):
+        Declaration(spark, tables, people, 2023, totals=True)
+    more = [["02/02/2024", "Compra", "M", "-", "B", "ACME3", n, 7, 7 * n] for n in (1, 2, 4)]
+    for n in range(3):
+        for who in ("ana", "bia"):
+            rows = TRADES + more[:n] if who == "ana" else TRADES
+            (folder / f"{who}-negociacao-2024-{n}.xlsx").write_bytes(workbook_bytes([("N", [header, *rows])]))
+            (folder / f"{who}-movimentacao-2024-{n}.xlsx").write_bytes(movement_book(MOVES))
+            (folder / f"{who}-relatorio-consolidado-anual-2023.xlsx").write_bytes(workbook_bytes(annual))
+        for i, f in enumerate(sorted(folder.iterdir())):
+            os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+        run_import(spark, str(folder), tables, f"run{n}", pages)
+        assert refresh_totals(spark, tables) == 1 and refresh_totals(spark, tables) == 0
+        assert declared(totals=True) == declared() != []
+    assert declared(totals=True, taxpayer="bia") == declared(taxpayer="bia")
+    plan = Declaration(spark, tables, people, 2023, totals=True).positions()._jdf.queryExecution().executedPlan().toString()
+    assert "totais_por_ticker" in plan and "b3_negociacao" not in plan and "b3_movimentacao" not in plan
+    with pytest.raises(ValueError, match="run2"):
+        run_import(spark, str(folder), tables, "run2", pages)
+    before = rows_of(stored_totals(spark, tables))
+    drop_totals(spark, tables)
+    assert refresh_totals(spark, tables) == 3 and rows_of(stored_totals(spark, tables)) == before
