@@ -39,10 +39,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row of the mix with its shard and slot."""
-    placed = kd_shards(docs)
+    """Every row of the mix with its shard and slot; columns of these names are replaced."""
     names = {"_size": "size", "_shard": "shard", "_slot": "slot"}
-    return placed.select(*docs.columns, *[F.col(old).alias(new) for old, new in names.items()])
+    placed = kd_shards(docs.drop(*names.values()))
+    kept = [c for c in placed.columns if c not in names]
+    return placed.select(*kept, *[F.col(old).alias(new) for old, new in names.items()])
 
 
 STAGES = [
