@@ -70,6 +70,12 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
+def _own_names(docs: DataFrame) -> list[str]:
+    """Columns of ``docs`` whose names the operator uses itself."""
+    names = ("_size", "_source_size", "_target", "_copies")
+    return [c for c in docs.columns if c in names or c.startswith("_mix_")]
+
+
 def mix_sources(
     docs: DataFrame, mix: Mix = Mix(), odds: Column | None = None, keep_text: bool = True
 ) -> DataFrame:
@@ -85,63 +91,64 @@ def mix_sources(
     The ranking has no window over a source: a histogram of ranks per source tells the step in which
     the source is met, and only that step is sorted. Steps grow in number with the rows. Documents without
     words take part with size 0; a null source is one source; a null id gets one random number for all; repeated rows are
-    drawn alike, but the last copy may go to some of them only. An empty table gives an empty table.
+    drawn alike, but the last copy may go to some of them only. An empty table gives an empty table. Columns of the four
+    names are replaced, those that begin with ``_mix_`` are dropped; all others are kept.
     """
-    names = ("_size", "_source_size", "_target", "_copies")
-    sized = docs.drop(*names).withColumn("_size", word_count(F.col("text")))
+    sized = docs.drop(*_own_names(docs)).withColumn("_size", word_count(F.col("text")))
     if not keep_text:
         sized = sized.drop("text")
     source = F.col("source")
     totals = sized.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("source_rows"))
     targets = source_targets(totals.select("source", "source_size"), mix).select(
-        F.col("source").alias("_s"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
+        F.col("source").alias("_mix_s"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
     )
-    rows = totals.select(F.col("source").alias("_r"), "source_rows")
-    targets = targets.join(rows, F.col("_s").eqNullSafe(F.col("_r"))).drop("_r")
+    rows = totals.select(F.col("source").alias("_mix_r"), F.col("source_rows").alias("_mix_rows"))
+    targets = targets.join(rows, F.col("_mix_s").eqNullSafe(F.col("_mix_r"))).drop("_mix_r")
     ratio = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
     whole = F.least(F.floor(ratio), F.lit(mix.most)).cast("bigint")
     targets = (
-        targets.withColumn("_whole", whole)
-        .withColumn("_due", F.col("_target") - F.col("_whole") * F.col("_source_size"))
-        .withColumn("_steps", F.greatest(F.lit(1), F.ceil(F.col("source_rows") / mix.step_rows)).cast("bigint"))
-        .withColumn("_odds", F.greatest(ratio - whole, F.lit(1e-9)) / F.greatest(F.lit(1.0) - ratio + whole, F.lit(1e-9)))
+        targets.withColumn("_mix_whole", whole)
+        .withColumn("_mix_due", F.col("_target") - F.col("_mix_whole") * F.col("_source_size"))
+        .withColumn("_mix_steps", F.greatest(F.lit(1), F.ceil(F.col("_mix_rows") / mix.step_rows)).cast("bigint"))
+        .withColumn("_mix_odds", F.greatest(ratio - whole, F.lit(1e-9)) / F.greatest(F.lit(1.0) - ratio + whole, F.lit(1e-9)))
         .drop("source_rows")
     )
     u = uniform(F.col("doc_id"), mix.seed)
-    rank = u / (F.lit(1.0) - u) / (F.col("_odds") * (odds if odds is not None else F.lit(1.0)))
+    rank = u / (F.lit(1.0) - u) / (F.col("_mix_odds") * (odds if odds is not None else F.lit(1.0)))
     # rank * odds of the source is v / (1 - v) for a v in (0, 1), which grows with the rank and is spread evenly.
-    even = rank * F.col("_odds") / (F.lit(1.0) + rank * F.col("_odds"))
+    even = rank * F.col("_mix_odds") / (F.lit(1.0) + rank * F.col("_mix_odds"))
     drawn = (
-        sized.join(targets, source.eqNullSafe(F.col("_s")))
-        .withColumn("_rank", rank)
-        .withColumn("_step", F.least(F.floor(even * F.col("_steps")), F.col("_steps") - 1).cast("bigint"))
+        sized.join(targets, source.eqNullSafe(F.col("_mix_s")))
+        .withColumn("_mix_rank", rank)
+        .withColumn("_mix_step", F.least(F.floor(even * F.col("_mix_steps")), F.col("_mix_steps") - 1).cast("bigint"))
     )
-    steps = drawn.groupBy("_s", "_step").agg(F.sum("_size").alias("_words"), F.first("_due").alias("_step_due"))
-    earlier = Window.partitionBy("_s").orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.withColumn("_before", F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
+    steps = drawn.groupBy("_mix_s", "_mix_step").agg(F.sum("_size").alias("_mix_words"), F.first("_mix_due").alias("_mix_step_due"))
+    earlier = Window.partitionBy("_mix_s").orderBy("_mix_step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.withColumn("_mix_before", F.coalesce(F.sum("_mix_words").over(earlier), F.lit(0)))
     # The met step: words before it fall short, words with it do not.
     met = (
-        steps.where("_before < _step_due")
-        .groupBy("_s")
-        .agg(F.max("_step").alias("_met"), F.max(F.struct("_step", "_before"))["_before"].alias("_met_before"))
-        .withColumnRenamed("_s", "_m")
+        steps.where("_mix_before < _mix_step_due")
+        .groupBy("_mix_s")
+        .agg(F.max("_mix_step").alias("_mix_met"), F.max(F.struct("_mix_step", "_mix_before"))["_mix_before"].alias("_mix_met_before"))
+        .withColumnRenamed("_mix_s", "_mix_m")
     )
-    drawn = drawn.join(met, F.col("_s").eqNullSafe(F.col("_m")), "left").drop("_m")
-    inside = F.coalesce(F.col("_step") == F.col("_met"), F.lit(False))
+    drawn = drawn.join(met, F.col("_mix_s").eqNullSafe(F.col("_mix_m")), "left").drop("_mix_m")
+    inside = F.coalesce(F.col("_mix_step") == F.col("_mix_met"), F.lit(False))
     # Rows of other steps need no order: each is spread to windows of its own.
-    part = F.when(inside, F.lit(-1)).otherwise(F.pmod(F.xxhash64("_rank", "_size"), F.lit(1 << 20)))
-    order = Window.partitionBy("_s", part).orderBy("_rank", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.col("_met_before") + F.coalesce(F.sum("_size").over(order), F.lit(0)) + F.col("_size") / 2.0
-    extra = F.when(inside, (middle <= F.col("_due")).cast("bigint")).otherwise(
-        F.coalesce((F.col("_step") < F.col("_met")).cast("bigint"), F.lit(0))
+    part = F.when(inside, F.lit(-1)).otherwise(F.pmod(F.xxhash64("_mix_rank", "_size"), F.lit(1 << 20)))
+    order = Window.partitionBy("_mix_s", part).orderBy("_mix_rank", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    middle = F.col("_mix_met_before") + F.coalesce(F.sum("_size").over(order), F.lit(0)) + F.col("_size") / 2.0
+    extra = F.when(inside, (middle <= F.col("_mix_due")).cast("bigint")).otherwise(
+        F.coalesce((F.col("_mix_step") < F.col("_mix_met")).cast("bigint"), F.lit(0))
     )
-    return drawn.withColumn("_copies", F.col("_whole") + extra).drop(
-        "_s", "_whole", "_due", "_steps", "_odds", "_rank", "_step", "_met", "_met_before"
+    return drawn.withColumn("_copies", F.col("_mix_whole") + extra).drop(
+        "_mix_s", "_mix_rows", "_mix_whole", "_mix_due", "_mix_steps", "_mix_odds", "_mix_rank", "_mix_step", "_mix_met", "_mix_met_before"
     )
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The mix itself: a document taken n times is n rows, columns as before."""
-    taken = mix_sources(docs, mix).where("_copies > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return taken.withColumn("_copy", copies).select(*docs.columns)
+    """The mix itself: a document taken n times is n rows, columns as before, whatever their names."""
+    aside = {c: f"own{i}{c}" for i, c in enumerate(_own_names(docs))}
+    taken = mix_sources(docs.withColumnsRenamed(aside), mix).where("_copies > 0")
+    rows = taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return rows.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

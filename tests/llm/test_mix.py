@@ -5,6 +5,8 @@ import re
 
 from llm_edges import EDGE_ROWS, docs, words  # noqa: F401
 
+from pyspark.sql import functions as F
+
 from ledgerspark.llm.pareto_mix import Mix, mix_sources, mixed_documents
 
 
@@ -65,5 +67,17 @@ def test_copies_become_rows(docs, words):
     assert all(mixed.count(i) == n for i, n in plan.items()) and max(plan.values()) == 3
 
 
+def test_names_of_its_own(docs, words):
+    own = ("_size", "_target", "_rank", "_s", "_step", "_mix_s", "_mix_copy", "source_rows", "size", "shard")
+    frame = docs(*[(n, " ".join(words(10)), None, "ab"[n % 2]) for n in range(40)])
+    frame = frame.withColumns({n: F.concat(F.lit(f"{n} "), "doc_id") for n in own})
+    mixed = mixed_documents(frame)
+    assert mixed.columns == frame.columns
+    rows = mixed.collect()
+    assert rows and all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in own)
+    sized = mix_sources(frame)
+    assert {"_rank", "_s", "source_rows"} <= set(sized.columns) and not any(c.startswith("_mix_") for c in sized.columns)
+
+
 def test_empty(docs):
     assert mix_sources(docs()).count() == 0 and mixed_documents(docs()).columns == docs().columns
