@@ -196,10 +196,10 @@ def _op10() -> str:
     return f"""
 WITH docs AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_BLANK}))::BIGINT AS size,
-        (('0x' || substr(md5({_quoted(m.seed + ":")} || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::UBIGINT::DOUBLE + 0.5)
+        (('0x' || substr(md5({_quoted(m.seed + ":")} || coalesce(doc_id::VARCHAR, 'null:' || text, 'null')), 1, 13))::UBIGINT::DOUBLE + 0.5)
             / {float(1 << 52)} AS u FROM documents),
 sources AS (
-    SELECT source, sum(size)::HUGEINT AS s, [{weights}][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(m.weights)} + 1)::INT] AS weight
+    SELECT source, sum(size)::HUGEINT AS s, count(*) AS n, [{weights}][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(m.weights)} + 1)::INT] AS weight
     FROM docs GROUP BY source),
 -- The share of a unit of weight is the largest that some set of stopping sources leaves for the others.
 tried AS (
@@ -213,16 +213,21 @@ fitting AS (
     WHERE {m.most} * tried.s * (whole.weight - coalesce(below_weight, 0)) >= (whole.s - {m.most} * coalesce(below, 0)) * tried.weight),
 share AS (SELECT max(rest) AS rest, max(rest_weight) AS rest_weight FROM fitting),
 targets AS (
-    SELECT source, s::BIGINT AS source_size,
+    SELECT source, s::BIGINT AS source_size, n AS source_rows,
         CASE WHEN {m.most} * s * share.rest_weight < share.rest * weight THEN ({m.most} * s)::DOUBLE
             ELSE weight::DOUBLE * share.rest::DOUBLE / share.rest_weight::DOUBLE END AS target
     FROM sources, share),
 due AS (
     SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), {m.most}) ELSE 0 END::BIGINT AS certain FROM targets),
+-- Odds of a document against one of its source's mean size; what a source's documents have in common does not order them.
+chances AS (
+    SELECT docs.*, source_size, target, certain, u / (1.0::DOUBLE - u) / CASE WHEN source_size > 0 THEN
+        least(greatest(size * source_rows::DOUBLE / source_size::DOUBLE, {1 / m.spread}::DOUBLE), {m.spread}::DOUBLE) ELSE 1 END AS chance
+    FROM docs JOIN due ON docs.source IS NOT DISTINCT FROM due.source),
 ranked AS (
     SELECT doc_id, size, source_size, target, certain, target - certain * source_size AS rest,
-        coalesce(sum(size) OVER (PARTITION BY docs.source ORDER BY u, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-    FROM docs JOIN due ON docs.source IS NOT DISTINCT FROM due.source)
+        coalesce(sum(size) OVER (PARTITION BY source ORDER BY chance, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM chances)
 SELECT doc_id, size, source_size, target,
     (size * (certain + CASE WHEN before + size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM ranked"""
 

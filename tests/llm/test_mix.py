@@ -33,9 +33,17 @@ def brute(rows):
     for source, total in sizes.items():
         whole = min(3, int(target[source] / total)) if total else 0
         due = target[source] - whole * total
-        u = lambda r: int(hashlib.md5(f"mix:{'null' if r[0] is None else r[0]}".encode()).hexdigest()[:13], 16)
+        n_rows = sum(r[3] == source for r in rows)
+
+        def chance(n, r):
+            own = f"null:{r[1]}" if r[0] is None and r[1] is not None else "null" if r[0] is None else r[0]
+            u = (int(hashlib.md5(f"mix:{own}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            odds = min(max(n * n_rows / total, 0.25), 4.0) if total else 1.0
+            return u / (1 - u) / odds, n
+
         before = 0
-        for n, r in sorted(((n, r) for n, r in zip(size, rows, strict=True) if r[3] == source), key=lambda x: (u(x[1]), x[0])):
+        own_rows = [(n, r) for n, r in zip(size, rows, strict=True) if r[3] == source]
+        for n, r in sorted(own_rows, key=lambda x: chance(*x)):
             extra = before + n / 2 <= due and n > 0
             out.append((repr(r[0]), n, total, round(target[source], 6), n * (whole + extra)))
             before += n
@@ -60,6 +68,42 @@ def test_mix_matches_brute_force(docs, words):
     assert all(abs(taken[s] - target[s]) <= 40 for s in taken)
 
 
+def test_inclusion_follows_the_odds(spark, docs):
+    """Over many seeds, documents of four sizes come in by odds in the ratio of their sizes."""
+    rows = [(n, "w " * (10, 20, 40, 80)[n % 4], None, "a") for n in range(400)]
+    rows += [(n, "w " * 10, None, "b") for n in range(1000, 2200)]
+    frame = docs(*rows).cache()
+    taken = dict.fromkeys((10, 20, 40, 80), 0)
+    seeds = 6
+    for seed in range(seeds):
+        got = mix_sources(frame, Mix(weights=(1, 2), seed=f"s{seed}")).where("source = 'a'").collect()
+        assert len({r["_target"] for r in got}) == 1 and got[0]["_target"] < got[0]["_source_size"]
+        assert abs(sum(r["_size"] * r["_copies"] for r in got) - got[0]["_target"]) <= 40
+        for r in got:
+            taken[r["_size"]] += r["_copies"]
+    share = {size: n / (100 * seeds) for size, n in taken.items()}
+    odds = {size: p / (1 - p) for size, p in share.items()}
+    # The mean size is 37.5: odds of 0.27, 0.53, 1.07 and 2.13 against it.
+    for size in (20, 40, 80):
+        assert 0.7 * size / 10 < odds[size] / odds[10] < 1.4 * size / 10
+    frame.unpersist()
+
+
+def test_repeated_rows_at_the_threshold(docs):
+    """Of a thousand equal rows as many are taken as the target lets, not all or none."""
+    rows = [(1, "a b c d", None, "a")] * 1000 + [(n, "x y", None, "b") for n in range(3000)]
+    got = mix_sources(docs(*rows), Mix(weights=(1, 2))).where("source = 'a'")
+    assert got.count() == 1000
+    copies = [r["_copies"] for r in got.collect()]
+    assert len(set(copies)) == 2 and abs(4 * sum(copies) - 10_000 / 3) <= 2
+
+
+def test_no_text_is_shuffled(docs, words):
+    frame = docs(*[(n, " ".join(words(10)), None, "ab"[n % 2]) for n in range(40)])
+    plan = mixed_documents(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "Sort" not in plan
+
+
 def test_copies_become_rows(docs, words):
     rows = [(n, " ".join(words(10)), None, "a" if n < 5 else "b") for n in range(100)]
     plan = {r["doc_id"]: r["_copies"] for r in mix_sources(docs(*rows)).collect()}
