@@ -105,6 +105,8 @@ def _thresholds(numbers: DataFrame, targets: DataFrame) -> DataFrame:
     # The met step: words before it fall short, words with it do not.
     met = steps.where("_mix_before < _mix_step_due").groupBy("_mix_s").agg(F.max(F.struct("_mix_step", "_mix_before")).alias("_mix_met"))
     met = met.select(F.col("_mix_s").alias("_mix_m"), "_mix_met._mix_step", F.col("_mix_met._mix_before").alias("_mix_start"))
+    # One row per source, written, so that its size decides the join: rows of a hot source move nowhere.
+    met = written(numbers.sparkSession, met, "mix-met")
     inside = stepped.join(
         met.withColumnRenamed("_mix_step", "_mix_at"),
         F.col("_mix_s").eqNullSafe(F.col("_mix_m")) & (F.col("_mix_step") == F.col("_mix_at")),
@@ -170,6 +172,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), keep_text: bool = True) -> Da
         .withColumn("_mix_due", F.col("_target") - F.col("_mix_whole") * F.col("_source_size"))
         .withColumn("_mix_steps", F.greatest(F.lit(1), F.ceil(F.col("_mix_rows") / mix.step_rows)).cast("bigint"))
     )
+    targets = written(spark, targets, "mix-targets")
     odds = inclusion_odds(F.col("_size"), F.col("_source_size"), F.col("_mix_rows"), mix)
     rank = F.col("_mix_u") / (F.lit(1.0) - F.col("_mix_u")) / odds
 
