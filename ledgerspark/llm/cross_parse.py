@@ -25,6 +25,8 @@ class Learning:
     characters: int = 500
     #: Texts are parsed in blocks of so many letters and spaces; a block begins a new phrase in every language.
     block: int = 2048
+    #: Parts of a language's sample that are held back in turn to learn how many phrases its own texts take.
+    folds: int = 16
 
 
 def normal(text: str) -> str:
@@ -62,6 +64,36 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return following
 
 
+def _greedy_phrases(text: str, ways: list[dict[str, int]]) -> int:
+    """Longest-match phrases of a text, read from left to right; a symbol that the automaton lacks is one."""
+    count = state = 0
+    for symbol in text:
+        ahead = ways[state].get(symbol)
+        if ahead is None:
+            count += state != 0
+            ahead = ways[0].get(symbol, 0)
+            count += ahead == 0
+        state = ahead
+    return count + (state != 0)
+
+
+def expected_rates(sample: dict[str, str], folds: int) -> dict[str, float]:
+    """Phrases per character that text of each language takes: every part of its sample, held back in turn, parsed
+    by the rest. A longer sample has longer matches and so a lower rate. With under two words the rate is 1."""
+    rates = {}
+    for name, text in sample.items():
+        words = text.split()
+        parts = min(folds, len(words))
+        cuts = [len(words) * n // parts for n in range(parts + 1)] if parts > 1 else []
+        phrases = symbols = 0
+        for begin, end in zip(cuts, cuts[1:]):
+            held = " ".join(words[begin:end])
+            phrases += _greedy_phrases(held, suffix_automaton(" ".join(words[:begin] + words[end:])))
+            symbols += len(held)
+        rates[name] = phrases / symbols if symbols else 1.0
+    return rates
+
+
 class Languages:
     """Suffix automata of all languages in one table: row = state, column = symbol, -1 = no way on.
 
@@ -141,8 +173,9 @@ def _languages(sample: tuple[tuple[str, str], ...]) -> Languages:
     return Languages(dict(sample))
 
 
-def _predict(batches: Iterator[pa.RecordBatch], sample: tuple, p: Learning, text: str, names: tuple[str, str]):
+def _predict(batches: Iterator[pa.RecordBatch], sample: tuple, rates: dict[str, float], p: Learning, text: str, names: tuple[str, str]):
     model = _languages(sample)
+    rate = np.array([rates[name] for name in model.names])
     for whole in batches:
         for batch, texts in text_slices(whole, text):
             rows, owners, lengths = [], [], []
@@ -169,10 +202,11 @@ def _predict(batches: Iterator[pa.RecordBatch], sample: tuple, p: Learning, text
                 np.add.at(total, owner, counts)
                 np.add.at(size, owner, lengths)
                 for n in np.flatnonzero(size):
-                    ranked = np.argsort(total[n], kind="stable")
+                    normalised = total[n] / rate
+                    ranked = np.argsort(normalised, kind="stable")
                     best[n] = model.names[ranked[0]]
-                    second = total[n, ranked[1]] if len(ranked) > 1 else size[n]
-                    score[n] = float(1.0 - total[n, ranked[0]] / max(second, 1))
+                    second = normalised[ranked[1]] if len(ranked) > 1 else size[n] / rate[0]
+                    score[n] = float(1.0 - normalised[ranked[0]] / second)
             kept = [c for c in batch.schema.names if c not in names]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array(best, pa.string()), pa.array(score, pa.float64())],
@@ -209,8 +243,10 @@ def identify(
     """``docs`` with the predicted language and a score.
 
     A text is cut into the longest phrases that the labelled text of a language contains, from left to
-    right; a character that it does not contain is a phrase. The language with the fewest phrases wins, of equal ones
-    the first name. The score is 1 minus the winner's phrases over the second's: 0 for a tie.
+    right; a character that it does not contain is a phrase. Phrases are normalised: divided by what text of that language
+    takes by a sample of that length (``expected_rates``, computed once from the bounded sample). The
+    language with the fewest normalised phrases wins, of equal ones the first name. The score is 1 minus the winner's
+    over the second's: 0 for a tie.
     A null text and one without letters are ``und`` with score 0, as is every text if nothing was
     learnt. Every text is parsed whole, in blocks whose borders end a phrase in each language. Repeated rows agree, an empty table stays
     empty, other columns are kept and columns named as the new ones replaced.
@@ -220,7 +256,8 @@ def identify(
         [*held.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     )
     shared = tuple(sorted(sample.items()))
-    return held.mapInArrow(partial(_predict, sample=shared, p=p, text=text, names=names), schema)
+    rates = expected_rates(sample, p.folds)
+    return held.mapInArrow(partial(_predict, sample=shared, rates=rates, p=p, text=text, names=names), schema)
 
 
 def held_out(doc_id: Column) -> Column:

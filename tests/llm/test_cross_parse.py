@@ -7,7 +7,7 @@ import numpy as np
 from llm_edges import EDGE_ROWS, docs, words  # noqa: F401
 
 import __spark_entry__ as entry
-from ledgerspark.llm.cross_parse import Languages, Learning, identify, normal, suffix_automaton
+from ledgerspark.llm.cross_parse import Languages, Learning, _greedy_phrases, identify, normal, suffix_automaton
 
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +48,7 @@ def test_phrases_match_brute_force():
         blocks[i, : len(s)] = s
     got = model.phrases(blocks, np.array([len(t) for t in texts]))
     assert got.tolist() == [[brute_phrases(t, sample[n]) for n in "xy"] for t in texts]
+    assert got.tolist() == [[_greedy_phrases(t, suffix_automaton(sample[n])) for n in "xy"] for t in texts]
 
 
 def test_symbols_are_those_of_the_normal_form():
@@ -57,6 +58,22 @@ def test_symbols_are_those_of_the_normal_form():
         assert len(model.symbols(text)) == len(plain)
 
 
+def test_samples_of_unequal_length(docs):
+    """Two languages that share half of their words, with up to fifty times more sample text of one of them."""
+    rng = random.Random(3)
+    make = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(n)]
+    shared = make(100)
+    words_of = {name: shared + make(100) for name in "ab"}
+    speak = lambda name, n: " ".join(rng.choice(words_of[name]) for _ in range(n))
+    texts = [(n, speak("ab"[n % 2], 60)) for n in range(120)]
+    # 80 words know a third of the language, which makes its texts and those of the other hard to tell apart.
+    for few, least in ((4000, 55), (300, 55), (80, 40)):
+        got = identify(docs(*texts), {"a": speak("a", 4000), "b": speak("b", few)}).collect()
+        for language in "ab":
+            right = sum(r["lang_pred"] == language for r in got if "ab"[r["doc_id"] % 2] == language)
+            assert right >= least, (few, language, right)
+
+
 def test_edges(docs):
     sample = {"en": "the cat sat on the mat", "fr": "le chat est sur la table"}
     rows = identify(docs(*EDGE_ROWS, (7, "1234 !!"), (8, "le chat"), (9, "the cat " * 60_000)), sample, Learning(block=64)).collect()
