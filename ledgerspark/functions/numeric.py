@@ -7,7 +7,7 @@ is built-in functions on rows that were added up before: one row per ticker, not
 
 The functions compose SQL text, of which ``column`` and ``decimal`` make columns: a formula is one parsed expression
 instead of thousands of calls into the JVM. Integers have 38 digits. Whatever needs more fails under ANSI rules
-instead of losing digits.
+instead of losing digits; only the product of ``product_text`` may have more, and is text.
 """
 
 from __future__ import annotations
@@ -137,16 +137,77 @@ def column(value: str) -> Column:
     return F.expr(value)
 
 
-def decimal(value: str, kind: T.DecimalType = AMOUNT) -> Column:
-    """A number as decimal, cut toward zero where it has more decimals than the type."""
+def _fixed(value: str, scale: int) -> str:
+    """Text with ``scale`` decimals, cut toward zero, of a number that is given as digits ``t``, ``s`` and ``sign``."""
 
     def moved(n: str) -> str:
-        digits, more = f"cast(abs({n}.u) AS string)", f"({n}.s - {kind.scale})"
-        cut = f"if({more} > 0, left({digits}, length({digits}) - {more}), concat({digits}, repeat('0', -{more})))"
-        return f"named_struct('t', {cut}, 'sign', if({n}.u < 0, '-', ''))"
+        more = f"({n}.s - {scale})"
+        cut = f"if({more} > 0, left({n}.t, length({n}.t) - {more}), concat({n}.t, repeat('0', -{more})))"
+        return f"named_struct('t', {cut}, 'sign', {n}.sign)"
 
     def pointed(x: str) -> str:
-        text = f"lpad({x}.t, greatest(length({x}.t), {kind.scale + 1}), '0')"
-        return f"concat({x}.sign, {_let(text, lambda t: f"concat(left({t}, length({t}) - {kind.scale}), '.', right({t}, {kind.scale}))")})"
+        text = f"lpad({x}.t, greatest(length({x}.t), {scale + 1}), '0')"
+        return f"concat({x}.sign, {_let(text, lambda t: f"concat(left({t}, length({t}) - {scale}), '.', right({t}, {scale}))")})"
+
+    return _let(_let(value, moved), pointed)
+
+
+def _size(u: str) -> str:
+    """Absolute value; ``abs`` would round what has over 34 digits."""
+    return _whole(f"if({u} < 0, 0 - {u}, {u})")
+
+
+def _sign(negative: str) -> str:
+    return f"if({negative}, '-', '')"
+
+
+def decimal(value: str, kind: T.DecimalType = AMOUNT) -> Column:
+    """A number as decimal, cut toward zero where it has more decimals than the type."""
+    digits = _let(value, lambda n: f"named_struct('t', cast(abs({n}.u) AS string), 's', {n}.s, 'sign', {_sign(f'{n}.u < 0')})")
+    return F.expr(f"cast({_fixed(digits, kind.scale)} AS {kind.simpleString()})")
+
+
+#: Digits of a limb of a long product: three limbs hold an integer, and sums of three products of limbs fit one.
+_LIMB, _LIMBS = 13, 3
+
+
+def product_text(a: str, b: str, scale: int = AMOUNT.scale) -> Column:
+    """Exact product of two numbers as text with ``scale`` decimals, cut toward zero; null if one is null.
+
+    The product may have twice the digits of an integer: it is added up limb by limb.
+    """
+    base = _power(str(_LIMB))
+
+    def limbs(u: str) -> str:
+        def cut(n: str) -> str:
+            parts = [f"{_whole(f'{n} % {base}')}"]
+            for i in range(1, _LIMBS):
+                higher = _times_in(n, _power(str(i * _LIMB)))
+                parts.append(_whole(f"{higher} % {base}"))
+            return f"array({', '.join(parts)})"
+
+        return _let(_size(u), cut)
+
+    def multiplied(n: str) -> str:
+        sums = []
+        for place in range(2 * _LIMBS):
+            pairs = [(i, place - i) for i in range(_LIMBS) if 0 <= place - i < _LIMBS]
+            terms = [_whole(f"{n}.a[{i}] * {n}.b[{j}]") for i, j in pairs]
+            sums.append(_whole(" + ".join(terms or ["0"])))
+        done, digit = f"v{next(_names)}", f"v{next(_names)}"
+        step = _let(
+            _whole(f"{done}.more + {digit}"),
+            lambda t: f"named_struct('more', {_times_in(t, base)}, "
+            f"'t', concat(lpad(cast({_whole(f'{t} % {base}')} AS string), {_LIMB}, '0'), {done}.t))",
+        )
+        begin = f"named_struct('more', {_whole('0')}, 't', '')"
+        text = f"aggregate(array({', '.join(sums)}), {begin}, ({done}, {digit}) -> {step}, {done} -> ltrim('0', {done}.t))"
+        return f"named_struct('t', {text}, 's', {n}.s, 'sign', {n}.sign)"
+
+    def parts(n: str) -> str:
+        negative = f"({n}.a.u < 0) != ({n}.b.u < 0) AND {n}.a.u != 0 AND {n}.b.u != 0"
+        fields = f"'a', {limbs(f'{n}.a.u')}, 'b', {limbs(f'{n}.b.u')}, 's', {n}.a.s + {n}.b.s, 'sign', {_sign(negative)}"
+        digits = _let(f"named_struct({fields})", multiplied)
+        return f"if({n}.a.u IS NULL OR {n}.b.u IS NULL, NULL, {_fixed(digits, scale)})"
 
-    return F.expr(f"cast({_let(_let(value, moved), pointed)} AS {kind.simpleString()})")
+    return F.expr(_let(f"named_struct('a', {a}, 'b', {b})", parts))

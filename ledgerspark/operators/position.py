@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.fixed_values import BONUS, BUY, CREDIT, SELL, SPLIT
-from ledgerspark.functions.numeric import PART, column, decimal, number, over, plus, times
+from ledgerspark.functions.numeric import AMOUNT, PART, column, decimal, number, over, plus, product_text, times
 from ledgerspark.functions.text import product_company, product_ticker, without_fraction_mark
 from ledgerspark.operators.income import latest_position
 from ledgerspark.schemas import COUNT_SUM, MONEY_SUM, QUANTITY_SUM, TAXPAYER
@@ -323,15 +323,19 @@ def year_end_position(custody: DataFrame, loans: DataFrame, as_of: date | None =
     )
 
 
-def _valued(rows: DataFrame) -> DataFrame:
-    """Open positions with their value, in the columns of the position view, from the number ``_price``."""
+def _valued(rows: DataFrame, as_text: bool = False) -> DataFrame:
+    """Open positions with their value, in the columns of the position view, from the number ``_price``.
+
+    With ``as_text`` the value stays text: it may have more digits than a decimal.
+    """
     held = number("qtd_lado", rows.schema["qtd_lado"].dataType.scale)
+    value = product_text(held, "_price")
     return rows.filter("qtd_lado > 0").select(
         TAXPAYER,
         "instrumento",
         decimal("_price").alias("preco_medio_compra"),
         "qtd_lado",
-        decimal(times(held, "_price")).alias("posicao_fin"),
+        (value if as_text else value.cast(AMOUNT)).alias("posicao_fin"),
         F.coalesce("cnpj", F.lit("")).alias("cnpj"),
         F.coalesce("nome_compania", "instrumento").alias("nome_compania"),
     )
@@ -388,7 +392,10 @@ def view_position_v1(trades: DataFrame, custody: DataFrame) -> DataFrame:
 def view_position_v2(
     trades: DataFrame, movements: DataFrame, bonus: DataFrame, custody: DataFrame
 ) -> DataFrame:
-    """Second form, with its defect: bonus shares multiplied by the ticker's trades."""
+    """Second form, with its defect: bonus shares multiplied by the ticker's trades.
+
+    Multiplied shares grow with the square of the rows, so ``posicao_fin`` is text with 24 decimals.
+    """
     # Bonus totals as the join multiplies them.
     many = {
         "many_value": (F.col("bonus_value") * F.col("n_trades")).cast(MONEY_SUM),
@@ -408,7 +415,7 @@ def view_position_v2(
         column(over(cost, shares)).alias("_price"),
         _net_shares(F.col("many_shares")).alias("qtd_lado"),
     )
-    return _valued(_with_company(priced, custody)).orderBy(TAXPAYER, "instrumento")
+    return _valued(_with_company(priced, custody), as_text=True).orderBy(TAXPAYER, "instrumento")
 
 
 def view_position_v3(

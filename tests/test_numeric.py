@@ -88,6 +88,26 @@ def test_sums_and_products(frame):
     assert getcontext().prec == 28
 
 
+def test_products_of_more_digits_than_an_integer(frame):
+    rng = random.Random(7)
+    whole = lambda: Decimal(rng.randint(-(10 ** rng.randint(0, 38)) + 1, 10 ** rng.randint(0, 38) - 1))
+    rows = [(i, whole(), whole()) for i in range(200)]
+    most = Decimal(10**38 - 1)
+    rows += [(200, most, most), (201, most.copy_negate(), most), (202, Decimal(0), most.copy_negate()), (203, None, most), (204, most, None), (205, Decimal(10**13), Decimal(10**26))]
+    df = frame(rows, "i int, a decimal(38,0), b decimal(38,0)")
+    for scale_a, scale_b in ((0, 0), (6, 20), (12, 12), (20, 24)):
+        a, b = (f"if({c} IS NULL, NULL, named_struct('u', {c}, 's', {s}))" for c, s in (("a", scale_a), ("b", scale_b)))
+        with localcontext() as context:
+            context.prec = 150
+            for i, text in df.select("i", numeric.product_text(a, b)).collect():
+                _, x, y = rows[i]
+                if x is None or y is None:
+                    assert text is None
+                    continue
+                wanted = (x.scaleb(-scale_a) * y.scaleb(-scale_b)).quantize(Decimal(1).scaleb(-24), ROUND_DOWN)
+                assert text.removeprefix("-") == f"{abs(wanted):f}" and text.startswith("-") == (x * y < 0)
+
+
 def test_cents_of_periodic_quotients(frame):
     # 100/3 is 33.3333333333333333 in the database, three of them are 99.99..., which are cut and not rounded.
     df = frame([(0, Decimal(100), None, 3), (1, Decimal(200), None, 3), (2, Decimal(-100), None, 3)], SCHEMA)

@@ -2,7 +2,7 @@
 
 from collections import defaultdict
 from datetime import date
-from decimal import Decimal, localcontext
+from decimal import ROUND_DOWN, Decimal, localcontext
 
 import pytest
 from conftest import SF
@@ -120,6 +120,21 @@ def test_second_and_third_form(small, table, build, fan_out):
     assert {i: (r.preco_medio_compra, r.qtd_lado) for i, r in found.items()} == {i: (prices[i], nets[i]) for i in prices if nets[i] > 0}
 
 
+def test_values_of_second_form_may_have_more_than_38_digits(table):
+    trades = table("b3_negociacao", *[trade("A3", 2 * 10**9, 10**11) for _ in range(3)], *[trade("B3", 100, 10**6) for _ in range(2)])
+    movements = table("b3_movimentacao", split("A3", 7))
+    extra = table("b3_bonificacao_acoes", bonus("A3", 10**9, 20), bonus("B3", 10**11, 10))
+    prices, nets = brute(trades, movements, extra, fan_out=True)
+    rows = position.view_position_v2(trades, movements, extra, table("b3_posicao_acoes")).collect()
+    assert {r.instrumento for r in rows} == {"A3", "B3"}
+    for r in rows:
+        assert (r.preco_medio_compra, r.qtd_lado) == (prices[r.instrumento], nets[r.instrumento])
+        with localcontext() as context:
+            context.prec = 120
+            value = prices[r.instrumento] * nets[r.instrumento]
+            assert Decimal(r.posicao_fin) == value.quantize(Decimal(1).scaleb(-24), ROUND_DOWN)
+
+
 def test_periodic_prices_are_cut_to_the_cents_of_a_database(table):
     # 100/3 has 16 decimals; three shares are 99.9999999999999999, in text 99,99. A double gives 100,00.
     trades = table("b3_negociacao", trade("P3", 2, 25), trade("P3", 1, 50), trade("Q3", 1, 200), trade("Q3", 1, 0), trade("Q3", 1, 0))
