@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +20,7 @@ def is_missing(cell: Column) -> Column:
 
 def missing_count(cells: list[Column]) -> Column:
     """Number of missing cells in a row."""
-    return reduce(lambda a, b: a + b, [is_missing(c).cast("int") for c in cells])
+    return F.size(F.filter(F.array(*cells), is_missing))
 
 
 def missing_allowed(n_columns: int) -> int:

@@ -14,7 +14,7 @@ def number_text(value: Column) -> Column:
 
     Built on a fixed-scale decimal, so it never depends on how a float is printed.
     """
-    plain = F.regexp_replace(value.cast(PRICE).cast("string"), r"0+\z", "")
+    plain = F.rtrim(value.cast(PRICE).cast("string"), F.lit("0"))
     text = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     return F.replace(text, F.lit("."), F.lit(","))
 

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from ledgerspark.fixed_values import PRODUCT_SEPARATOR
 
+#: Every character that Unicode calls white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def product_ticker(product: Column) -> Column:
     """Ticker of a ``"<ticker> - <company>"`` label."""
@@ -33,7 +36,7 @@ def without_float_suffix(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Text without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def format_tax_id(raw: Column) -> Column:

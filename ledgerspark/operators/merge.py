@@ -9,6 +9,9 @@ from ledgerspark.functions.joins import without_match
 from ledgerspark.schemas import TAXPAYER, TableSpec
 from ledgerspark.sources.tables import BUCKET, INGEST_RUN, bucket_of, stored_rows, write_table
 
+#: Rows of a batch whose keys Spark may broadcast; a larger one is sorted together with the stored keys.
+SMALL_BATCH = 100_000
+
 
 def first_per_key(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
     """First row of each key (null key parts are equal) in the given order.
@@ -33,6 +36,16 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: list[str], order: list[
     return without_match(first_per_key(batch, key, order), existing, key)
 
 
+def new_rows_of_many(batch: DataFrame, existing: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
+    """The same for a batch that is too large to broadcast: no joins, one exchange of its rows and the stored keys.
+
+    Stored keys come first, so that they are what stays of their rows; null key parts are equal.
+    """
+    stored = existing.select(*key, F.lit(True).alias("_stored"))
+    both = batch.withColumn("_stored", F.lit(False)).unionByName(stored, allowMissingColumns=True)
+    return first_per_key(both, key, [F.col("_stored").desc(), *order]).filter("not _stored").drop("_stored")
+
+
 def insert_ignore(
     existing: DataFrame, batch: DataFrame, key: list[str], order: list[Column | str]
 ) -> DataFrame:
@@ -53,7 +66,8 @@ def append_new_rows(
     if existing is None:
         rows = first_per_key(batch, spec.key, order)
     else:
-        rows = new_rows(batch, _within_reach(existing, batch, spec.date_column), spec.key, order)
+        unseen = new_rows if batch.count() <= SMALL_BATCH else new_rows_of_many
+        rows = unseen(batch, _within_reach(existing, batch, spec.date_column), spec.key, order)
     added = Observation()
     write_table(rows.select(*spec.schema.names, F.lit(run).alias(INGEST_RUN)), path, spec, "append", added)
     return added.get["n"]

@@ -60,15 +60,19 @@ def import_cells(
 ) -> DataFrame:
     """Import the cells of report files.
 
-    Workbooks are opened once and their cells kept in a scratch table that every job reads. Each job is one plan to
-    typed rows, kept likewise, and one append of the unseen ones; rows are counted as they are written. The jobs
-    write different tables and run side by side, so Spark fills the cores that a small one leaves.
+    Workbooks are opened once: a job that is alone reads the cells as they come, several read them from a scratch
+    table. Each job is one plan to typed rows, kept in such a table, and one append of the unseen ones; rows are counted
+    as they are written. The jobs write different tables and run side by side, so Spark fills the cores that a small
+    one leaves.
     """
     forbid_counted_run(spark, tables_dir, run)
     scratch = scratch_dir(spark, "import")
-    routed = route_sheets(cells)
-    routed.write.partitionBy("table_name").parquet(f"{scratch}/cells")
-    staged = spark.read.schema(routed.schema).parquet(f"{scratch}/cells")
+    names = list(tables)
+    staged = route_sheets(cells)
+    # Bonus rows need the movements twice.
+    if len(names) > 1 or BONUS_TABLE in names:
+        staged.write.partitionBy("table_name").parquet(f"{scratch}/cells")
+        staged = spark.read.schema(staged.schema).parquet(f"{scratch}/cells")
 
     def job(name: str) -> tuple[str, int, int, str]:
         spec, read = table_spec(name), Observation()
@@ -78,7 +82,6 @@ def import_cells(
         order = [*ARRIVAL, "card_no"] if name == BONUS_TABLE else ARRIVAL
         return name, read.get["n"], append_new_rows(typed, table_path(tables_dir, name), spec, order, run), "ok"
 
-    names = list(tables)
     with ThreadPoolExecutor(len(names) or 1) as pool:
         summary = list(pool.map(inheritable_thread_target(spark)(job), names))
     log_run(spark, tables_dir, run)

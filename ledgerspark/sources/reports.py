@@ -84,6 +84,7 @@ def report_cells(spark: SparkSession, folder: str, chosen: DataFrame) -> DataFra
     exchange. In a store that only Spark's reader opens, the folder is scanned and other files' contents are dropped.
     """
     if opened_by_tasks(folder):
-        return with_owner(workbook_cells_at(chosen))
+        # The owner is found once per file, not once per row.
+        return workbook_cells_at(with_owner(chosen.select("path", "length")))
     contents = binary_files(spark, folder).join(chosen.select("path"), "path", "left_semi")
     return with_owner(workbook_cells(contents))

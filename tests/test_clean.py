@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -176,3 +177,21 @@ def test_product_label_without_company(frame):
     df = frame([("A3 - B - C",), ("A3",), (None,)], "c string")
     assert values(df, text.product_company(F.col("c"))) == ["B", "", None]
     assert values(df, text.product_ticker(F.col("c"))) == ["A3", "A3", None]
+
+
+def test_white_space_is_what_unicode_calls_so(spark):
+    codes = [c for c in range(1, 0x11000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(f"{chr(c)}a {chr(c)} b{chr(c)}{chr(c)}",) for c in codes], "t string")
+    assert df.filter(~text.strip(F.col("t")).eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+\z", ""))).collect() == []
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_methods_of_a_table_can_be_compiled(spark, name):
+    """HotSpot leaves methods of 8000 bytes and more to its interpreter."""
+    cells = spark.range(1).selectExpr(
+        "'ana' AS taxpayer_id", "'p' AS path", "cast(id as int) AS row_idx", "2024 AS ref_year", "array(cast(id as string)) AS cells"
+    )
+    plan = ingest.table_rows(cells, TABLES[name])._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000

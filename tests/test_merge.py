@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import date
 
 import pytest
@@ -200,3 +201,23 @@ def test_stored_side_of_a_merge_is_not_shuffled_for_a_small_batch(spark, table,
     plan = rows._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("Initial Plan")]
     assert final.count("BroadcastHashJoin") == 2 and "hashpartitioning(_seen_" not in final
+
+
+def test_large_batch_is_decided_without_joins(spark, table, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    keys = [(i, rng.choice(["P", "Q", None]), n, rng.choice([DAY, None])) for n, i in enumerate("abcdefghijklmnop" * 3)]
+    old, new = received(table, *keys[:16]), received(table, *keys[8:])
+    order = ["id", "valor_liquido"]
+    few, many = (f(new, old, RECEIVED.key, order) for f in (merge.new_rows, merge.new_rows_of_many))
+    assert rows_of(many) == rows_of(few)
+    assert many.columns == new.columns
+    assert "Join" not in many._jdf.queryExecution().executedPlan().toString()
+    path, calls = str(tmp_path / "t"), []
+    monkeypatch.setattr(merge, "SMALL_BATCH", 0)
+    known = merge.new_rows_of_many
+    monkeypatch.setattr(merge, "new_rows_of_many", lambda *a: calls.append(1) or known(*a))
+    expected = merge.append_new_rows(old, path, RECEIVED, order, "one")
+    assert expected == old.select(*RECEIVED.key).distinct().count()
+    assert merge.append_new_rows(old, path, RECEIVED, order, "two") == 0
+    assert merge.append_new_rows(new, path, RECEIVED, order, "three") == few.count()
+    assert calls == [1, 1]

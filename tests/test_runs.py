@@ -308,3 +308,17 @@ def test_totals_follow_the_imports(spark, tmp_path):
     before = rows_of(stored_totals(spark, tables))
     drop_totals(spark, tables)
     assert refresh_totals(spark, tables) == 3 and rows_of(stored_totals(spark, tables)) == before
+
+
+def test_cells_of_a_job_that_is_alone_are_not_stored(spark, tmp_path, monkeypatch):
+    from ledgerspark.plans import import_run
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "ana-movimentacao-2024.xlsx").write_bytes(movement_book(MOVES))
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(import_run, "scratch_dir", lambda spark, name: str(scratch))
+    monkeypatch.setattr(import_run, "remove_dir", lambda spark, path: None)
+    pages = spark.createDataFrame([], "ticker string, html string")
+    run_import(spark, str(folder), str(tmp_path / "t"), "x", pages, tables=["b3_movimentacao"])
+    assert sorted(p.name for p in scratch.iterdir()) == ["b3_movimentacao"]

@@ -1,15 +1,20 @@
+import io
 import os
+import random
 from datetime import datetime
+from xml.etree import ElementTree
 
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.bonus import page_cards, typed_cards
+from ledgerspark.plans import files
 from ledgerspark.plans.files import workbook_bytes
 from ledgerspark.schemas import TABLES
 from ledgerspark.session import scratch_dir
-from ledgerspark.sources import legacy_dump, reports, tables
+from ledgerspark.sources import legacy_dump, reports, tables, workbook
 from ledgerspark.sources.workbook import opened_by_tasks, store_of, workbook_cells
 
 
@@ -59,6 +64,90 @@ def test_workbook_with_shared_texts(spark):
     assert second.cells == [None] * 28
 
 
+MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+PLAIN_CELLS = [
+    '<c r="A1"><v>1.50</v></c>',
+    '<c r="B1" t="inlineStr"><is><t xml:space="preserve"> é </t></is></c>',
+    '<c r="D1" s="2" t="s"><v>1</v></c>',
+    '<c r="AB1" t="str"><v>ab</v></c>',
+    '<c t="e"><v>#N/A</v></c>',
+    '<c s="1"/>',
+    '<c t="inlineStr"><v>z</v></c>',
+]
+OTHER_CELLS = [
+    '<c t="inlineStr"><is><t>a &amp; b&#233;</t></is></c>',
+    '<c t="inlineStr"><is><r><t>x</t></r><r><t>y</t></r></is></c>',
+    '<c t="inlineStr"><is><t><![CDATA[</row><row>]]></t></is></c>',
+    "<c r='B1' t='str'><v>q</v></c>",
+    '<c><f>A1</f><v>1E3</v></c>',
+    '<c t="str"><v>a\r\nb > c</v></c>',
+    "<!-- <row><c><v>1</v></c></row> -->",
+    '<x:c t="str"><x:v>k</x:v></x:c>',
+    "<c><v>&u;</v></c>",
+    "\n ",
+]
+
+
+def _sheet(rng, cells):
+    head = rng.choice(["", '<?xml version="1.0" encoding="UTF-8"?>', "\ufeff"])
+    body = "".join(
+        rng.choice(["", "", '<row r="7"/>'])
+        + rng.choice(["<row>", '<row r="1" spans="1:8">'])
+        + "".join(rng.choice(cells) for _ in range(rng.randrange(5)))
+        + "</row>"
+        for _ in range(rng.randrange(5))
+    )
+    return f'{head}<worksheet xmlns="{MAIN}" xmlns:x="u"><sheetData>{body}</sheetData><rowBreaks/></worksheet>'.encode()
+
+
+class _Book:
+    def __init__(self, part):
+        self.part = part
+
+    def open(self, _):
+        return io.BytesIO(self.part)
+
+
+def _rows_or_error(rows):
+    try:
+        return list(rows)
+    except ElementTree.ParseError:
+        return "unreadable"
+
+
+def test_sheets_of_any_form_read_as_the_parser_does(monkeypatch):
+    rng, shared = random.Random(3), ["s0", "s1"]
+    for n in range(2000):
+        part = _sheet(rng, PLAIN_CELLS + OTHER_CELLS if n % 2 else PLAIN_CELLS)
+        monkeypatch.setattr(workbook, "_PART_BYTES", rng.choice([90, 1 << 20]))
+        parsed = _rows_or_error(workbook._parsed_rows(io.BytesIO(part), shared))
+        assert _rows_or_error(workbook._part_rows(_Book(part), "p", shared)) == parsed, part
+
+
+def test_plain_rows_are_not_parsed(monkeypatch):
+    rng, shared = random.Random(4), ["s0", "s1"]
+    parts = [_sheet(rng, PLAIN_CELLS) for _ in range(50)]
+    found = [list(workbook._parsed_rows(io.BytesIO(p), shared)) for p in parts]
+    monkeypatch.setattr(workbook, "_row_cells", lambda row, shared: [] if len(row) == 0 else pytest.fail("parsed"))
+    assert [list(workbook._part_rows(_Book(p), "p", shared)) for p in parts] == found
+
+
+def test_rows_made_by_columns_are_those_made_one_by_one():
+    rng, texts = random.Random(5), [None, "", "a&b<c>d", "&amp;", "007", "12", " x ", "1,50", "é"]
+    columns = [[rng.choice(texts) for _ in range(300)] for _ in range(8)]
+    made = files._rows([pa.chunked_array([pa.array(c, pa.string())]) for c in columns], 2, {5})
+    columns[5] = [int(q) if q and q.isdigit() else q for q in columns[5]]
+    assert made == [files._row(n, list(row)) for n, row in enumerate(zip(*columns, strict=True), 2)]
+
+
+def test_owner_is_found_once_per_file(spark, tmp_path):
+    (tmp_path / "ana-movimentacao-2024.xlsx").write_bytes(workbook_bytes([("S", [["h"], ["a"]])]))
+    cells = reports.report_cells(spark, str(tmp_path), reports.latest_reports(spark, str(tmp_path)))
+    assert rows_of(cells, "taxpayer_id", "report", "ref_year", "cells") == [("ana", "movimentacao", 2024, [c]) for c in ("a", "h")]
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" not in plan[: plan.index("MapInArrow")]
+
+
 def test_newest_report_per_taxpayer_and_year(spark, tmp_path):
     book = workbook_bytes([("S", [["h"]])])
     for name, time in [
